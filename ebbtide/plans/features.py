@@ -419,3 +419,39 @@ def final_dataset(labels: DataFrame, features: DataFrame) -> DataFrame:
     return marks.join(
         features, marks.label_member.eqNullSafe(features.member_id)
     ).select("member_id", "is_churned", *columns)
+
+
+def order_value_stats(order_header: DataFrame, params: ChurnParams) -> DataFrame:
+    """Mean and sample deviation of the order value per (member, tier); one order has
+    no deviation."""
+    return (
+        recent_orders(order_header, params)
+        .groupBy("member_id", TIER)
+        .agg(
+            F.avg("grand_total").alias("avg_order_value"),
+            F.stddev_samp("grand_total").alias("order_value_std"),
+        )
+    )
+
+
+def primary_outlet(order_header: DataFrame, params: ChurnParams) -> DataFrame:
+    """Most used outlet per (member, tier), the alphabetically first on ties."""
+    visits = (
+        recent_orders(order_header, params)
+        .groupBy("member_id", TIER, "outlet_name")
+        .agg(F.count("*").alias("orders"))
+    )
+    return visits.groupBy("member_id", TIER).agg(
+        most_frequent(F.col("outlet_name"), F.col("orders")).alias("primary_outlet"),
+        F.count("outlet_name").alias("outlet_diversity"),
+    )
+
+
+def recency(order_header: DataFrame, params: ChurnParams) -> DataFrame:
+    """Days since the last order and its bucket per (member, tier)."""
+    last = (
+        recent_orders(order_header, params)
+        .groupBy("member_id", TIER)
+        .agg(days_before(params.as_of, F.max("order_date")).alias("days_since_last_order"))
+    )
+    return last.withColumn("recency_bucket", recency_bucket(F.col("days_since_last_order")))
