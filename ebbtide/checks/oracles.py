@@ -398,6 +398,7 @@ DIGITS = {
     "gold_spending_stability": 3,
     "silver_engagement_trend": 3,
     "fm_interaction": 2,
+    "rfm_composite": 2,
 }
 
 

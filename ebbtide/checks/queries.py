@@ -68,6 +68,7 @@ COARSER = {
     "gold_spending_stability": 3,
     "silver_engagement_trend": 3,
     "fm_interaction": 2,
+    "rfm_composite": 2,
 }
 
 
@@ -186,7 +187,8 @@ def csv_roundtrip(spark, sf_dir):
 
 @query
 def append_order_items(spark, sf_dir):
-    """Three inputs: a cover sheet that is left out, and the items in two halves."""
+    """A cover sheet that is left out, the items in two halves, and between them an input
+    without the right columns, which is skipped."""
     base = _scratch(spark)
     items = tables(spark, sf_dir).order_item
     late = F.coalesce(F.col("quantity") >= 25, F.lit(False))
@@ -196,7 +198,7 @@ def append_order_items(spark, sf_dir):
     target = f"{base}/order_item"
     sinks.append_inputs(
         spark,
-        [f"{base}/cover", f"{base}/part1", f"{base}/missing", f"{base}/part2"],
+        [f"{base}/cover", f"{base}/part1", f"{base}/cover", f"{base}/part2"],
         target,
         ORDER_ITEM,
     )

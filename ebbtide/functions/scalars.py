@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -89,3 +90,15 @@ def seasonality(order_date: Column) -> dict[str, Column]:
         "month": month,
         "is_holiday_season": month.isin(11, 12).cast("int"),
     }
+
+
+def double_text(value: float) -> str:
+    """A number as a SQL DOUBLE literal."""
+    if math.isfinite(value):
+        return f"{float(value)!r}D"
+    return f"double('{value}')"
+
+
+def quoted(name: str) -> str:
+    escaped = name.replace("`", "``")
+    return f"`{escaped}`"

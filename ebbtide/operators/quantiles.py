@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.functions.scalars import bucket_by_edges
+from ebbtide.functions.scalars import bucket_by_edges, double_text, quoted
 from ebbtide.operators.ordering import rows_at_ranks
 
 # Values that one (column, quantile) may leave for the final ordered count.
@@ -142,12 +142,12 @@ def _pick(df: DataFrame, targets: list[_Target]) -> dict[tuple[str, float], tupl
             wanted.append((number, int(position - t.below), i, side))
     entries = []
     for (column, low, high), number in brackets.items():
-        value = F.col(column).cast("double")
-        held = value.isNotNull() if math.isinf(low) else value.between(low, high)
-        entries.append(F.when(held, F.struct(F.lit(number).alias("b"), value.alias("v"))))
+        value = f"cast({quoted(column)} as double)"
+        held = f"{value} BETWEEN {double_text(low)} AND {double_text(high)}"
+        entries.append(f"IF({held}, named_struct('b', {number}, 'v', {value}), NULL)")
     counted = (
-        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy(F.col("e.b").alias("b"), F.col("e.v").alias("v"))
+        df.selectExpr(f"inline(array_compact(array({', '.join(entries)})))")
+        .groupBy("b", "v")
         .agg(F.count("*").alias("n"))
     )
     upto = F.sum("n").over(Window.partitionBy("b").orderBy("v"))

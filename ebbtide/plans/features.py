@@ -391,12 +391,14 @@ def feature_set(
 ) -> DataFrame:
     """27 columns, one row per (member, tier) seen in the history window."""
     base = base_features(order_header, params)
-    product = product_features(order_header, order_item, params)
-    behaviour = behavioral_features(order_header, params).drop(
+    # The joins compare with plain equality, which a NULL member never meets: it keeps
+    # its base features and gets no others. So its lines and days, possibly a large
+    # share of all, are dropped at the scan instead of after their aggregation.
+    known = order_header.where(F.col("member_id").isNotNull())
+    product = product_features(known, order_item, params)
+    behaviour = behavioral_features(known, params).drop(
         "favorite_day_of_week", "avg_day_of_week"
     )
-    # Plain equality: the NULL member keeps its base features and gets no others, and
-    # Spark drops its lines and days before aggregating them.
     joined = base.join(product, "member_id", "left").join(behaviour, "member_id", "left")
     last, earlier = F.col("gmv_last_90_days"), F.col("gmv_previous_90_days")
     yearly = ratio(F.col("total_gmv"), F.col("customer_age_days").cast("double")) * 365.0

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.functions.scalars import ratio
+from ebbtide.functions.scalars import double_text, quoted, ratio
 from ebbtide.operators.correlation import numeric_columns, text_columns
 from ebbtide.operators.ordering import forward_filled, with_rank
 from ebbtide.operators.quantiles import column_quantiles
@@ -115,8 +115,9 @@ def interaction_features(columns: Sequence[str]) -> dict[str, Column]:
 def engineered(df: DataFrame, route: str) -> DataFrame:
     """Tier features (not on the global route), then interactions; NULL inputs give
     NULL features, which are imputed later like any other."""
-    made = {} if route == GLOBAL_ROUTE else tier_features(df.columns, route)
-    made |= interaction_features(df.columns)
+    columns = df.columns
+    made = {} if route == GLOBAL_ROUTE else tier_features(columns, route)
+    made |= interaction_features(columns)
     return df.withColumns(made) if made else df
 
 
@@ -215,20 +216,22 @@ def with_filled_days(df: DataFrame, within: Sequence[str] = ()) -> DataFrame:
 
 def with_numbers(df: DataFrame, prep: Preparation) -> DataFrame:
     """Median imputation; a column without any value becomes 0."""
-    return df.withColumns(
-        {
-            c: F.coalesce(_number(c), F.lit(prep.medians.get(c)).cast("double"), F.lit(0.0))
-            for c in prep.numeric
-            if c in df.columns
-        }
-    )
+
+    def filled(c: str) -> str:
+        median = prep.medians.get(c)
+        spare = double_text(0.0 if median is None else median)
+        return f"coalesce(cast({quoted(c)} as double), {spare}) AS {quoted(c)}"
+
+    numeric = set(prep.numeric)
+    return df.selectExpr(*[filled(c) if c in numeric else quoted(c) for c in df.columns])
 
 
 def with_codes(df: DataFrame, prep: Preparation) -> DataFrame:
     """Replace text columns by their codes: NULL takes the mode, an unknown value the
     first class."""
+    present = set(df.columns)
     for column in prep.categorical:
-        if column not in df.columns:
+        if column not in present:
             continue
         known = F.coalesce(F.col(column), F.lit(prep.modes[column]))
         name = f"{column}_encoded"
@@ -255,10 +258,13 @@ def aligned(
     df: DataFrame, feature_names: Sequence[str], keep: Sequence[str] = ()
 ) -> DataFrame:
     """Exactly the model's features in its order: missing ones as 0, others dropped."""
-    return df.select(
+    columns = set(df.columns)
+    return df.selectExpr(
         *keep,
         *[
-            (_number(c) if c in df.columns else F.lit(0.0)).alias(c)
+            f"cast({quoted(c)} as double) AS {quoted(c)}"
+            if c in columns
+            else f"0.0D AS {quoted(c)}"
             for c in feature_names
         ],
     )
@@ -272,12 +278,13 @@ def prepared_features(
     Rows that went through :func:`with_filled_days` are taken as they are, others are
     filled here. Either way the engineered features see the values before filling.
     """
-    held = [c for c in keep if c in df.columns]
     if not any(c.startswith("_filled_") for c in df.columns):
         df = with_filled_days(df)
+    columns = df.columns
+    held = [c for c in keep if c in columns]
     # A kept text column is also a feature, so it is carried under another name.
     made = engineered(df, prep.route).withColumns({f"_keep_{c}": F.col(c) for c in held})
-    fills = [c for c in df.columns if c.startswith("_filled_")]
+    fills = [c for c in columns if c.startswith("_filled_")]
     made = made.withColumns({c.removeprefix("_filled_"): F.col(c) for c in fills})
     made = with_codes(with_numbers(made, prep), prep)
     return aligned(made, prep.feature_names, [f"_keep_{c}" for c in held]).withColumnsRenamed(
