@@ -35,7 +35,13 @@ from ebbtide.plans.run import modelling_set
 from ebbtide.session import shared_folder, stored
 from ebbtide.sources import catalog, sinks
 from ebbtide.sources.schemas import ORDER_ITEM, PREDICTIONS
-from ebbtide.sources.tables import Tables, read_csv, sample_tables
+from ebbtide.sources.tables import (
+    Tables,
+    read_csv,
+    sample_header,
+    sample_item,
+    sample_tables,
+)
 
 PARAMS = ChurnParams(as_of=dt.date(2001, 8, 1))
 # Boosting rounds of the registered model queries; the library default is the full
@@ -89,6 +95,10 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
     return sample_tables(spark, sf_dir)
 
 
+def header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_header(spark, sf_dir)
+
+
 def _scratch(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/ebbtide-{uuid.uuid4().hex}"
 
@@ -132,12 +142,12 @@ def closed_score(data: DataFrame) -> DataFrame:
 
 @query
 def scan_order_header(spark, sf_dir):
-    return tables(spark, sf_dir).order_header
+    return header(spark, sf_dir)
 
 
 @query
 def scan_order_item(spark, sf_dir):
-    return tables(spark, sf_dir).order_item
+    return sample_item(spark, sf_dir)
 
 
 @query
@@ -175,7 +185,7 @@ def table_row_count(spark, sf_dir):
 
 @query
 def date_range(spark, sf_dir):
-    return catalog.date_range(tables(spark, sf_dir).order_header, "order_date")
+    return catalog.date_range(header(spark, sf_dir), "order_date")
 
 
 @query
@@ -190,7 +200,7 @@ def append_order_items(spark, sf_dir):
     """A cover sheet that is left out, the items in two halves, and between them an input
     without the right columns, which is skipped."""
     base = _scratch(spark)
-    items = tables(spark, sf_dir).order_item
+    items = sample_item(spark, sf_dir)
     late = F.coalesce(F.col("quantity") >= 25, F.lit(False))
     catalog.row_count(items).write.parquet(f"{base}/cover")
     items.where(late).write.parquet(f"{base}/part1")
@@ -220,46 +230,46 @@ def reload_churn_stats(spark, sf_dir):
 
 @query
 def history_window(spark, sf_dir):
-    return labels.recent_orders(tables(spark, sf_dir).order_header, PARAMS).select(
+    return labels.recent_orders(header(spark, sf_dir), PARAMS).select(
         "id", "member_id", "order_date", "grand_total"
     )
 
 
 @query
 def churn_labels(spark, sf_dir):
-    return rounded(labels.churn_labels(tables(spark, sf_dir).order_header, PARAMS), 2)
+    return rounded(labels.churn_labels(header(spark, sf_dir), PARAMS), 2)
 
 
 @query
 def spend_windows(spark, sf_dir):
-    return rounded(labels.member_spend(tables(spark, sf_dir).order_header, PARAMS), 2)
+    return rounded(labels.member_spend(header(spark, sf_dir), PARAMS), 2)
 
 
 @query
 def churn_stats(spark, sf_dir):
-    found = labels.churn_labels(tables(spark, sf_dir).order_header, PARAMS)
+    found = labels.churn_labels(header(spark, sf_dir), PARAMS)
     return rounded(profile.churn_stats(found), 6)
 
 
 @query
 def customer_periodic_spend(spark, sf_dir):
-    return rounded(cohort.periodic_spend(tables(spark, sf_dir).order_header, PARAMS), 2)
+    return rounded(cohort.periodic_spend(header(spark, sf_dir), PARAMS), 2)
 
 
 @query
 def cohort_flags(spark, sf_dir):
-    spend = cohort.periodic_spend(tables(spark, sf_dir).order_header, PARAMS)
+    spend = cohort.periodic_spend(header(spark, sf_dir), PARAMS)
     return rounded(cohort.cohort_flags(spend, PARAMS), 2)
 
 
 @query
 def cohort_analysis(spark, sf_dir):
-    return rounded(cohort.cohort_analysis(tables(spark, sf_dir).order_header, PARAMS))
+    return rounded(cohort.cohort_analysis(header(spark, sf_dir), PARAMS))
 
 
 @query
 def cohort_union(spark, sf_dir):
-    return rounded(cohort.cohort_union(tables(spark, sf_dir).order_header, PARAMS))
+    return rounded(cohort.cohort_union(header(spark, sf_dir), PARAMS))
 
 
 # --- features --------------------------------------------------------------------------
@@ -267,7 +277,7 @@ def cohort_union(spark, sf_dir):
 
 @query
 def base_features(spark, sf_dir):
-    return rounded(features.base_features(tables(spark, sf_dir).order_header, PARAMS))
+    return rounded(features.base_features(header(spark, sf_dir), PARAMS))
 
 
 @query
@@ -278,7 +288,7 @@ def product_features(spark, sf_dir):
 
 @query
 def behavioral_features(spark, sf_dir):
-    return rounded(features.behavioral_features(tables(spark, sf_dir).order_header, PARAMS))
+    return rounded(features.behavioral_features(header(spark, sf_dir), PARAMS))
 
 
 @query
@@ -294,34 +304,34 @@ def final_dataset(spark, sf_dir):
 
 @query
 def order_value_stats(spark, sf_dir):
-    return rounded(features.order_value_stats(tables(spark, sf_dir).order_header, PARAMS))
+    return rounded(features.order_value_stats(header(spark, sf_dir), PARAMS))
 
 
 @query
 def primary_outlet(spark, sf_dir):
-    return features.primary_outlet(tables(spark, sf_dir).order_header, PARAMS)
+    return features.primary_outlet(header(spark, sf_dir), PARAMS)
 
 
 @query
 def favorite_day_of_week(spark, sf_dir):
-    found = features.behavioral_features(tables(spark, sf_dir).order_header, PARAMS)
+    found = features.behavioral_features(header(spark, sf_dir), PARAMS)
     return rounded(found.select("member_id", "favorite_day_of_week", "avg_day_of_week"))
 
 
 @query
 def weekend_weekday_spend(spark, sf_dir):
-    found = features.behavioral_features(tables(spark, sf_dir).order_header, PARAMS)
+    found = features.behavioral_features(header(spark, sf_dir), PARAMS)
     return rounded(found.select("member_id", "weekend_avg_spend", "weekday_avg_spend"))
 
 
 @query
 def days_between_orders(spark, sf_dir):
-    return features.days_between_orders(tables(spark, sf_dir).order_header, PARAMS)
+    return features.days_between_orders(header(spark, sf_dir), PARAMS)
 
 
 @query
 def interpurchase_stats(spark, sf_dir):
-    found = features.behavioral_features(tables(spark, sf_dir).order_header, PARAMS)
+    found = features.behavioral_features(header(spark, sf_dir), PARAMS)
     return rounded(
         found.select("member_id", "avg_days_between_orders", "days_between_orders_std")
     )
@@ -342,7 +352,7 @@ def top3_product_groups(spark, sf_dir):
 
 @query
 def recency_bucket(spark, sf_dir):
-    found = features.recency(tables(spark, sf_dir).order_header, PARAMS)
+    found = features.recency(header(spark, sf_dir), PARAMS)
     return found.groupBy("recency_bucket").agg(F.count("*").alias("n"))
 
 
@@ -351,18 +361,18 @@ def recency_bucket(spark, sf_dir):
 
 @query
 def summary_stats(spark, sf_dir):
-    found = profile.summary_stats(tables(spark, sf_dir).order_header, PARAMS)
+    found = profile.summary_stats(header(spark, sf_dir), PARAMS)
     return rounded(found, avg_order_value=4)
 
 
 @query
 def data_quality(spark, sf_dir):
-    return profile.data_quality(tables(spark, sf_dir).order_header)
+    return profile.data_quality(header(spark, sf_dir))
 
 
 @query
 def distinct_counts(spark, sf_dir):
-    return profile.distinct_counts(tables(spark, sf_dir).order_header)
+    return profile.distinct_counts(header(spark, sf_dir))
 
 
 @query
@@ -378,7 +388,7 @@ def tier_list(spark, sf_dir):
 @query
 def date_scalars(spark, sf_dir):
     on = F.col("order_date")
-    return tables(spark, sf_dir).order_header.select(
+    return header(spark, sf_dir).select(
         "id",
         scalars.days_before(PARAMS.as_of, on).alias("days_ago"),
         F.date_sub(on, 60).alias("day_60_before"),
@@ -391,7 +401,7 @@ def date_scalars(spark, sf_dir):
 def math_scalars(spark, sf_dir):
     paid = F.col("grand_total")
     return rounded(
-        tables(spark, sf_dir).order_header.select(
+        header(spark, sf_dir).select(
             "id",
             F.log1p(paid).alias("log_total"),
             F.abs(paid - 200000.0).alias("distance"),
@@ -406,7 +416,7 @@ def math_scalars(spark, sf_dir):
 @query
 def seasonality_features(spark, sf_dir):
     made = scalars.seasonality(F.col("order_date"))
-    return tables(spark, sf_dir).order_header.select(
+    return header(spark, sf_dir).select(
         "id", *[c.alias(n) for n, c in made.items()]
     )
 

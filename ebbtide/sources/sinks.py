@@ -66,3 +66,21 @@ def append_inputs(
             log.error("input %s left out: %s", path, error)
             result.failed[path] = type(error).__name__
     return result
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> str:
+    """Save ``df`` as a table hashed and sorted by ``key``.
+
+    Two tables with the same key and bucket count join without moving either: meant
+    for order_header and order_item by order_number, whose join is the largest shuffle
+    of the feature set.
+    """
+    (
+        df.write.mode("error")
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", path)
+        .format("parquet")
+        .saveAsTable(table)
+    )
+    return table

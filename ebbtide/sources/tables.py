@@ -99,12 +99,9 @@ def is_readable(df: DataFrame) -> bool:
     return True
 
 
-def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Order tables derived from the star-schema sample data (see FIXTURES.md)."""
+def sample_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """order_header derived from the star-schema sample data (see FIXTURES.md)."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-
     priority = F.col("o_orderpriority")
     tier = (
         F.when(priority == "1-URGENT", "VVIP")
@@ -113,7 +110,7 @@ def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
         .when((priority == "5-LOW") & (F.col("o_orderkey") % 2 == 1), "BRONZE")
         .when(priority == "5-LOW", "BLACK")
     )
-    header = orders.select(
+    return orders.select(
         F.col("o_orderkey").alias("id"),
         F.col("o_custkey").alias("member_id"),
         F.col("o_orderdate").cast("timestamp").alias("order_ts"),
@@ -125,8 +122,14 @@ def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
         tier.alias("member_tier_when_transact"),
         F.col("o_orderkey").cast("string").alias("order_number"),
     )
+
+
+def sample_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """order_item derived from the star-schema sample data."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
     unit_price = F.col("l_extendedprice") / F.col("l_quantity")
-    item = lines.join(part, lines.l_partkey == part.p_partkey).select(
+    return lines.join(part, lines.l_partkey == part.p_partkey).select(
         F.col("l_orderkey").cast("string").alias("order_number"),
         F.col("p_type").alias("product_group"),
         F.col("p_brand").alias("brand_name"),
@@ -135,4 +138,7 @@ def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
         unit_price.alias("price"),
         (unit_price * (1 - F.col("l_discount"))).alias("paid_price"),
     )
-    return Tables(header, item)
+
+
+def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return Tables(sample_header(spark, sf_dir), sample_item(spark, sf_dir))

@@ -122,8 +122,44 @@ def test_whole_run_and_regenerated_report(spark, params):
     sections = {r.section for r in result.report.select("section").distinct().collect()}
     assert sections == {"pipeline_summary", "cohort_analysis", "data_summary", "model_performance", "top_features"}
     again = regenerate_report(spark, source, params, result.paths["model"], result.paths["predictions"])
+    from ebbtide.__main__ import main
+
+    source.order_header.write.parquet(f"{out}/h")
+    source.order_item.write.parquet(f"{out}/i")
+    main(
+        ["report", "--header", f"{out}/h", "--items", f"{out}/i", "--as-of", "2001-08-01",
+         "--model", result.paths["model"], "--predictions", result.paths["predictions"],
+         "--output", f"{out}/again"],
+        spark,
+    )
+    assert spark.read.parquet(f"{out}/again/*").count() == again.count()
     keep = ["cohort_analysis", "model_performance", "top_features"]
     a, b = (r.where(F.col("section").isin(keep)) for r in (result.report, again))
     assert a.exceptAll(b).isEmpty()
     data = {r.metric: r.value for r in again.where("section = 'data_summary'").collect()}
     assert data["total_customers"] == 71
+
+
+def test_append_command(spark, items, capsys):
+    from ebbtide.__main__ import main
+
+    base = folder()
+    items([{"number": "1"}]).write.parquet(f"{base}/a")
+    main(["append", "--target", f"{base}/t", f"{base}/a", f"{base}/a"], spark)
+    assert "1 rows appended, 0 inputs left out" in capsys.readouterr().out
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, orders, items):
+    base = folder()
+    header = orders([{"days": d, "number": str(d)} for d in range(40)])
+    lines = items([{"number": str(n % 40)} for n in range(200)])
+    sinks.write_bucketed(header, "bucketed_header", f"{base}/h", "order_number", 4)
+    sinks.write_bucketed(lines, "bucketed_item", f"{base}/i", "order_number", 4)
+    joined = (
+        spark.table("bucketed_header").hint("merge").join(spark.table("bucketed_item"), "order_number")
+    )
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "Exchange" not in text
+    assert joined.count() == 200
+    spark.sql("DROP TABLE bucketed_header")
+    spark.sql("DROP TABLE bucketed_item")
