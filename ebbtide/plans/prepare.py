@@ -271,14 +271,14 @@ def aligned(
 
 
 def prepared_features(
-    df: DataFrame, prep: Preparation, keep: Sequence[str] = ()
+    df: DataFrame, prep: Preparation, keep: Sequence[str] = (), fill: bool = True
 ) -> DataFrame:
     """Apply a fitted preparation; columns in ``keep`` are carried along.
 
-    Rows that went through :func:`with_filled_days` are taken as they are, others are
-    filled here. Either way the engineered features see the values before filling.
+    ``fill=False`` is for rows that went through :func:`with_filled_days` before.
+    Either way the engineered features see the values before filling.
     """
-    if not any(c.startswith("_filled_") for c in df.columns):
+    if fill:
         df = with_filled_days(df)
     columns = df.columns
     held = [c for c in keep if c in columns]

@@ -35,7 +35,7 @@ log = logging.getLogger(__name__)
 def _score_route(rows: DataFrame, route: RouteModel, keep: list[str]) -> DataFrame:
     prep = route.preparation
     vectors = assembled(
-        prepared_features(rows, prep, keep), prep.feature_names
+        prepared_features(rows, prep, keep, fill=False), prep.feature_names
     )
     return probability(route.model.transform(vectors)).select(*keep, "churn_probability")
 

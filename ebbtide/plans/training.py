@@ -174,7 +174,6 @@ def train_route(
         featureSubsetStrategy=str(spec.column_share),
         maxBins=params.max_bins,
         checkpointInterval=10,
-        cacheNodeIds=True,
         seed=params.seed,
     )
     model = booster.fit(frame)
