@@ -23,6 +23,7 @@ from ebbtide.sources.tables import (
     normalise_header,
     read_jdbc,
     read_parquet,
+    text_splits,
 )
 
 
@@ -30,7 +31,8 @@ def _from_database(spark: SparkSession, splits: int) -> Tables:
     ends = read_jdbc(spark, "(SELECT min(id) AS lo, max(id) AS hi FROM order_header) ends")
     low, high = ends.select(F.col("lo").cast("long"), F.col("hi").cast("long")).first()
     header = read_jdbc(spark, "order_header", "id", low or 0, (high or 0) + 1, splits)
-    return Tables(normalise_header(header), conform(read_jdbc(spark, "order_item"), ORDER_ITEM))
+    item = read_jdbc(spark, "order_item", predicates=text_splits("order_number", splits))
+    return Tables(normalise_header(header), conform(item, ORDER_ITEM))
 
 
 def _tables(spark: SparkSession, args: argparse.Namespace) -> Tables:

@@ -709,6 +709,21 @@ def _statements() -> dict[str, str]:
                   SELECT 'global', (COUNT(*) - SUM(is_churned))::DOUBLE / SUM(is_churned),
                          1.0 FROM data)""",
     }
+    # What is certain about trained models: which exist, their rows, churners and features.
+    common = len(NUMERIC) + len(INTERACTIONS) + len(TEXT_COLUMNS)
+    extra = " ".join(
+        f"WHEN tier IN ({tiers}) THEN {len(made)}" for tiers, made in TIER_FEATURES.values()
+    )
+    figures = """COUNT(*) AS sample_size, ROUND(AVG(is_churned), 9) AS churn_rate,
+        SUM(is_churned)::BIGINT AS churn_count"""
+    sql["train_tier_models"] = f"""SELECT tier AS model, sample_size, churn_rate, churn_count,
+        CAST({common} + CASE {extra} ELSE 0 END AS INTEGER) AS feature_count
+        FROM (SELECT COALESCE({TIER}, 'unknown') AS tier, {figures} FROM data GROUP BY {TIER})
+        WHERE sample_size >= CASE tier WHEN 'VVIP' THEN 50 WHEN 'GOLD' THEN 75
+                WHEN 'BLACK' THEN 150 WHEN 'BRONZE' THEN 150 ELSE 100 END
+          AND churn_count BETWEEN 1 AND sample_size - 1"""
+    sql["train_global_model"] = f"""SELECT 'global' AS model, {figures},
+        {common} AS feature_count FROM data"""
     for name, (tiers, made) in TIER_FEATURES.items():
         sql[name] = (
             f"SELECT member_id, {TIER}, {listed(made)} FROM data WHERE {TIER} IN ({tiers})"

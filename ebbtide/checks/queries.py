@@ -746,13 +746,13 @@ def class_weights(spark, sf_dir):
 def train_tier_models(spark, sf_dir):
     model = fitted(spark, sf_dir)
     found = training.training_metrics(model, spark)
-    return found.where(F.col("model") != "global").drop("auc")
+    return rounded(found.where(F.col("model") != "global").drop("auc"), 9)
 
 
 @query
 def train_global_model(spark, sf_dir):
     found = training.training_metrics(fitted(spark, sf_dir), spark)
-    return found.where(F.col("model") == "global").drop("auc")
+    return rounded(found.where(F.col("model") == "global").drop("auc"), 9)
 
 
 @query

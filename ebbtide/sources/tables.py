@@ -69,6 +69,16 @@ def jdbc_options(table: str, environ: dict[str, str] | None = None) -> dict[str,
     return options
 
 
+def text_splits(column: str, splits: int) -> list[str]:
+    """Conditions that cut a table without a numeric key into ``splits`` parts of about
+    equal size (PostgreSQL hash); rows without the key go to the first part."""
+    parts = [
+        f"mod(abs(hashtext({column})::bigint), {splits}) = {part}" for part in range(splits)
+    ]
+    parts[0] = f"({parts[0]} OR {column} IS NULL)"
+    return parts
+
+
 def read_jdbc(
     spark: SparkSession,
     table: str,
@@ -76,10 +86,15 @@ def read_jdbc(
     lower: int | None = None,
     upper: int | None = None,
     splits: int = 64,
+    predicates: list[str] | None = None,
     environ: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Read a table in ``splits`` parallel range queries over ``split_column``."""
+    """Read a table in parallel: by ranges of ``split_column``, or one part per
+    predicate (see :func:`text_splits`)."""
     options = jdbc_options(table, environ)
+    if predicates is not None:
+        url, source = options.pop("url"), options.pop("dbtable")
+        return spark.read.jdbc(url, source, predicates=predicates, properties=options)
     if split_column is not None:
         options |= {
             "partitionColumn": split_column,

@@ -51,8 +51,6 @@ def test_every_oracle_has_a_query():
     # Only trained models and the catalogue listing have no SQL.
     assert set(queries()) - set(oracle_sql()) == {
         "table_info",
-        "train_tier_models",
-        "train_global_model",
         "training_metrics",
         "score_members",
         "predictions",

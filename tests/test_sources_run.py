@@ -56,6 +56,13 @@ def test_jdbc_options_come_from_the_environment():
     assert found["dbtable"] == "order_header" and found["user"] == "u" and "password" not in found
 
 
+def test_text_splits_cover_every_row():
+    parts = tables.text_splits("order_number", 3)
+    assert len(parts) == 3
+    assert "IS NULL" in parts[0] and "IS NULL" not in parts[1]
+    assert [p.count("= 2") for p in parts] == [0, 0, 1]
+
+
 def test_liveness(spark, orders):
     assert tables.is_readable(orders([{"days": 1}]))
     lost = spark.read.schema("a int").parquet(folder()).where(F.raise_error(F.lit("x")).isNull())
