@@ -83,7 +83,7 @@ class ModelParams:
     max_trees: int | None = None
     max_bins: int = 32
     # Routes fitted at the same time (jobs of one Spark application).
-    parallel_fits: int = 4
+    parallel_fits: int = 8
     # Rows per task while boosting; small tiers are packed into few tasks.
     rows_per_task: int = 200_000
 
