@@ -583,7 +583,7 @@ def _statements() -> dict[str, str]:
         "aov_log_histogram": histogram(
             "LN(1 + avg_order_value)", "is_churned", "data", 6, 6
         ),
-        "gmv_histogram": histogram("total_gmv", None, "data", 2, 12),
+        "gmv_histogram": histogram("total_gmv", None, "data", 6, 12),
         "probability_histogram": histogram(
             "churn_probability", "actual_churn", "predicted", 6, 6
         ),

@@ -502,7 +502,7 @@ def aov_log_histogram(spark, sf_dir):
 
 @query
 def gmv_histogram(spark, sf_dir):
-    return rounded(analysis.gmv_histogram(dataset(spark, sf_dir)), 2, density=12)
+    return rounded(analysis.gmv_histogram(dataset(spark, sf_dir)), 6, density=12)
 
 
 @query
