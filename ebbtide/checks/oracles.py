@@ -398,7 +398,8 @@ DIGITS = {
     "gold_spending_stability": 3,
     "silver_engagement_trend": 3,
     "fm_interaction": 2,
-    "rfm_composite": 2,
+    "rfm_composite": 0,
+    "rf_interaction": 8,
 }
 
 
@@ -418,7 +419,7 @@ def prepared() -> str:
     order = f"ORDER BY m.member_id NULLS LAST, m.{TIER} NULLS LAST"
 
     def number(c: str) -> str:
-        digits = DIGITS.get(c) or FEATURE_COLUMNS.get(c) or 4
+        digits = DIGITS.get(c, FEATURE_COLUMNS.get(c) or 4)
         value = f"m.{c}"
         if c.startswith("days_"):
             value = f"LAST_VALUE(m.{c} IGNORE NULLS) OVER ({order})"

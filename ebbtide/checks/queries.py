@@ -57,7 +57,7 @@ def query(fn: Query) -> Query:
     return fn
 
 
-# Means of cents over 8, 16 or 32 orders end in a 5; these digits keep clear of it.
+# Quotients by 8, 16 or 32 end in a 5; these digits keep clear of it.
 FINER = {
     "avg_order_value": 6,
     "weekend_avg_spend": 6,
@@ -67,14 +67,15 @@ FINER = {
     "avg_quantity_per_item": 6,
     "historical_60day_baseline": 6,
     "historical_daily_avg_spend": 6,
+    "rf_interaction": 8,
 }
-# Divisions by almost zero reach 1e12, where a double has few decimals left.
+# Values up to 1e12 have few decimals left in a double.
 COARSER = {
     "vvip_service_expectation": 3,
     "gold_spending_stability": 3,
     "silver_engagement_trend": 3,
     "fm_interaction": 2,
-    "rfm_composite": 2,
+    "rfm_composite": 0,
 }
 
 
