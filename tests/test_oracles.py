@@ -5,7 +5,9 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from ebbtide.checks.oracles import oracle_sql
+from ebbtide.checks.queries import QUERIES
 from tests.conftest import DATA
 
 NAMES = (
@@ -47,9 +49,9 @@ def table(columns, rows):
 
 
 def test_every_oracle_has_a_query():
-    assert set(oracle_sql()) <= set(queries())
+    assert set(oracle_sql()) <= set(QUERIES)
     # Only trained models and the catalogue listing have no SQL.
-    assert set(queries()) - set(oracle_sql()) == {
+    assert set(QUERIES) - set(oracle_sql()) == {
         "table_info",
         "training_metrics",
         "score_members",
@@ -64,7 +66,7 @@ def test_every_oracle_has_a_query():
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_sql(spark, duck, name):
-    df = queries()[name](spark, DATA)
+    df = QUERIES[name](spark, DATA)
     expected = duck.sql(oracle_sql()[name])
     assert table(df.columns, df.collect()) == table(expected.columns, expected.fetchall())
     kinds = {f.name: TYPES[f.dataType.simpleString()] for f in df.schema.fields}
