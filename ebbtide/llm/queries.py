@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import chat, exact_dedup
+from ebbtide.llm import chat, exact_dedup, pieces, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +90,40 @@ FROM texts WINDOW same AS (PARTITION BY body)
 """)
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, folder, "documents"), keep="largest")
+
+
+def _joined(spans: Column) -> Column:
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+
+
+@query()
+def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan_secrets(read(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(_joined(base), 256).alias("base_sha256"),
+        _joined(F.col("spans")).alias("spans"),
+    )
+
+
+@query()
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = pieces.encode_pieces(
+        read(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
