@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import chat, exact_dedup, pieces, secrets
+from ebbtide.llm import chat, exact_dedup, packing, pieces, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +127,19 @@ def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces_ = packing.pack(
+        read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return pieces_.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
