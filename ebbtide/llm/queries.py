@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import chat, exact_dedup, packing, pieces, secrets
+from ebbtide.llm import chat, exact_dedup, packing, pieces, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -143,3 +143,21 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
         "sequence_id",
         "offset",
     )
+
+
+@query("""
+WITH records AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+)
+SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes,
+  (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+     ('0x' || substr(sha1(payload), 1 + 5 * (i // 4), 5))::BIGINT
+       >> (15 - 5 * (i % 4))::BIGINT & 31)::BIGINT, 1), '' ORDER BY i)
+   FROM range(32) AS t(i)) AS payload_digest,
+  CASE WHEN page_id = max(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id < max(page_id) OVER same THEN max(page_id) OVER same END AS refers_to
+FROM records WINDOW same AS (PARTITION BY payload)
+""")
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    files = warc.write_archives(read(spark, folder, "pages"))
+    return warc.read_archives(files, with_payload=False).drop("url", "warc_date")
