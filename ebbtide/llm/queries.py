@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import chat, exact_dedup, packing, pieces, secrets, warc
+from ebbtide.llm import chat, exact_dedup, hamming, packing, pieces, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -161,3 +161,20 @@ FROM records WINDOW same AS (PARTITION BY payload)
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     files = warc.write_archives(read(spark, folder, "pages"))
     return warc.read_archives(files, with_payload=False).drop("url", "warc_date")
+
+
+@query("""
+WITH pairs AS (
+  SELECT q.vec_id AS query_id, d.vec_id AS neighbor_id,
+    list_sum(list_transform(range(1, 65), lambda i:
+      ((q.embedding[i] > 0) <> (d.embedding[i] > 0))::INTEGER))::BIGINT AS distance
+  FROM embeddings q JOIN embeddings d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank
+  FROM pairs) WHERE rank <= 10
+""")
+def op5_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return hamming.nearest_codes(
+        read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=10, bits=64
+    )
