@@ -6,7 +6,7 @@ import pandas as pd
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from ebbtide.llm.packing import BpeEncoder, Windows, pack
+from ebbtide.llm.packing import BpeEncoder, Windows, merge_engine, pack
 from ebbtide.llm.queries import QUERIES
 from tests.conftest import DATA
 from tests.llm.helpers import AWKWARD, docs
@@ -70,11 +70,19 @@ def test_awkward_rows_and_merging(spark):
 
 def test_encoder_equals_the_library():
     texts = ["", " ", "a b", "a  b", " a\n b ", "it's\tall  \n\n here", "x　y z  w",
-             "<|endoftext|> é\U0001f600 1234 !!! don't", "\x1c a \x85 b"]
-    tokenizer, encoder = library(), BpeEncoder(FILE, most_words=3)
+             "<|endoftext|> é\U0001f600 1234 !!! don't", "\x1c a \x85 b",
+             "a \n b \nc\t d"]
+    tokenizer, encoder, slow = library(), BpeEncoder(FILE, most_words=3), BpeEncoder(FILE)
+    assert encoder.engine is not None
+    slow.engine = None
     for text in texts:
         expected = tokenizer.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == expected, text
+        assert np.frombuffer(slow.encode([text])[0], "<u4").tolist() == expected, text
+
+
+def test_other_kinds_of_tokenizer_keep_to_the_library():
+    assert merge_engine(public_tokenizers.path("word_bpe_49k.json")) is None
 
 
 def test_windows_are_bounded_and_best_fit():
