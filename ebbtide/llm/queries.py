@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import chat, exact_dedup, hamming, packing, pieces, secrets, warc
+from ebbtide.llm import chat, exact_dedup, hamming, minhash, packing, pieces, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -178,3 +178,8 @@ def op5_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return hamming.nearest_codes(
         read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=10, bits=64
     )
+
+
+@query()
+def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_groups(read(spark, folder, "documents"), width=4, percent=80)
