@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import chat, exact_dedup, hamming, minhash, packing, pieces, secrets, warc
+from ebbtide.llm import (
+    chat,
+    exact_dedup,
+    hamming,
+    minhash,
+    packing,
+    pieces,
+    secrets,
+    toxicity,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -183,3 +193,16 @@ def op5_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_groups(read(spark, folder, "documents"), width=4, percent=80)
+
+
+@query()
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    chain = toxicity.fit_chain(docs, toxicity.standard_labels(read(spark, folder, "labels")))
+    scored = chain.probabilities(docs.select("doc_id", "text"))
+    return scored.select(
+        "doc_id",
+        F.col("chain.low_quality").alias("p_low_quality"),
+        F.col("chain.toxic").alias("p_toxic"),
+        F.coalesce(F.col("chain.toxic") >= 0.5, F.lit(False)).alias("rejected"),
+    )
