@@ -16,7 +16,8 @@ minhashes, and a pair with similarity 0.8 shares no table with probability 1.2e-
    members. The members of larger cells meet in an exact prefix-filter join: shingles are
    ordered from rare to frequent, and two texts over the threshold must share one
    among the first few, so a passage that very many texts share makes no pairs.
-4. All candidates are verified on the full shingle sets, recomputed from the texts.
+4. Candidates whose minhashes agree too rarely are dropped (one byte of each is kept as
+   a sketch); all others are verified on the full shingle sets, recomputed from the texts.
 
 Which texts a verification needs is told to the scan by a bitmap of hashed ids of a
 fixed size (1 MB), followed by an exact join.
@@ -43,7 +44,7 @@ from ebbtide.llm.textbatches import segments
 from ebbtide.session import stored
 
 BITMAP = 8_388_593  # a prime below 2**23: the fixed number of bits of the id bitmap
-MOST_WORDS = 400_000
+MOST_WORDS = 200_000
 SMALL_CELL = 16
 
 
@@ -94,18 +95,21 @@ class Signer:
         self.weights = random.integers(0, 2**63, size=rows, dtype=np.uint64) | np.uint64(1)
         self.keys, self.rows = keys, rows
 
-    def __call__(self, shingles: np.ndarray) -> np.ndarray:
+    def __call__(self, shingles: np.ndarray) -> tuple[np.ndarray, bytes]:
+        """The keys, and the lowest byte of every minhash as a sketch."""
         least = np.full(len(self.flips), np.iinfo(np.uint64).max)
         for first in range(0, len(shingles), 4096):
             part = (shingles[None, first : first + 4096] ^ self.flips) * self.factors
             part ^= part >> np.uint64(32)
             np.minimum(least, part.min(axis=1), out=least)
         keys = (least.reshape(-1, self.rows) * self.weights).sum(axis=1, dtype=np.uint64)
-        return scrambled(keys).view(np.int64).reshape(2, self.keys)
+        sketch = (least & np.uint64(255)).astype(np.uint8).tobytes()
+        return scrambled(keys).view(np.int64).reshape(2, self.keys), sketch
 
 
 def signatures(docs: DataFrame, width: int, keys: int, rows: int) -> DataFrame:
-    """id, n (set size), set_key (128 bits of the sorted set), a and b (key collections)."""
+    """id, n (set size), set_key (128 bits of the sorted set), a and b (key collections)
+    and sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, signer = Shingler(width), Signer(keys, rows)
@@ -118,14 +122,16 @@ def signatures(docs: DataFrame, width: int, keys: int, rows: int) -> DataFrame:
                         batch.column("id").slice(first, len(texts)),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets]),
-                        pa.array([None if s is None else s[0] for s in signed], pa.list_(pa.int64())),
-                        pa.array([None if s is None else s[1] for s in signed], pa.list_(pa.int64())),
+                        pa.array([s and s[0][0] for s in signed], pa.list_(pa.int64())),
+                        pa.array([s and s[0][1] for s in signed], pa.list_(pa.int64())),
+                        pa.array([s and s[1] for s in signed], pa.binary()),
                     ],
-                    names=["id", "n", "set_key", "a", "b"],
+                    names=["id", "n", "set_key", "a", "b", "sketch"],
                 )
 
     return docs.mapInArrow(
-        run, "id long, n long, set_key binary, a array<long>, b array<long>"
+        run,
+        "id long, n long, set_key binary, a array<long>, b array<long>, sketch binary",
     )
 
 
@@ -154,6 +160,34 @@ def rows_with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return near.join(ids, "id", "left_semi")
 
 
+def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches agree often enough.
+
+    A pair at the threshold agrees in ``percent`` of the minhashes on average; 5.5
+    standard deviations below that, it is lost with probability 2e-8.
+    """
+    share = percent / 100
+    own = reps.select("rep", "sketch")
+    first = own.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a"))
+    second = own.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b"))
+    both = pairs.join(first, "a").join(second, "b").select("a", "b", "sketch_a", "sketch_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(
+                    batch.num_rows, -1
+                )
+                for c in ("sketch_a", "sketch_b")
+            )
+            size = left.shape[1]
+            least = share - 5.5 * (share * (1 - share) / max(1, size)) ** 0.5
+            same = (left == right).sum(axis=1)
+            yield batch.select(["a", "b"]).filter(pa.array(same >= least * size))
+
+    return both.mapInArrow(run, "a long, b long")
+
+
 def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
     pairs = stored(pairs)
@@ -167,9 +201,9 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
         shingler = Shingler(width)
         for batch in batches:
             kept, last, right = [], None, None
-            for place, (left_text, id_b, right_text) in enumerate(
-                zip(*(batch.column(c).to_pylist() for c in ("text_a", "b", "text_b")))
-            ):
+            columns = [batch.column(c) for c in ("text_a", "b", "text_b")]
+            for row in range(batch.num_rows):
+                left_text, id_b, right_text = (c[row].as_py() for c in columns)
                 left = shingler(left_text)
                 if id_b != last:  # neighbours mostly share their second text
                     last, right = id_b, shingler(right_text)
@@ -347,14 +381,16 @@ def near_groups(
     reps = stored(
         signed.filter("n > 0 AND id IS NOT NULL")
         .groupBy("set_key")
-        .agg(F.min("id").alias("rep"), F.first("a").alias("a"), F.first("b").alias("b"))
+        .agg(
+            F.min("id").alias("rep"),
+            *(F.first(c).alias(c) for c in ("a", "b", "sketch")),
+        )
     )
-    links = stored(verified(source, _hub_pairs(reps, grid), width, percent))
+    pairs = _likely(_hub_pairs(reps, grid), reps, percent)
+    links = stored(verified(source, pairs, width, percent))
     labels = _labelled(reps, links)
-    rest = verified(
-        source, _rest_pairs(source, reps, labels, width, percent, least_shared), width, percent
-    )
-    more = stored(rest)
+    pairs = _rest_pairs(source, reps, labels, width, percent, least_shared)
+    more = stored(verified(source, _likely(pairs, reps, percent), width, percent))
     if not more.isEmpty():
         labels = _labelled(reps, links.unionByName(more))
     classes = reps.select("set_key", "rep").join(labels, "rep").select("set_key", "component")
