@@ -1,0 +1,11 @@
+"""Operators for training-data pipelines.
+
+Functions of this package that run in Python workers are sent to them by value, so the
+executors need no copy of it.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

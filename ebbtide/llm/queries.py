@@ -12,6 +12,7 @@ from ebbtide.llm import (
     chat,
     exact_dedup,
     hamming,
+    kneser_ney,
     minhash,
     packing,
     pieces,
@@ -206,3 +207,9 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         F.col("chain.toxic").alias("p_toxic"),
         F.coalesce(F.col("chain.toxic") >= 0.5, F.lit(False)).alias("rejected"),
     )
+
+
+@query()
+def op10_quality_ngram(spark: SparkSession, folder: str) -> DataFrame:
+    trusted = read(spark, folder, "labels").filter("quality = 1")
+    return kneser_ney.quality(read(spark, folder, "documents"), trusted)
