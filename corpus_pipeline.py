@@ -1,23 +1,60 @@
-"""Corpus pipeline: the stages that turn raw documents into packed training sequences."""
+"""Corpus pipeline: from raw documents to packed training sequences.
+
+Each stage works on all documents that the one before kept. All stages but the last
+return the columns of ``documents``:
+
+1. ``toxicity``: documents that the classifier chain rejects go;
+2. ``exact_dedup``: of equal texts (A-Z lower-cased) the smallest id stays;
+3. ``near_dedup``: of each group of near duplicates (five words, 0.8) the smallest id stays;
+4. ``secrets``: every secret in a text is replaced by ``[secret]``; no document goes;
+5. ``packing``: tokenised pieces of sequences of 1024, one row per piece.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ebbtide.llm import exact_dedup
+from ebbtide.llm import exact_dedup, minhash, packing, secrets, toxicity
 from ebbtide.session import stored
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = toxicity.standard_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.not_toxic(docs, toxicity.fit_chain(docs, labels))
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.without_copies(docs)
 
 
-STAGES = [("exact_dedup", exact)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.without_near_copies(docs, width=5, percent=80)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets.masked(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
+    ("secrets", mask_secrets),
+    ("packing", pack_sequences),
+]
+
+# Classifiers, MinHash and tokenisers have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage on all that the one before kept, each written and read again."""
+    """All stages in order, each written as Parquet and read again for the next one."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir))

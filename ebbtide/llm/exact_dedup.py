@@ -96,6 +96,11 @@ def without_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest"
 ) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    chosen = exact_groups(docs, id_col, text_col, keep)
-    gone = chosen.filter(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    gone = (
+        exact_groups(docs, id_col, text_col, keep)
+        .filter(~F.col("kept"))
+        .select(F.col(id_col).alias("gone_id"), F.col("text_sha256").alias("gone_sha256"))
+        .distinct()
+    )
+    same_text = F.sha2(ascii_lower(docs[text_col]), 256) == gone["gone_sha256"]
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["gone_id"]) & same_text, "left_anti")

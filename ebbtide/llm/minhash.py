@@ -405,3 +405,12 @@ def near_groups(
         )
         .withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
     )
+
+
+def without_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings
+) -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their group, with all their columns."""
+    groups = near_groups(docs, id_col, text_col, **settings)
+    gone = groups.filter(~F.col("kept")).select(F.col(id_col).alias("gone_id")).distinct()
+    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
