@@ -125,12 +125,13 @@ def fit_chain(
     id_col: str = "doc_id",
     text_col: str = "text",
     train_rows: int = 20_000,
-    vocabulary: int = 1 << 16,
+    vocabulary: int = 1 << 14,
     least_texts: int = 5,
     folds: int = 3,
     penalty: float = 0.001,
     rounds: int = 25,
     tasks: int = 4,
+    parallel_fits: int = 2,
 ) -> Chain:
     """Fit a chain on the texts of ``docs`` that ``labels`` (id and 0/1 columns) covers."""
     rows = training_rows(docs, labels, categories, id_col, text_col, train_rows)
@@ -165,7 +166,7 @@ def fit_chain(
         rests = [with_features.filter(F.col(f"{OWN}fold") != f) for f in range(folds)]
         todo = [with_features] if last else [with_features, *(r for r in rests)]
         # The fits are independent jobs of one application.
-        with ThreadPool(len(todo)) as pool:
+        with ThreadPool(parallel_fits) as pool:
             fit = inheritable_thread_target(docs.sparkSession)(
                 lambda rows, learner=learner: None if rows.isEmpty() else learner.fit(rows)
             )
