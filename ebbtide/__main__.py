@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -57,7 +58,11 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
         sub.add_argument("--output", required=True)
         if name == "run":
-            sub.add_argument("--max-trees", type=int)
+            sub.add_argument("--history-days", type=int, default=365)
+            sub.add_argument("--period-days", type=int, default=60)
+            sub.add_argument("--baseline-days", type=int, default=120)
+            sub.add_argument("--threshold", type=float, default=0.5)
+            sub.add_argument("--min-orders", type=int, default=3)
         else:
             sub.add_argument("--model", required=True)
             sub.add_argument("--predictions", required=True)
@@ -70,6 +75,8 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("ebbtide").getOrCreate()
+    # Dates are taken from timestamps, so they must not depend on the cluster's zone.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     if args.command == "append":
         result = append_inputs(spark, args.inputs, args.target, ORDER_ITEM)
         print(f"{result.rows} rows appended, {len(result.failed)} inputs left out")
@@ -77,7 +84,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     tables = _tables(spark, args)
     params = ChurnParams(as_of=args.as_of)
     if args.command == "run":
-        done = run(tables, params, ModelParams(max_trees=args.max_trees), args.output)
+        params = replace(
+            params,
+            history_days=args.history_days,
+            current_days=args.period_days,
+            previous_days=args.period_days,
+            baseline_days=args.baseline_days,
+            threshold=args.threshold,
+            min_orders=args.min_orders,
+        )
+        done = run(tables, params, ModelParams(), args.output)
         print("\n".join(f"{name}: {path}" for name, path in done.paths.items()))
     else:
         report = regenerate_report(spark, tables, params, args.model, args.predictions)

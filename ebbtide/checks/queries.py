@@ -5,6 +5,7 @@ Floating-point results are rounded so that they can be compared with SQL.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import functools
 import uuid
@@ -44,9 +45,10 @@ from ebbtide.sources.tables import (
 )
 
 PARAMS = ChurnParams(as_of=dt.date(2001, 8, 1))
-# Boosting rounds of the registered model queries; the library default is the full
-# number. The rows are always all rows.
-QUERY_MODEL = ModelParams(max_trees=10)
+CUSTOM = dataclasses.replace(
+    PARAMS, threshold=0.3, current_days=90, previous_days=90, baseline_days=180
+)
+MODEL = ModelParams()
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -114,9 +116,20 @@ def dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_dataset(spark.sparkContext.applicationId, spark, sf_dir)
 
 
+@functools.lru_cache(maxsize=8)
+def _stored_features(app: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = tables(spark, sf_dir)
+    return stored(features.feature_set(t.order_header, t.order_item, PARAMS))
+
+
+def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All feature rows, labelled or not: members with few orders have gaps there."""
+    return _stored_features(spark.sparkContext.applicationId, spark, sf_dir)
+
+
 @functools.lru_cache(maxsize=4)
 def _fitted(app: str, spark: SparkSession, sf_dir: str) -> training.ChurnModel:
-    return training.train_models(dataset(spark, sf_dir), QUERY_MODEL)
+    return training.train_models(dataset(spark, sf_dir), MODEL)
 
 
 def fitted(spark: SparkSession, sf_dir: str) -> training.ChurnModel:
@@ -236,6 +249,12 @@ def history_window(spark, sf_dir):
     )
 
 
+@query
+def churn_labels_custom(spark, sf_dir):
+    """Two periods of 90 days and a threshold of 0.3."""
+    return rounded(labels.churn_labels(header(spark, sf_dir), CUSTOM), 2)
+
+
 @query
 def churn_labels(spark, sf_dir):
     return rounded(labels.churn_labels(header(spark, sf_dir), PARAMS), 2)
@@ -287,6 +306,14 @@ def product_features(spark, sf_dir):
     return rounded(features.product_features(t.order_header, t.order_item, PARAMS), 6)
 
 
+@query
+def days_between_orders_repeats(spark, sf_dir):
+    """Orders repeated once per line of theirs: repeated rows are 0 days apart."""
+    t = tables(spark, sf_dir)
+    lines = t.order_item.select("order_number")
+    return features.days_between_orders(t.order_header.join(lines, "order_number"), PARAMS)
+
+
 @query
 def behavioral_features(spark, sf_dir):
     return rounded(features.behavioral_features(header(spark, sf_dir), PARAMS))
@@ -570,6 +597,13 @@ def risk_segment_performance(spark, sf_dir):
     return analysis.risk_segment_performance(closed_score(dataset(spark, sf_dir)))
 
 
+@query
+def risk_segment_all_bands(spark, sf_dir):
+    """Also bands without rows: here the rows of the top band are left out."""
+    scored = closed_score(dataset(spark, sf_dir)).where("risk_segment <> 'High Risk'")
+    return analysis.risk_segment_performance(scored, all_bands=True)
+
+
 @query
 def prediction_join_fanout(spark, sf_dir):
     data = dataset(spark, sf_dir)
@@ -678,7 +712,7 @@ def impute_numeric(spark, sf_dir):
 
 @query
 def ffill_days(spark, sf_dir):
-    data = dataset(spark, sf_dir).select("member_id", TIER, "days_between_orders_std")
+    data = feature_rows(spark, sf_dir).select("member_id", TIER, "days_between_orders_std")
     order = [F.asc_nulls_last(c) for c in prepare.ROW_ORDER]
     return rounded(forward_filled(data, order, ["days_between_orders_std"]))
 
@@ -710,6 +744,25 @@ def prepared_features(spark, sf_dir):
     return rounded(ready)
 
 
+@query
+def prepared_gaps(spark, sf_dir):
+    """The preparation of all feature rows, where forward fill has gaps to fill."""
+    data = feature_rows(spark, sf_dir)
+    prep = prepare.fit_preparation(data)
+    keyed = data.withColumn("row_tier", F.coalesce(F.col(TIER), F.lit("none")))
+    return rounded(prepare.prepared_features(keyed, prep, ["member_id", "row_tier"]))
+
+
+@query
+def prepared_unseen(spark, sf_dir):
+    """All rows prepared by a fit on the GOLD rows: most classes are unknown to it."""
+    data = dataset(spark, sf_dir)
+    prep = prepare.fit_preparation(data.where(F.col(TIER) == "GOLD"))
+    keyed = data.withColumn("row_tier", F.coalesce(F.col(TIER), F.lit("none")))
+    ready = prepare.prepared_features(keyed, prep, ["member_id", "row_tier", "is_churned"])
+    return rounded(ready)
+
+
 @query
 def align_features(spark, sf_dir):
     """The model's column list meets a batch that lacks one column and has others."""
@@ -720,24 +773,22 @@ def align_features(spark, sf_dir):
 
 @query
 def unseen_categories(spark, sf_dir):
-    """Text values of the tier rows that a fit on the GOLD rows does not know."""
-    data = dataset(spark, sf_dir)
-    names = ["primary_outlet", "top_product_groups", "recency_bucket"]
-    gold = prepare.category_counts(data.where(F.col(TIER) == "GOLD"), names)
-    silver = data.where(F.col(TIER) == "SILVER")
-    return prepare.unseen_categories(silver, gold, names).select(
-        F.col("column").alias("feature"), "value"
+    """Per tier route, the texts of all other rows that its fit does not know."""
+    data = prepare.with_known_tier(dataset(spark, sf_dir))
+    found = prepare.unseen_by_route(
+        data, sorted(MODEL.min_rows), correlation.text_columns(data)
     )
+    return found.withColumnRenamed("column", "feature")
 
 
 @query
 def tier_eligibility(spark, sf_dir):
-    return training.tier_eligibility(dataset(spark, sf_dir), QUERY_MODEL)
+    return training.tier_eligibility(dataset(spark, sf_dir), MODEL)
 
 
 @query
 def class_weights(spark, sf_dir):
-    return rounded(training.class_weights(dataset(spark, sf_dir), QUERY_MODEL), 6)
+    return rounded(training.class_weights(dataset(spark, sf_dir), MODEL), 6)
 
 
 # --- models ----------------------------------------------------------------------------------
@@ -756,49 +807,143 @@ def train_global_model(spark, sf_dir):
     return rounded(found.where(F.col("model") == "global").drop("auc"), 9)
 
 
+def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score_members(dataset(spark, sf_dir), fitted(spark, sf_dir))
+
+
 @query
 def training_metrics(spark, sf_dir):
-    return training.training_metrics(fitted(spark, sf_dir), spark)
+    """Figures per tier model, and whether scoring reproduces the stored AUC."""
+    model = fitted(spark, sf_dir)
+    found = training.training_metrics(model, spark).where(F.col("model") != "global")
+    scored = scored_rows(spark, sf_dir).where(F.col("model_used") == "tier_specific")
+    parts = [
+        evaluation.roc_auc(scored.where(F.col(TIER) == tier), "is_churned").select(
+            F.lit(tier).alias("model"), F.col("auc").alias("again")
+        )
+        for tier in model.tiers
+    ]
+    again = functools.reduce(DataFrame.unionByName, parts)
+    return found.join(again, "model").select(
+        "model",
+        "sample_size",
+        F.round("churn_rate", 9).alias("churn_rate"),
+        "churn_count",
+        "feature_count",
+        (F.abs(F.col("auc") - F.col("again")) < 1e-9).alias("auc_reproduced"),
+        F.col("auc").between(0.7, 1.0).alias("auc_plausible"),
+    )
 
 
 @query
 def score_members(spark, sf_dir):
-    return scoring.score_members(dataset(spark, sf_dir), fitted(spark, sf_dir))
+    """Which model scored each row, and whether the score is a probability."""
+    return scored_rows(spark, sf_dir).select(
+        "member_id",
+        TIER,
+        "model_used",
+        "prediction_tier",
+        F.col("churn_probability").between(0, 1).alias("is_probability"),
+    )
 
 
 @query
 def predictions(spark, sf_dir):
-    return scoring.predictions(dataset(spark, sf_dir), fitted(spark, sf_dir))
+    """Actual class, and whether class and band follow from the probability."""
+    found = scoring.predictions(dataset(spark, sf_dir), fitted(spark, sf_dir))
+    p = F.col("churn_probability")
+    band = (
+        F.when(p <= 0.3, "Low Risk").when(p <= 0.7, "Medium Risk").otherwise("High Risk")
+    )
+    return found.select(
+        "member_id",
+        TIER,
+        "actual_churn",
+        ((F.col("predicted_churn") == 1) == (p >= 0.5)).alias("class_follows"),
+        (F.col("risk_segment") == band).alias("band_follows"),
+    )
+
+
+@query
+def score_ranking(spark, sf_dir):
+    """Per model, whether churners score higher on average than the others."""
+    churned = F.col("is_churned") == 1
+    p = F.col("churn_probability")
+    return (
+        scored_rows(spark, sf_dir)
+        .groupBy("prediction_tier")
+        .agg(
+            F.count("*").alias("rows"),
+            (F.avg(F.when(churned, p)) > F.avg(F.when(~churned, p))).alias("ordered"),
+        )
+    )
 
 
 @query
 def feature_importance(spark, sf_dir):
-    return training.feature_importance(fitted(spark, sf_dir), spark)
+    """Per model: number of features, and that importances are shares of 1."""
+    model = fitted(spark, sf_dir)
+    found = training.feature_importance(model, spark, top_n=1000)
+    return found.groupBy("model").agg(
+        F.count("*").alias("features"),
+        F.countDistinct("feature").alias("names"),
+        F.round(F.sum("importance"), 6).alias("total"),
+        F.min(F.col("importance") >= 0).alias("none_negative"),
+        F.max(F.when(F.col("place") == 1, F.col("importance")) > 0).alias("first_positive"),
+    )
 
 
 @query
 def model_summary(spark, sf_dir):
-    return training.model_summary(fitted(spark, sf_dir), spark)
+    """The summary; an AUC is shown as whether it is better than chance."""
+    found = training.model_summary(fitted(spark, sf_dir), spark)
+    better = F.when(F.col("value").between(0.5, 1), 1.0).otherwise(0.0)
+    value = F.when(F.col("metric") == "auc", better).otherwise(F.round("value", 9))
+    return found.select("entity", "metric", value.alias("value"))
 
 
 @query
 def model_roundtrip(spark, sf_dir):
-    """Score with a saved and reloaded model."""
-    folder = scoring.save_model(fitted(spark, sf_dir), _scratch(spark), spark)
-    return scoring.predictions(dataset(spark, sf_dir), scoring.load_model(folder, spark))
+    """Whether a saved and reloaded model gives every row the same prediction."""
+    model = fitted(spark, sf_dir)
+    folder = scoring.save_model(model, _scratch(spark), spark)
+    first = stored(scoring.predictions(dataset(spark, sf_dir), model))
+    second = scoring.predictions(dataset(spark, sf_dir), scoring.load_model(folder, spark))
+    other = second.select(
+        F.col("member_id").alias("other_member"),
+        F.col(TIER).alias("other_tier"),
+        F.col("churn_probability").alias("other_probability"),
+    )
+    same_row = F.col("member_id").eqNullSafe(F.col("other_member")) & F.col(TIER).eqNullSafe(
+        F.col("other_tier")
+    )
+    return first.join(other, same_row, "full").select(
+        "member_id",
+        TIER,
+        F.col("churn_probability").eqNullSafe(F.col("other_probability")).alias("same"),
+    )
 
 
 @query
 def model_comparison(spark, sf_dir):
-    return training.model_comparison(dataset(spark, sf_dir), QUERY_MODEL, folds=3, trees=5)
+    """Cross-validated figures of the model families, as whether they are plausible."""
+    found = training.model_comparison(dataset(spark, sf_dir), MODEL)
+    return found.select(
+        "algorithm",
+        F.col("cv_mean_auc").between(0.5, 1).alias("better_than_chance"),
+        F.col("cv_std_auc").between(0, 0.25).alias("steady"),
+    )
 
 
 @query
 def churn_report(spark, sf_dir):
+    """The report without what only a trained model can tell (AUC and importances)."""
     t = tables(spark, sf_dir)
-    return report.churn_report(
+    found = report.churn_report(
         cohort.cohort_analysis(t.order_header, PARAMS),
         profile.churn_stats(labels.churn_labels(t.order_header, PARAMS)),
         fitted(spark, sf_dir),
         dataset(spark, sf_dir),
     )
+    kept = (F.col("section") != "top_features") & (F.col("metric") != "auc")
+    return rounded(found.where(kept))

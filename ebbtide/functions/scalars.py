@@ -48,6 +48,9 @@ def recency_bucket(days: Column) -> Column:
     )
 
 
+RISK_BANDS = ("Low Risk", "Medium Risk", "High Risk")
+
+
 def risk_segment(probability: Column) -> Column:
     """Bands [0, 0.3], (0.3, 0.7], (0.7, 1]; NULL outside."""
     return (

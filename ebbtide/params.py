@@ -50,9 +50,6 @@ class ChurnParams:
     # True reads a history-day count of 0 (not 1) as "no history" in the cohort flags.
     guard_zero: bool = False
     inactive_days: int = 60
-    # Product-group lists longer than this many characters are kept run-length
-    # encoded ("group*count"), which loses nothing; see plans.features.
-    list_text_limit: int = 16 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -79,8 +76,9 @@ class ModelParams:
     seed: int = 42
     weights: dict[str, float] = field(default_factory=lambda: dict(TIER_WEIGHTS))
     min_rows: dict[str, int] = field(default_factory=lambda: dict(TIER_MIN_ROWS))
-    # Upper limit on boosting rounds; None trains the full number of each route.
-    max_trees: int | None = None
+    # Boosting settings per route; ``other`` is for tiers without an entry.
+    specs: dict[str, BoostSpec] = field(default_factory=lambda: dict(BOOST_SPECS))
+    other: BoostSpec = OTHER_TIER_SPEC
     max_bins: int = 32
     # Routes fitted at the same time (jobs of one Spark application).
     parallel_fits: int = 8
@@ -88,9 +86,4 @@ class ModelParams:
     rows_per_task: int = 200_000
 
     def spec(self, route: str) -> BoostSpec:
-        chosen = BOOST_SPECS.get(route, OTHER_TIER_SPEC)
-        if self.max_trees is None or chosen.trees <= self.max_trees:
-            return chosen
-        return BoostSpec(
-            self.max_trees, chosen.step, chosen.depth, chosen.row_share, chosen.column_share
-        )
+        return self.specs.get(route, self.other)

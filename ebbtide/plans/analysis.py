@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.functions.scalars import RISK_BANDS
 from ebbtide.operators import evaluation
 from ebbtide.operators.histograms import grid_counts, histogram, value_counts
 from ebbtide.params import TIER
@@ -60,8 +61,10 @@ def frequency_recency_grid(data: DataFrame) -> DataFrame:
     return grid_counts(data, "total_orders", "days_since_last_order", LABEL)
 
 
-def risk_segment_performance(predictions: DataFrame) -> DataFrame:
-    return (
+def risk_segment_performance(predictions: DataFrame, all_bands: bool = False) -> DataFrame:
+    """Rows, churn rate and mean probability per risk band; with ``all_bands`` also the
+    bands without rows, with count 0 and NULL figures."""
+    found = (
         predictions.where(F.col("risk_segment").isNotNull())
         .groupBy("risk_segment")
         .agg(
@@ -70,6 +73,14 @@ def risk_segment_performance(predictions: DataFrame) -> DataFrame:
             F.round(F.avg("churn_probability"), 3).alias("Avg_Probability"),
         )
     )
+    if not all_bands:
+        return found
+    bands = predictions.sparkSession.range(len(RISK_BANDS)).select(
+        F.get(F.array(*map(F.lit, RISK_BANDS)), F.col("id").cast("int")).alias("risk_segment")
+    )
+    return bands.join(found, "risk_segment", "left").withColumn(
+        "Count", F.coalesce("Count", F.lit(0).cast("long"))
+    )
 
 
 def dashboard_join(data: DataFrame, predictions: DataFrame) -> DataFrame:

@@ -109,8 +109,7 @@ def base_features(order_header: DataFrame, params: ChurnParams) -> DataFrame:
     def distinct(flag: str, name: str) -> Column:
         return F.count(F.when(F.col(flag) == 1, F.col(name)))
 
-    outlet = F.when(F.col("by_outlet") == 1, F.col("outlet_name"))
-    grouped = cells.groupBy("member_id", TIER).agg(
+    numbers = cells.groupBy("member_id", TIER).agg(
         of_member("last_date").alias("last_date"),
         of_member("first_date").alias("first_date"),
         distinct("by_id", "id").alias("total_orders"),
@@ -126,7 +125,26 @@ def base_features(order_header: DataFrame, params: ChurnParams) -> DataFrame:
             )
         ],
         distinct("by_outlet", "outlet_name").alias("outlet_diversity"),
-        most_frequent(outlet, F.col("orders")).alias("primary_outlet"),
+    )
+    # The main outlet is a text, which a hash aggregate cannot hold: it is picked from
+    # the narrow (member, tier, outlet) rows alone.
+    outlet_rows = cells.where((F.col("by_outlet") == 1) & F.col("outlet_name").isNotNull())
+    best = Window.partitionBy("member_id", TIER).orderBy(F.desc("orders"), "outlet_name")
+    outlets = (
+        outlet_rows.select("member_id", TIER, "outlet_name", "orders")
+        .withColumn("place", F.row_number().over(best))
+        .where(F.col("place") == 1)
+        .select(
+            F.col("member_id").alias("outlet_member"),
+            F.col(TIER).alias("outlet_tier"),
+            F.col("outlet_name").alias("primary_outlet"),
+        )
+    )
+    grouped = numbers.join(
+        outlets,
+        F.col("member_id").eqNullSafe(F.col("outlet_member"))
+        & F.col(TIER).eqNullSafe(F.col("outlet_tier")),
+        "left",
     )
     return grouped.select(
         "member_id",
@@ -171,22 +189,15 @@ def product_group_counts(
     )
 
 
-def joined_groups(entries: Column, limit: int) -> Column:
+def joined_groups(entries: Column) -> Column:
     """Sorted product groups joined by ``|``, each as often as it occurs.
 
-    ``entries`` is an array of (product_group, lines), one per distinct group. A text
-    longer than ``limit`` is written as ``group*lines`` instead, so a member with
-    billions of lines still gets a complete, bounded value.
+    ``entries`` is an array of (product_group, lines), one per distinct group. The form
+    is the same at every size; a value beyond the longest possible string fails.
     """
-    ordered = F.array_sort(entries)
-    size = F.aggregate(
-        ordered,
-        F.lit(0).cast("long"),
-        lambda total, e: total + e["lines"] * (F.length(e["product_group"]) + 1),
-    )
     spelled = F.array_join(
         F.transform(
-            ordered,
+            F.array_sort(entries),
             lambda e: F.concat(
                 F.repeat(
                     F.concat(e["product_group"], F.lit("|")), (e["lines"] - 1).cast("int")
@@ -196,16 +207,7 @@ def joined_groups(entries: Column, limit: int) -> Column:
         ),
         "|",
     )
-    counted = F.array_join(
-        F.transform(
-            ordered,
-            lambda e: F.concat_ws("*", e["product_group"], e["lines"].cast("string")),
-        ),
-        "|",
-    )
-    return (
-        F.when(F.size(entries) == 0, None).when(size <= limit, spelled).otherwise(counted)
-    )
+    return F.when(F.size(entries) > 0, spelled)
 
 
 def product_features(
@@ -243,11 +245,7 @@ def product_features(
     def total(name: str) -> Column:
         return F.sum(F.when(by_group, F.col(name)))
 
-    entry = F.when(
-        by_group & F.col("product_group").isNotNull(),
-        F.struct("product_group", "lines"),
-    )
-    return cells.groupBy("member_id").agg(
+    numbers = cells.groupBy("member_id").agg(
         # The other sets hold NULL in this column, so a plain count is enough.
         F.count("product_group").alias("product_group_diversity"),
         F.count("brand_name").alias("brand_diversity"),
@@ -256,10 +254,19 @@ def product_features(
             "avg_quantity_per_item"
         ),
         ratio(total("paid"), total("listed")).alias("avg_discount_rate"),
-        # One entry per distinct product group of the member, not per line.
-        joined_groups(F.collect_list(entry), params.list_text_limit).alias(
-            "top_product_groups"
-        ),
+    )
+    # One entry per distinct product group of the member, not per line. Only these
+    # narrow rows are collected; all totals stay in a hash aggregate.
+    lists = (
+        cells.where(by_group & F.col("product_group").isNotNull())
+        .groupBy(F.col("member_id").alias("list_member"))
+        .agg(F.collect_list(F.struct("product_group", "lines")).alias("entries"))
+    )
+    return numbers.join(
+        lists, F.col("member_id").eqNullSafe(F.col("list_member")), "left"
+    ).select(
+        *numbers.columns,
+        joined_groups(F.col("entries")).alias("top_product_groups"),
     )
 
 
@@ -296,46 +303,40 @@ def visit_days(order_header: DataFrame, params: ChurnParams) -> DataFrame:
             F.count("*").alias("orders"),
             F.sum("grand_total").alias("spent"),
             F.count("grand_total").alias("amounts"),
-            F.min(F.struct("order_ts", "id")).alias("first_order"),
         )
     )
+    return days.withColumn("gap", _gap_to_previous_day())
+
+
+def _gap_to_previous_day() -> Column:
     by_day = Window.partitionBy("member_id").orderBy("order_date")
-    return days.withColumn(
-        "gap", F.datediff("order_date", F.lag("order_date").over(by_day))
-    )
+    return F.datediff("order_date", F.lag("order_date").over(by_day))
 
 
 def days_between_orders(order_header: DataFrame, params: ChurnParams) -> DataFrame:
-    """Every order with the days since the member's previous order.
+    """Every order row with the days since the member's previous order row.
 
-    The first order of a day carries the gap to the previous day and later orders of
-    that day carry 0, so the gap is joined back from the (member, day) rows; no window
-    runs over the raw orders of a member.
+    Rows are numbered inside their (member, day), by time, id and amount; repeated rows
+    get places of their own. The first place of a day carries the gap to the previous
+    day, found on one row per day; every later one carries 0. Both parts come from one
+    exchange by member and day, so no task holds all orders of a member.
     """
-    days = visit_days(order_header, params).select(
-        F.col("member_id").alias("gap_member"),
-        F.col("order_date").alias("gap_date"),
-        "gap",
-        F.col("first_order.order_ts").alias("first_ts"),
-        F.col("first_order.id").alias("first_id"),
-    )
-    orders = recent_orders(order_header, params).select(
-        "member_id", "id", "order_ts", "order_date", "grand_total"
+    within_day = Window.partitionBy("member_id", "order_date").orderBy(
+        "order_ts", "id", "grand_total"
     )
-    joined = orders.join(
-        days,
-        orders.member_id.eqNullSafe(days.gap_member) & (orders.order_date == days.gap_date),
+    placed = (
+        recent_orders(order_header, params)
+        .select("member_id", "id", "order_ts", "order_date", "grand_total")
+        .withColumn("place", F.row_number().over(within_day))
     )
-    is_first = (F.col("order_ts") == F.col("first_ts")) & F.col("id").eqNullSafe(
-        F.col("first_id")
+    columns = ["member_id", "id", "order_date", "grand_total"]
+    first = placed.where(F.col("place") == 1).select(
+        *columns, _gap_to_previous_day().alias("days_between_orders")
     )
-    return joined.select(
-        "member_id",
-        "id",
-        "order_date",
-        "grand_total",
-        F.when(is_first, F.col("gap")).otherwise(0).alias("days_between_orders"),
+    later = placed.where(F.col("place") > 1).select(
+        *columns, F.lit(0).alias("days_between_orders")
     )
+    return first.unionByName(later)
 
 
 def behavioral_features(order_header: DataFrame, params: ChurnParams) -> DataFrame:

@@ -7,7 +7,7 @@ reused when scoring.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,11 +23,6 @@ from ebbtide.session import pinned
 EXCLUDED = ("member_id", "is_churned")
 TINY = 1e-6
 ROW_ORDER = ("member_id", TIER)
-# Columns with few classes are coded by a literal list of their values. For the others
-# the label table is joined, and sent to all tasks only below both limits.
-LISTED_CLASSES = 64
-BROADCAST_CLASSES = 50_000
-BROADCAST_CHARS = 4_000_000
 
 
 def check_input(df: DataFrame, route: str = GLOBAL_ROUTE) -> None:
@@ -127,13 +122,10 @@ class Preparation:
     numeric: list[str]
     categorical: list[str]
     medians: dict[str, float | None]
-    modes: dict[str, str]
-    # Classes in order for columns with few of them; the code is the place from 0.
-    listed: dict[str, list[str]] = field(default_factory=dict)
-    # Rows (column, value, code) of all other columns.
+    # Code of the most frequent class per text column, taken by NULL.
+    mode_codes: dict[str, float]
+    # Rows (column, value, code) of all text columns; None without text columns.
     codes: DataFrame | None = None
-    # Per column: number of classes and characters in them.
-    sizes: dict[str, tuple[int, int]] = field(default_factory=dict)
 
     @property
     def feature_names(self) -> list[str]:
@@ -155,9 +147,7 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def category_modes(counts: DataFrame) -> DataFrame:
     return counts.groupBy("column").agg(
-        most_frequent(F.col("value"), F.col("n")).alias("mode"),
-        F.count("*").alias("classes"),
-        F.sum(F.length("value")).alias("chars"),
+        most_frequent(F.col("value"), F.col("n")).alias("mode")
     )
 
 
@@ -180,23 +170,17 @@ def fit_preparation(df: DataFrame, route: str = GLOBAL_ROUTE) -> Preparation:
     medians = {
         c: q.values[0] for c, q in column_quantiles(made, numeric, [0.5]).items()
     }
-    modes = dict.fromkeys(categorical, UNKNOWN)
-    sizes = dict.fromkeys(categorical, (0, 0))
-    listed: dict[str, list[str]] = {}
+    mode_codes = dict.fromkeys(categorical, 0.0)
     codes = None
     if categorical:
         counts = pinned(category_counts(made, categorical))
-        for row in category_modes(counts).collect():
-            modes[row["column"]] = row["mode"]
-            sizes[row["column"]] = (row["classes"], row["chars"])
-        small = [c for c in categorical if sizes[c][0] <= LISTED_CLASSES]
-        listed = {c: [] for c in small}
-        for row in counts.where(F.col("column").isin(small)).collect():
-            listed[row["column"]].append(row["value"])
-        listed = {c: sorted(values) for c, values in listed.items()}
-        if len(small) < len(categorical):
-            codes = pinned(label_codes(counts.where(~F.col("column").isin(small))))
-    return Preparation(route, numeric, categorical, medians, modes, listed, codes, sizes)
+        codes = pinned(label_codes(counts))
+        modes = category_modes(counts)
+        chosen = modes.join(codes, ["column"]).where(F.col("value") == F.col("mode"))
+        # One number per text column; the texts themselves stay where they are.
+        for row in chosen.select("column", "code").collect():
+            mode_codes[row["column"]] = row["code"]
+    return Preparation(route, numeric, categorical, medians, mode_codes, codes)
 
 
 def with_filled_days(df: DataFrame, within: Sequence[str] = ()) -> DataFrame:
@@ -227,29 +211,28 @@ def with_numbers(df: DataFrame, prep: Preparation) -> DataFrame:
 
 
 def with_codes(df: DataFrame, prep: Preparation) -> DataFrame:
-    """Replace text columns by their codes: NULL takes the mode, an unknown value the
-    first class."""
+    """Replace text columns by their codes: NULL takes the mode's code, an unknown value
+    the first class.
+
+    The code table is joined by a hash of the value, and by the value itself against
+    collisions. NULL takes no part in the join, so rows without a value are no hot key.
+    """
     present = set(df.columns)
     for column in prep.categorical:
         if column not in present:
             continue
-        known = F.coalesce(F.col(column), F.lit(prep.modes[column]))
-        name = f"{column}_encoded"
-        if column in prep.listed:
-            classes = F.array(*[F.lit(v) for v in prep.listed[column]]).cast("array<string>")
-            place = F.array_position(classes, known) - 1
-            df = df.withColumn(name, F.greatest(place, F.lit(0)).cast("double"))
-            continue
-        classes, chars = prep.sizes[column]
         codes = prep.codes.where(F.col("column") == column).select(
-            F.col("value").alias("_value"), F.col("code").alias("_code")
+            F.md5("value").alias("_hash"),
+            F.col("value").alias("_value"),
+            F.col("code").alias("_code"),
         )
-        if classes <= BROADCAST_CLASSES and chars <= BROADCAST_CHARS:
-            codes = F.broadcast(codes)
+        mode = F.lit(prep.mode_codes[column])
+        match = (F.md5(column) == F.col("_hash")) & (F.col(column) == F.col("_value"))
+        code = F.when(F.col(column).isNull(), mode).otherwise(F.coalesce("_code", F.lit(0.0)))
         df = (
-            df.join(codes, known == F.col("_value"), "left")
-            .withColumn(name, F.coalesce(F.col("_code"), F.lit(0.0)))
-            .drop("_value", "_code")
+            df.join(codes, match, "left")
+            .withColumn(f"{column}_encoded", code)
+            .drop("_hash", "_value", "_code")
         )
     return df.drop(*prep.categorical)
 
@@ -297,3 +280,23 @@ def unseen_categories(df: DataFrame, fitted: DataFrame, columns: Sequence[str])
     seen = category_counts(df, columns).select("column", "value")
     return seen.join(fitted.select("column", "value"), ["column", "value"], "left_anti")
 
+
+
+def unseen_by_route(
+    df: DataFrame, routes: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    """(route, column, value): texts of other tiers' rows that a fit on ``route`` has
+    not seen. ``df`` has known tiers and ``routes`` is the fixed list of tier models."""
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]
+    )
+    held = (
+        df.select(F.col(TIER).alias("route"), F.inline(pairs))
+        .where(F.col("value").isNotNull())
+        .distinct()
+    )
+    others = held.select(
+        F.explode(F.array(*map(F.lit, routes))).alias("asking"), "route", "column", "value"
+    ).where(F.col("asking") != F.col("route"))
+    asked = others.select(F.col("asking").alias("route"), "column", "value").distinct()
+    return asked.join(held, ["route", "column", "value"], "left_anti")

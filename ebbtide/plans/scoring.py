@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import predicted_class, risk_segment
-from ebbtide.params import GLOBAL_ROUTE, TIER, ModelParams
+from ebbtide.params import GLOBAL_ROUTE, TIER, BoostSpec, ModelParams
 from ebbtide.plans.prepare import (
     Preparation,
     check_input,
@@ -27,6 +27,7 @@ from ebbtide.plans.training import (
     RouteResult,
     assembled,
     probability,
+    route_table,
 )
 
 log = logging.getLogger(__name__)
@@ -43,27 +44,27 @@ def _score_route(rows: DataFrame, route: RouteModel, keep: list[str]) -> DataFra
 def score_members(df: DataFrame, model: ChurnModel, on_error: str = "raise") -> DataFrame:
     """Churn probability per (member, tier), from the tier's own model or the fallback.
 
-    Every route is one filter and one transform; the parts are united. With
-    ``on_error="neutral"`` a route that cannot be prepared scores 0.5.
+    Gaps are filled once for all routes, each tier on its own. The filled rows are
+    stored by route, so every route is one scan of its own part and one transform; the
+    parts are united. With ``on_error="neutral"`` a route that cannot be prepared
+    scores 0.5.
     """
     check_input(df)
-    known = with_known_tier(df) if TIER in df.columns else df
+    has_tier = TIER in df.columns
+    known = with_known_tier(df) if has_tier else df
     keep = [c for c in ("member_id", TIER, LABEL) if c in known.columns]
-    own = model.tiers if TIER in known.columns else []
-    # One sort fills the gaps for all routes, each tier on its own.
-    known = with_filled_days(known, [TIER] if TIER in known.columns else [])
+    own = model.tiers if has_tier else []
+    known = with_filled_days(known, [TIER] if has_tier else [])
+    table = route_table(known, own) if own else known.withColumn("route", F.lit(-1))
     parts = []
-    for route in [*own, GLOBAL_ROUTE]:
-        if route == GLOBAL_ROUTE:
-            rows = known.where(~F.col(TIER).isin(own)) if own else known
-            used = "global_fallback"
-        else:
-            rows = known.where(F.col(TIER) == route)
-            used = "tier_specific"
+    for place, route in [*enumerate(own), (-1, None)]:
+        rows = table.where(F.col("route") == place).drop("route")
+        used = "global_fallback" if route is None else "tier_specific"
+        fitted = model.fallback if route is None else model.routes[route]
         try:
-            if route not in model.routes:
-                raise ValueError(f"no model for route {route}")
-            scored = _score_route(rows, model.routes[route], keep)
+            if fitted is None:
+                raise ValueError("no global model")
+            scored = _score_route(rows, fitted, keep)
         except Exception as error:
             if on_error != "neutral":
                 raise
@@ -72,7 +73,7 @@ def score_members(df: DataFrame, model: ChurnModel, on_error: str = "raise") ->
             used = "default_fallback"
         parts.append(scored.withColumn("model_used", F.lit(used)))
     scored = reduce(DataFrame.unionByName, parts)
-    tier = F.col(TIER) if TIER in known.columns else F.lit(GLOBAL_ROUTE)
+    tier = F.col(TIER) if has_tier else F.lit(GLOBAL_ROUTE)
     return scored.withColumn("prediction_tier", tier)
 
 
@@ -111,24 +112,25 @@ def prediction_join_fanout(data: DataFrame, scored: DataFrame) -> DataFrame:
 def save_model(model: ChurnModel, folder: str, spark: SparkSession) -> str:
     """Models, label codes and metadata in one directory."""
     parts = []
-    notes = {"params": asdict(model.params), "failures": model.failures, "routes": {}}
-    for route, m in sorted(model.routes.items()):
-        m.model.write().save(f"{folder}/models/route={route}")
+    notes = {"params": asdict(model.params), "failures": model.failures, "models": []}
+    for number, (name, m) in enumerate(model.named):
+        m.model.write().save(f"{folder}/models/{number}")
         p = m.preparation
         if p.codes is not None:
-            parts.append(p.codes.withColumn("route", F.lit(route)))
-        notes["routes"][route] = {
-            "numeric": p.numeric,
-            "categorical": p.categorical,
-            "medians": p.medians,
-            "modes": p.modes,
-            "listed": p.listed,
-            "joined": p.codes is not None,
-            "sizes": p.sizes,
-            "result": asdict(m.result),
-        }
+            parts.append(p.codes.withColumn("number", F.lit(number)))
+        notes["models"].append(
+            {
+                "tier": None if m is model.fallback else name,
+                "numeric": p.numeric,
+                "categorical": p.categorical,
+                "medians": p.medians,
+                "mode_codes": p.mode_codes,
+                "joined": p.codes is not None,
+                "result": asdict(m.result),
+            }
+        )
     if parts:
-        reduce(DataFrame.unionByName, parts).write.partitionBy("route").parquet(
+        reduce(DataFrame.unionByName, parts).write.partitionBy("number").parquet(
             f"{folder}/codes"
         )
     text = json.dumps(notes)
@@ -138,28 +140,31 @@ def save_model(model: ChurnModel, folder: str, spark: SparkSession) -> str:
     return folder
 
 
+def _loaded_params(saved: dict) -> ModelParams:
+    specs = {route: BoostSpec(**s) for route, s in saved["specs"].items()}
+    return ModelParams(**{**saved, "specs": specs, "other": BoostSpec(**saved["other"])})
+
+
 def load_model(folder: str, spark: SparkSession) -> ChurnModel:
     notes = json.loads(spark.read.text(f"{folder}/metadata").first()["value"])
-    model = ChurnModel(ModelParams(**notes["params"]), failures=notes["failures"])
-    for route, n in notes["routes"].items():
+    model = ChurnModel(_loaded_params(notes["params"]), failures=notes["failures"])
+    for number, n in enumerate(notes["models"]):
         codes = None
         if n["joined"]:
             codes = (
-                spark.read.schema("column string, value string, code double, route string")
+                spark.read.schema("column string, value string, code double, number int")
                 .parquet(f"{folder}/codes")
-                .where(F.col("route") == route)
-                .drop("route")
+                .where(F.col("number") == number)
+                .drop("number")
             )
+        route = GLOBAL_ROUTE if n["tier"] is None else n["tier"]
         prep = Preparation(
-            route,
-            n["numeric"],
-            n["categorical"],
-            n["medians"],
-            n["modes"],
-            n["listed"],
-            codes,
-            {c: tuple(s) for c, s in n["sizes"].items()},
+            route, n["numeric"], n["categorical"], n["medians"], n["mode_codes"], codes
         )
-        booster = GBTClassificationModel.load(f"{folder}/models/route={route}")
-        model.routes[route] = RouteModel(route, prep, booster, RouteResult(**n["result"]))
+        booster = GBTClassificationModel.load(f"{folder}/models/{number}")
+        loaded = RouteModel(route, prep, booster, RouteResult(**n["result"]))
+        if n["tier"] is None:
+            model.fallback = loaded
+        else:
+            model.routes[n["tier"]] = loaded
     return model

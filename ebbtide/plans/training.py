@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import math
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -63,16 +64,20 @@ class RouteModel:
 @dataclass
 class ChurnModel:
     params: ModelParams
+    # By tier; the fallback is apart, so a tier may have any name.
     routes: dict[str, RouteModel] = field(default_factory=dict)
+    fallback: RouteModel | None = None
     failures: dict[str, str] = field(default_factory=dict)
 
     @property
     def tiers(self) -> list[str]:
-        return sorted(r for r in self.routes if r != GLOBAL_ROUTE)
+        return sorted(self.routes)
 
     @property
-    def fallback(self) -> RouteModel | None:
-        return self.routes.get(GLOBAL_ROUTE)
+    def named(self) -> list[tuple[str, RouteModel]]:
+        """All models with their names in reports, tiers first."""
+        found = [(tier, self.routes[tier]) for tier in self.tiers]
+        return found + ([(GLOBAL_ROUTE, self.fallback)] if self.fallback else [])
 
 
 def _by_tier(values: dict[str, float], default: float) -> Column:
@@ -183,11 +188,18 @@ def train_route(
     return RouteModel(route, prep, model, result)
 
 
-def route_table(data: DataFrame) -> DataFrame:
-    """The modelling set with known tiers, stored by tier so that a route reads only
-    its own part."""
-    known = with_known_tier(data)
-    return stored(known.withColumn("route", F.col(TIER)), "route")
+def route_number(tiers: Sequence[str]) -> Column:
+    """Place of a row's tier among ``tiers``, -1 for any other. Stored tables are
+    partitioned by it: a partition value cannot hold every tier name."""
+    number = F.lit(-1)
+    for place, tier in enumerate(tiers):
+        number = F.when(F.col(TIER) == tier, F.lit(place)).otherwise(number)
+    return number
+
+
+def route_table(known: DataFrame, tiers: Sequence[str]) -> DataFrame:
+    """Rows with known tiers, stored by route number so that a route reads its part."""
+    return stored(known.withColumn("route", route_number(tiers)), "route")
 
 
 def train_models(
@@ -204,38 +216,40 @@ def train_models(
     check_input(data)
     if TIER not in data.columns:
         raise ValueError(f"the training data has no column {TIER}")
-    table = route_table(data)
-    plans: list[tuple[str, DataFrame, float, int, int]] = []
-    # One row per tier, and a tier is a small fixed set of names.
-    stats = {r["tier"]: r for r in tier_eligibility(table, params).collect()}
+    known = with_known_tier(data)
+    total, churned = known.agg(F.count("*"), F.sum(LABEL).cast("long")).first()
+    # Only tiers with enough rows get a model and travel to the driver.
+    stats = {}
     if tiers:
-        for tier, r in sorted(stats.items()):
-            if not r["eligible"]:
-                log.info("tier %s uses the global model", tier)
-                continue
-            balance = (r["sample_size"] - r["churn_count"]) / r["churn_count"]
-            weight = balance * params.weights.get(tier, DEFAULT_WEIGHT)
-            rows = table.where(F.col("route") == tier).drop("route")
-            plans.append((tier, rows, weight, r["sample_size"], r["churn_count"]))
+        eligible = tier_eligibility(known, params).where("eligible")
+        stats = {r["tier"]: r for r in eligible.collect()}
+    names = sorted(stats)
+    table = route_table(known, names)
+    plans: list[tuple[str | None, DataFrame, float, int, int]] = []
+    for place, tier in enumerate(names):
+        r = stats[tier]
+        balance = (r["sample_size"] - r["churn_count"]) / r["churn_count"]
+        weight = balance * params.weights.get(tier, DEFAULT_WEIGHT)
+        rows = table.where(F.col("route") == place).drop("route")
+        plans.append((tier, rows, weight, r["sample_size"], r["churn_count"]))
     if fallback:
-        total = sum(r["sample_size"] for r in stats.values())
-        churned = sum(r["churn_count"] for r in stats.values())
         if churned in (0, total):
             raise ValueError("the training data holds a single class")
         weight = (total - churned) / churned
-        plans.append((GLOBAL_ROUTE, table.drop("route"), weight, total, churned))
+        plans.append((None, table.drop("route"), weight, total, churned))
 
     fitted = ChurnModel(params)
 
-    def fit(plan: tuple[str, DataFrame, float, int, int]) -> None:
-        route = plan[0]
+    def fit(plan: tuple[str | None, DataFrame, float, int, int]) -> None:
+        tier = plan[0]
+        if tier is None:
+            fitted.fallback = train_route(plan[1], GLOBAL_ROUTE, *plan[2:], params)
+            return
         try:
-            fitted.routes[route] = train_route(plan[1], route, *plan[2:], params)
+            fitted.routes[tier] = train_route(plan[1], tier, *plan[2:], params)
         except Exception as error:
-            if route == GLOBAL_ROUTE:
-                raise
-            log.error("tier %s: %s", route, error)
-            fitted.failures[route] = str(error)
+            log.error("tier %s: %s", tier, error)
+            fitted.failures[tier] = str(error)
 
     with ThreadPoolExecutor(max_workers=max(1, params.parallel_fits)) as pool:
         list(pool.map(inheritable_thread_target(data.sparkSession)(fit), plans))
@@ -253,7 +267,7 @@ def training_metrics(model: ChurnModel, spark: SparkSession) -> DataFrame:
             m.result.churn_count,
             m.result.feature_count,
         )
-        for route, m in sorted(model.routes.items())
+        for route, m in model.named
     ]
     return spark.createDataFrame(
         rows,
@@ -265,7 +279,7 @@ def training_metrics(model: ChurnModel, spark: SparkSession) -> DataFrame:
 def feature_importance(model: ChurnModel, spark: SparkSession, top_n: int = 20) -> DataFrame:
     """The top_n features of each model, most important first."""
     rows = []
-    for route, m in sorted(model.routes.items()):
+    for route, m in model.named:
         pairs = zip(m.preparation.feature_names, m.model.featureImportances.toArray())
         best = sorted(pairs, key=lambda p: (-p[1], p[0]))[:top_n]
         rows += [(route, place, name, float(v)) for place, (name, v) in enumerate(best, 1)]
@@ -280,7 +294,7 @@ def model_summary(model: ChurnModel, spark: SparkSession) -> DataFrame:
         ("model_counts", "tier_specific_models", float(len(model.tiers))),
         ("model_counts", "global_fallback", 1.0 if model.fallback else 0.0),
     ]
-    for route, m in sorted(model.routes.items()):
+    for route, m in model.named:
         r = m.result
         rows += [
             (route, "auc", r.auc),
@@ -295,7 +309,8 @@ def model_summary(model: ChurnModel, spark: SparkSession) -> DataFrame:
 def model_comparison(
     data: DataFrame, params: ModelParams, folds: int = 5, trees: int = 20
 ) -> DataFrame:
-    """Cross-validated AUC of three model families on the global features."""
+    """Cross-validated AUC of three model families on the global features: mean and
+    standard deviation over the folds."""
     known = stored(with_known_tier(data))
     prep = fit_preparation(known, GLOBAL_ROUTE)
     frame = _training_frame(known, prep, 1.0, params, known.count())
@@ -316,6 +331,8 @@ def model_comparison(
             numFolds=folds,
             parallelism=params.parallel_fits,
             seed=params.seed,
-        )
-        rows.append((name, float(search.fit(frame).avgMetrics[0])))
-    return data.sparkSession.createDataFrame(rows, "algorithm string, cv_mean_auc double")
+        ).fit(frame)
+        rows.append((name, float(search.avgMetrics[0]), float(search.stdMetrics[0])))
+    return data.sparkSession.createDataFrame(
+        rows, "algorithm string, cv_mean_auc double, cv_std_auc double"
+    )

@@ -1,12 +1,13 @@
 import datetime as dt
 import os
 import sys
+from dataclasses import replace
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from ebbtide.params import ChurnParams
+from ebbtide.params import ChurnParams, ModelParams
 from ebbtide.session import local_session, shared_folder
 from ebbtide.sources.schemas import ORDER_HEADER, ORDER_ITEM
 
@@ -27,6 +28,16 @@ def params():
     return ChurnParams(as_of=AS_OF)
 
 
+def few_rounds(count: int) -> ModelParams:
+    """Model settings for unit tests; the registered queries use the full ones."""
+    full = ModelParams()
+    return replace(
+        full,
+        specs={r: replace(s, trees=count) for r, s in full.specs.items()},
+        other=replace(full.other, trees=count),
+    )
+
+
 def ago(days: int) -> dt.date:
     return AS_OF - dt.timedelta(days=days)
 
@@ -86,7 +97,6 @@ def modelling(spark):
 
 @pytest.fixture(scope="session")
 def model(spark, modelling):
-    from ebbtide.params import ModelParams
     from ebbtide.plans.training import train_models
 
-    return train_models(modelling, ModelParams(max_trees=3))
+    return train_models(modelling, few_rounds(3))

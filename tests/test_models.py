@@ -8,6 +8,7 @@ from ebbtide.params import GLOBAL_ROUTE, TIER, ModelParams
 from ebbtide.plans import prepare, scoring, training
 from ebbtide.plans.analysis import dashboard_join
 from ebbtide.session import pinned
+from tests.conftest import few_rounds
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +46,6 @@ def test_boosting_settings():
     assert (spec("GOLD").trees, spec("SILVER").depth) == (250, 5)
     assert (spec("BLACK").trees, spec("other").step) == (200, 0.1)
     assert (spec(GLOBAL_ROUTE).trees, spec(GLOBAL_ROUTE).depth) == (250, 6)
-    assert ModelParams(max_trees=7).spec("VVIP").trees == 7
 
 
 def test_one_prediction_per_member_and_tier(model, modelling):
@@ -112,7 +112,7 @@ def test_failing_tier_falls_back(modelling, model, monkeypatch):
     def broken(rows, route, *rest):
         if route != GLOBAL_ROUTE:
             raise RuntimeError("no luck")
-        return model.routes[GLOBAL_ROUTE]
+        return model.fallback
 
     monkeypatch.setattr(training, "train_route", broken)
     found = training.train_models(modelling, model.params)
@@ -122,7 +122,7 @@ def test_failing_tier_falls_back(modelling, model, monkeypatch):
 
 def test_single_class_is_an_error(modelling):
     with pytest.raises(ValueError):
-        training.train_models(modelling.withColumn("is_churned", F.lit(1)), ModelParams(max_trees=1))
+        training.train_models(modelling.withColumn("is_churned", F.lit(1)), few_rounds(1))
 
 
 def test_input_checks(spark, modelling):
@@ -150,31 +150,42 @@ def frame(spark, rows):
     )
 
 
-def test_imputation_and_codes(spark, monkeypatch):
+def test_imputation_and_codes(spark):
     rows = [
         (1, "A", 0, 1.0, None, None, "red", None),
         (2, "A", 1, None, 4.0, None, "blue", None),
         (3, "A", 0, 3.0, None, None, None, None),
         (4, "A", 1, 8.0, 6.0, None, "red", None),
     ]
-    for limit in (64, 0):  # codes by a listed array, and by a joined table
-        monkeypatch.setattr(prepare, "LISTED_CLASSES", limit)
-        prep = prepare.fit_preparation(frame(spark, rows))
-        ready = prepare.prepared_features(frame(spark, rows), prep, ["member_id"]).orderBy("member_id").collect()
-        assert [r.x for r in ready] == [1.0, 3.0, 3.0, 8.0]
-        # Forward fill first, the median of the unfilled column for the leading gap.
-        assert [r.days_gap for r in ready] == [5.0, 4.0, 4.0, 6.0]
-        assert [r.empty for r in ready] == [0.0] * 4
-        assert [r.color_encoded for r in ready] == [1.0, 0.0, 1.0, 1.0]
-        assert prep.modes["void"] == "unknown" and {r.void_encoded for r in ready} == {0.0}
-        new = frame(spark, [(9, "Z", 0, None, None, 2.0, "green", "new")])
-        row = prepare.prepared_features(new, prep).first()
-        assert (row.color_encoded, row.void_encoded, row.x, row.days_gap) == (0.0, 0.0, 3.0, 5.0)
-
-
-def test_joined_codes_in_many_classes(spark, monkeypatch):
-    monkeypatch.setattr(prepare, "LISTED_CLASSES", 3)
-    monkeypatch.setattr(prepare, "BROADCAST_CLASSES", 10)
+    prep = prepare.fit_preparation(frame(spark, rows))
+    ready = prepare.prepared_features(frame(spark, rows), prep, ["member_id"]).orderBy("member_id").collect()
+    assert [r.x for r in ready] == [1.0, 3.0, 3.0, 8.0]
+    # Forward fill first, the median of the unfilled column for the leading gap.
+    assert [r.days_gap for r in ready] == [5.0, 4.0, 4.0, 6.0]
+    assert [r.empty for r in ready] == [0.0] * 4
+    assert [r.color_encoded for r in ready] == [1.0, 0.0, 1.0, 1.0]
+    assert prep.mode_codes["void"] == 0.0 and {r.void_encoded for r in ready} == {0.0}
+    new = frame(spark, [(9, "Z", 0, None, None, 2.0, "green", "new")])
+    row = prepare.prepared_features(new, prep).first()
+    assert (row.color_encoded, row.void_encoded, row.x, row.days_gap) == (0.0, 0.0, 3.0, 5.0)
+
+
+def test_tiers_may_have_any_name(spark, modelling):
+    """An empty tier name keeps its model, and one called like the fallback its own."""
+    name = F.when(F.col(TIER) == "VVIP", "").when(F.col(TIER) == "GOLD", "global")
+    renamed = modelling.withColumn(TIER, name.otherwise(F.col(TIER)))
+    params = few_rounds(1)
+    found = training.train_models(renamed, params)
+    assert found.failures == {} and found.tiers == ["", "SILVER", "global", "unknown"]
+    assert found.fallback.result.sample_size == modelling.count()
+    gold = modelling.where(F.col(TIER) == "GOLD").count()
+    assert found.routes["global"].result.sample_size == gold
+    used = scoring.score_members(renamed, found).groupBy("prediction_tier", "model_used").count()
+    rows = {(r.prediction_tier, r.model_used): r["count"] for r in used.collect()}
+    assert rows["global", "tier_specific"] == gold and ("", "tier_specific") in rows
+
+
+def test_codes_of_many_classes(spark):
     values = [f"v{i % 40:02d}" for i in range(200)]
     df = spark.createDataFrame([(i, i % 2, v) for i, v in enumerate(values)], "member_id long, is_churned int, c string")
     prep = prepare.fit_preparation(df)

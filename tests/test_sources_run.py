@@ -4,7 +4,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.params import ModelParams
+from tests.conftest import few_rounds
 from ebbtide.plans import profile, rfm
 from ebbtide.plans.analysis import insights
 from ebbtide.plans.run import regenerate_report, run
@@ -122,7 +122,7 @@ def test_shared_folder_is_the_session_setting(spark):
 def test_whole_run_and_regenerated_report(spark, params):
     source = tables.sample_tables(spark, "/root/testdata/sf0.001")
     out = folder()
-    result = run(source, params, ModelParams(max_trees=2), out)
+    result = run(source, params, few_rounds(2), out)
     # At this scale no tier has enough rows: everything uses the global model.
     assert result.model.tiers == []
     assert result.predictions.count() == 71
