@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.params import ChurnParams, ModelParams
 from ebbtide.plans.run import regenerate_report, run
+from ebbtide.session import remove_scratch
 from ebbtide.sources.schemas import ORDER_ITEM
 from ebbtide.sources.sinks import append_inputs, stamped, write_parquet
 from ebbtide.sources.tables import (
@@ -74,9 +75,18 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _parser().parse_args(argv)
+    own = spark is None
     spark = spark or SparkSession.builder.appName("ebbtide").getOrCreate()
     # Dates are taken from timestamps, so they must not depend on the cluster's zone.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        _execute(spark, args)
+    finally:
+        if own:
+            remove_scratch(spark)
+
+
+def _execute(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "append":
         result = append_inputs(spark, args.inputs, args.target, ORDER_ITEM)
         print(f"{result.rows} rows appended, {len(result.failed)} inputs left out")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.session import broadcast_checked
+
 BINS = 30
 
 
@@ -39,7 +41,8 @@ def histogram(
     """Count and density of each of ``bins`` bins between the smallest and largest value.
 
     With ``by`` every class has its own range. ``by`` is a class label: the range
-    table has one row per class and is sent to all tasks. Empty bins are listed.
+    table has one row per class and is sent to all tasks if it is small. Empty bins are
+    listed.
     """
     label = F.col(by) if by else F.lit(0)
     values = df.select(label.alias("_by"), value.cast("double").alias("_v")).where(
@@ -50,7 +53,7 @@ def histogram(
         low.alias("_low"), high.alias("_high"), F.count("*").alias("_total")
     )
     counted = (
-        values.join(F.broadcast(ranges), "_by")
+        values.join(broadcast_checked(ranges), "_by")
         .groupBy("_by", _bin(F.col("_v"), F.col("_low"), F.col("_high"), bins).alias("bin"))
         .agg(F.count("*").alias("n"))
     )

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.session import pinned
+from ebbtide.session import broadcast_checked, pinned
 
 # monotonically_increasing_id() puts the partition number above this bit.
 PARTITION_BITS = 33
@@ -40,8 +40,8 @@ def with_rank(
 ) -> DataFrame:
     """Add the 1-based rank by ``keys`` and the number of rows, per ``group``.
 
-    The offsets hold at most one row per slice plus one per group, so with the few
-    groups this is meant for they are small enough to broadcast.
+    The offsets hold at most one row per slice plus one per group; they are broadcast
+    only after a check of their number.
     """
     rows = numbered(df, [*[F.col(g) for g in group], *keys])
     starts = rows.groupBy(*group, SLICE).agg(
@@ -58,7 +58,7 @@ def with_rank(
     for g in group:
         match &= F.col(g).eqNullSafe(F.col(f"_{g}"))
     return (
-        rows.join(F.broadcast(offsets), match)
+        rows.join(broadcast_checked(offsets), match)
         .withColumn(name, F.col(PLACE) + F.col("_shift"))
         .drop(PLACE, SLICE, "_at", "_shift", *[f"_{g}" for g in group])
     )
@@ -127,7 +127,7 @@ def with_running_sums(
         "*", *[F.sum(c).over(inside).alias(f"_inside_{c}") for c in columns]
     )
     return (
-        summed.join(F.broadcast(offsets), F.col(SLICE) == F.col("_at"))
+        summed.join(broadcast_checked(offsets), F.col(SLICE) == F.col("_at"))
         .select(
             *df.columns,
             *[(F.col(f"_before_{c}") + F.col(f"_inside_{c}")).alias(f"cum_{c}") for c in columns],
@@ -174,7 +174,7 @@ def forward_filled(
     match = F.col(SLICE) == F.col("_at")
     for g in group:
         match &= F.col(g).eqNullSafe(F.col(f"_{g}"))
-    joined = filled.join(F.broadcast(carried), match)
+    joined = filled.join(broadcast_checked(carried), match)
     return joined.select(
         *[
             F.coalesce(f"_last_{c}", f"_carry_{c}").alias(c) if c in columns else F.col(c)

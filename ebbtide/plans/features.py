@@ -65,8 +65,8 @@ def base_features(order_header: DataFrame, params: ChurnParams) -> DataFrame:
     """Recency, frequency, monetary, trend and channel features per (member, tier).
 
     The grouping sets give, in one pass, the plain aggregates of each (member, tier)
-    and one row per distinct order id, month and outlet, from which the second,
-    much smaller aggregate counts the distinct values and picks the main outlet.
+    and one row per distinct order id and month, from which the second, much smaller
+    aggregate counts the distinct values.
     """
     on, paid = F.col("order_date"), F.col("grand_total")
     recent = day(params.as_of, params.trend_days)
@@ -82,17 +82,10 @@ def base_features(order_header: DataFrame, params: ChurnParams) -> DataFrame:
     )
     key = [F.col("member_id"), F.col(TIER)]
     cells = orders.groupingSets(
-        [key, [*key, F.col("id")], [*key, F.col("month")], [*key, F.col("outlet_name")]],
-        "member_id",
-        TIER,
-        "id",
-        "month",
-        "outlet_name",
+        [key, [*key, F.col("id")], [*key, F.col("month")]], "member_id", TIER, "id", "month"
     ).agg(
         (1 - F.grouping("id")).alias("by_id"),
         (1 - F.grouping("month")).alias("by_month"),
-        (1 - F.grouping("outlet_name")).alias("by_outlet"),
-        F.count("*").alias("orders"),
         F.max(on).alias("last_date"),
         F.min(on).alias("first_date"),
         F.sum(paid).alias("total_gmv"),
@@ -101,7 +94,7 @@ def base_features(order_header: DataFrame, params: ChurnParams) -> DataFrame:
         sum_when(on >= recent, paid).alias("gmv_last_90_days"),
         sum_when((on >= earlier) & (on < recent), paid).alias("gmv_previous_90_days"),
     )
-    whole = (F.col("by_id") + F.col("by_month") + F.col("by_outlet")) == 0
+    whole = (F.col("by_id") + F.col("by_month")) == 0
 
     def of_member(name: str) -> Column:
         return F.max(F.when(whole, F.col(name)))
@@ -124,28 +117,29 @@ def base_features(order_header: DataFrame, params: ChurnParams) -> DataFrame:
                 "gmv_previous_90_days",
             )
         ],
-        distinct("by_outlet", "outlet_name").alias("outlet_diversity"),
     )
-    # The main outlet is a text, which a hash aggregate cannot hold: it is picked from
-    # the narrow (member, tier, outlet) rows alone.
-    outlet_rows = cells.where((F.col("by_outlet") == 1) & F.col("outlet_name").isNotNull())
+    # A text cannot be held by a hash aggregate, so the main outlet is picked from rows
+    # of its own: one per (member, tier, outlet), from a scan of four columns.
     best = Window.partitionBy("member_id", TIER).orderBy(F.desc("orders"), "outlet_name")
     outlets = (
-        outlet_rows.select("member_id", TIER, "outlet_name", "orders")
-        .withColumn("place", F.row_number().over(best))
-        .where(F.col("place") == 1)
+        orders.where(F.col("outlet_name").isNotNull())
+        .groupBy("member_id", TIER, "outlet_name")
+        .agg(F.count("*").alias("orders"))
         .select(
             F.col("member_id").alias("outlet_member"),
             F.col(TIER).alias("outlet_tier"),
             F.col("outlet_name").alias("primary_outlet"),
+            F.row_number().over(best).alias("place"),
+            F.count("*").over(Window.partitionBy("member_id", TIER)).alias("outlets"),
         )
+        .where(F.col("place") == 1)
     )
     grouped = numbers.join(
         outlets,
         F.col("member_id").eqNullSafe(F.col("outlet_member"))
         & F.col(TIER).eqNullSafe(F.col("outlet_tier")),
         "left",
-    )
+    ).withColumn("outlet_diversity", F.coalesce("outlets", F.lit(0).cast("long")))
     return grouped.select(
         "member_id",
         days_before(params.as_of, "last_date").alias("days_since_last_order"),
@@ -245,7 +239,11 @@ def product_features(
     def total(name: str) -> Column:
         return F.sum(F.when(by_group, F.col(name)))
 
-    numbers = cells.groupBy("member_id").agg(
+    entry = F.when(
+        by_group & F.col("product_group").isNotNull(),
+        F.struct("product_group", "lines"),
+    )
+    return cells.groupBy("member_id").agg(
         # The other sets hold NULL in this column, so a plain count is enough.
         F.count("product_group").alias("product_group_diversity"),
         F.count("brand_name").alias("brand_diversity"),
@@ -254,19 +252,8 @@ def product_features(
             "avg_quantity_per_item"
         ),
         ratio(total("paid"), total("listed")).alias("avg_discount_rate"),
-    )
-    # One entry per distinct product group of the member, not per line. Only these
-    # narrow rows are collected; all totals stay in a hash aggregate.
-    lists = (
-        cells.where(by_group & F.col("product_group").isNotNull())
-        .groupBy(F.col("member_id").alias("list_member"))
-        .agg(F.collect_list(F.struct("product_group", "lines")).alias("entries"))
-    )
-    return numbers.join(
-        lists, F.col("member_id").eqNullSafe(F.col("list_member")), "left"
-    ).select(
-        *numbers.columns,
-        joined_groups(F.col("entries")).alias("top_product_groups"),
+        # One entry per distinct product group of the member, not per line.
+        joined_groups(F.collect_list(entry)).alias("top_product_groups"),
     )
 
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+log = logging.getLogger(__name__)
+CLEAN_CHECKPOINTS = "spark.cleaner.referenceTracking.cleanCheckpoints"
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -43,9 +48,29 @@ def shared_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="ebbtide-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
+        if spark.conf.get(CLEAN_CHECKPOINTS, "false") != "true":
+            log.warning("checkpoints stay on disk: %s is not true", CLEAN_CHECKPOINTS)
     return folder
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_folder(spark).rstrip('/')}/ebbtide-{spark.sparkContext.applicationId}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete all tables that :func:`stored` wrote; frames that read them become void."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def broadcast_checked(small: DataFrame, most_rows: int = 100_000) -> DataFrame:
+    """``small`` for the right side of a join: sent to all tasks if it has at most
+    ``most_rows`` rows, else joined like any other table."""
+    small = pinned(small)
+    return F.broadcast(small) if small.count() <= most_rows else small
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and read from there from now on.
 
@@ -59,7 +84,7 @@ def pinned(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     """Like :func:`pinned`, as a Parquet table: keeps column pruning and statistics."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/ebbtide-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
     writer = df.write.mode("error")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -33,7 +33,7 @@ def test_every_feature_scan_is_filtered(source):
     text = plan(features.feature_set(source.order_header, source.order_item, PARAMS))
     scans = re.findall(r"PushedFilters: \[([^\]]*)\]\nReadSchema: struct<([^>]*)>", text)
     headers = [filters for filters, schema in scans if "o_orderdate" in schema]
-    assert len(headers) == 3
+    assert len(headers) == 4  # numbers, outlets, lines, days
     assert all("GreaterThanOrEqual(o_orderdate" in filters for filters in headers)
     # Members without a match are dropped before their lines and days are aggregated.
     assert sum("IsNotNull(o_custkey)" in filters for filters in headers) == 2
@@ -87,3 +87,24 @@ def test_one_member_with_a_third_of_all_orders(spark, params):
         F.round("total_gmv", 4), F.round("order_value_std", 6), "outlet_diversity", "primary_outlet",
     )
     assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
+def test_numbers_stay_in_hash_aggregates(source):
+    header, items = source.order_header, source.order_item
+    for df in (
+        features.base_features(header, PARAMS),
+        features.days_between_orders(header, PARAMS),
+        features.feature_set(header, items, PARAMS),
+    ):
+        assert "SortAggregate" not in plan(df)
+
+
+def test_a_route_reads_its_own_part_once(spark, model):
+    """Scoring rows with gaps: one scan per route, and no window above the store."""
+    from ebbtide.plans.scoring import score_members
+
+    t = tables(spark, DATA)
+    rows = features.feature_set(t.order_header, t.order_item, PARAMS)
+    text = plan(score_members(rows, model))
+    assert len(re.findall(r"PartitionFilters: \[[^\n]*route", text)) == len(model.tiers) + 1
+    assert "Window" not in text
