@@ -44,6 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.minhash import rows_with_ids, scrambled
+from ebbtide.llm.textbatches import segments
 from ebbtide.session import stored
 
 START, END, OTHER = "\x02", "\x03", "�"
@@ -78,6 +79,12 @@ def blocks(texts: list[str | None], order: int) -> Iterator[tuple[list[int], lis
         yield places, parts
 
 
+def column_blocks(column: pa.Array, order: int) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    for first, texts in segments(column, 4 * BLOCK_CHARS):
+        for places, parts in blocks(texts, order):
+            yield [first + p for p in places], parts
+
+
 def gram_counts(parts: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (n-gram, text) pairs of a block: n-gram signs, place of the text, count.
 
@@ -127,7 +134,7 @@ def train(texts: DataFrame, order: int) -> DataFrame | None:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, parts in blocks(batch.column("text").to_pylist(), order):
+            for _, parts in column_blocks(batch.column("text"), order):
                 signs, _, counts = gram_counts(parts, order)
                 new = np.ones(len(signs), bool)
                 new[1:] = (signs[1:] != signs[:-1]).any(axis=1)
@@ -242,7 +249,7 @@ def _count_blocks(docs: DataFrame, order: int, groups: int) -> DataFrame:
         part, row = TaskContext.get().partitionId(), 0
         for batch in batches:
             ids, langs = (batch.column(c).to_pylist() for c in ("id", "lang"))
-            for places, parts in blocks(batch.column("text").to_pylist(), order):
+            for places, parts in column_blocks(batch.column("text"), order):
                 signs, owner, count = gram_counts(parts, order)
                 shard = _shard_of(signs)
                 out = []

@@ -114,7 +114,7 @@ def signatures(docs: DataFrame, width: int, keys: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, signer = Shingler(width), Signer(keys, rows)
         for batch in batches:
-            for first, texts in segments(batch.column("text").to_pylist(), 1 << 21):
+            for first, texts in segments(batch.column("text"), 1 << 20):
                 sets = [shingler(t) for t in texts]
                 signed = [signer(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -305,7 +305,7 @@ def _prefix_pairs(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
         for batch in batches:
-            for first, texts in segments(batch.column("text").to_pylist(), 1 << 20):
+            for first, texts in segments(batch.column("text"), 1 << 20):
                 sets = [shingler(t).view(np.int64) for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(first, len(texts)), pa.array(sets, pa.list_(pa.int64()))],

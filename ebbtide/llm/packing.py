@@ -237,7 +237,7 @@ def pack(
         for batch in batches:
             id_kind = batch.schema.field("doc_id").type
             doc_ids = batch.column("doc_id").to_pylist()
-            for first, texts in segments(batch.column("text").to_pylist(), slice_chars):
+            for first, texts in segments(batch.column("text"), slice_chars):
                 done: list = []
                 for at, encoded in enumerate(encoder.encode(texts), start=first):
                     tokens = encoded + end

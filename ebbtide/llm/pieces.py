@@ -227,7 +227,7 @@ def encode_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder(model_file)
         for batch in batches:
-            for first, texts in segments(batch.column("text").to_pylist(), slice_chars):
+            for first, texts in segments(batch.column("text"), slice_chars):
                 encoded = encoder.encode(texts)
                 spans = [encoder.spans(t, ids) for t, ids in zip(texts, encoded)]
                 edges = pa.array(np.cumsum([0, *map(len, encoded)]), pa.int32())

@@ -235,7 +235,7 @@ def scan_secrets(
             pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
         )
         for batch in batches:
-            for first, texts in segments(batch.column("text").to_pylist(), segment_chars):
+            for first, texts in segments(batch.column("text"), segment_chars):
                 spans = [
                     [{"kind": kinds[k], "start": s, "end": e} for s, k, e in found]
                     for found in scanner.scan(texts)
@@ -268,12 +268,15 @@ def masked(
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
             column = batch.column(at)
-            texts = column.to_pylist()
-            for first, part in segments(texts, segment_chars):
-                for i, found in enumerate(scanner.scan(part), start=first):
+            for first, texts in segments(column, segment_chars):
+                part = batch.slice(first, len(texts))
+                changed = part.column(at).to_pylist()
+                for i, found in enumerate(scanner.scan(texts)):
                     if found:
-                        texts[i] = _blanked(texts[i], found, mask)
-            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, column.type))
+                        changed[i] = _blanked(texts[i], found, mask)
+                yield part.set_column(
+                    at, batch.schema.field(at), pa.array(changed, column.type)
+                )
 
     return docs.mapInArrow(replace, schema)
 

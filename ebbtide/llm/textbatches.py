@@ -1,22 +1,25 @@
-"""Cutting Arrow batches of texts into slices of bounded size."""
+"""Cutting Arrow columns of texts into slices of bounded size."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-def segments(texts: list[str | None], most_chars: int) -> Iterator[tuple[int, list[str]]]:
-    """Place of the first text, and neighbouring texts of up to ``most_chars`` together.
 
-    A longer text stands alone; NULL becomes the empty text.
+def segments(texts: pa.Array, most_bytes: int) -> Iterator[tuple[int, list[str]]]:
+    """Place of the first text, and neighbouring texts of up to ``most_bytes`` together.
+
+    A longer text stands alone; NULL becomes the empty text. Only the texts of one slice
+    are Python objects at a time.
     """
-    first, size, part = 0, 0, []
-    for i, text in enumerate(texts):
-        text = text or ""
-        if part and size + len(text) > most_chars:
-            yield first, part
-            first, size, part = i, 0, []
-        part.append(text)
-        size += len(text)
-    if part:
-        yield first, part
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    first, done = 0, 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(ends, done + most_bytes, side="right")))
+        yield first, [t or "" for t in texts.slice(first, last - first).to_pylist()]
+        first, done = last, int(ends[last - 1])
+    pa.default_memory_pool().release_unused()
