@@ -44,11 +44,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.minhash import rows_with_ids, scrambled
-from ebbtide.llm.textbatches import segments
+from ebbtide.llm.textbatches import release_memory, segments
 from ebbtide.session import stored
 
 START, END, OTHER = "\x02", "\x03", "�"
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 19
 GROUP_CHARS = 1 << 28
 SHARDS = 8
 
@@ -80,7 +80,7 @@ def blocks(texts: list[str | None], order: int) -> Iterator[tuple[list[int], lis
 
 
 def column_blocks(column: pa.Array, order: int) -> Iterator[tuple[list[int], list[np.ndarray]]]:
-    for first, texts in segments(column, 4 * BLOCK_CHARS):
+    for first, texts in segments(column, 2 * BLOCK_CHARS):
         for places, parts in blocks(texts, order):
             yield [first + p for p in places], parts
 
@@ -360,7 +360,7 @@ def log_probabilities(docs: DataFrame, weights: DataFrame, order: int) -> DataFr
             own.column("gram").to_pylist(), own.column("weight").to_numpy(), order
         )
         out = []
-        for block in texts.to_batches():
+        for block in texts.to_batches(max_chunksize=16):
             for x in block.to_pylist():
                 signs = _unpacked(x["signs"], x["grams"] * order, np.uint32)
                 sizes = _unpacked(x["sizes"], x["grams"], "<u4")
@@ -387,6 +387,7 @@ def log_probabilities(docs: DataFrame, weights: DataFrame, order: int) -> DataFr
                         names=["row", "id", "lang", "signs", "log_prob"],
                     )
                 )
+        release_memory()
         return pa.Table.from_batches(out, SCORED)
 
     sums = (

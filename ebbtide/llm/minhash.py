@@ -40,11 +40,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.graph import components
-from ebbtide.llm.textbatches import segments
+from ebbtide.llm.textbatches import release_memory, segments
 from ebbtide.session import stored
 
 BITMAP = 8_388_593  # a prime below 2**23: the fixed number of bits of the id bitmap
-MOST_WORDS = 200_000
+MOST_WORDS = 100_000
 SMALL_CELL = 16
 
 
@@ -155,6 +155,7 @@ def rows_with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
             batch = batch.filter(batch.column("id").is_valid())
             place = np.mod(batch.column("id").to_numpy(zero_copy_only=False), BITMAP)
             yield batch.filter(pa.array((bitmap[place >> 3] >> (place & 7) & 1).astype(bool)))
+            release_memory()
 
     near = docs.mapInArrow(wanted, "id long, text string")
     return near.join(ids, "id", "left_semi")
@@ -211,6 +212,7 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
                 union = len(left) + len(right) - common
                 kept.append(common > 0 and 100 * common >= percent * union)
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+            release_memory()
 
     return both.mapInArrow(run, "a long, b long")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,4 +23,14 @@ def segments(texts: pa.Array, most_bytes: int) -> Iterator[tuple[int, list[str]]
         last = max(first + 1, int(np.searchsorted(ends, done + most_bytes, side="right")))
         yield first, [t or "" for t in texts.slice(first, last - first).to_pylist()]
         first, done = last, int(ends[last - 1])
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: Python workers live on between tasks, and
+    beside an executor's heap what they hold on to is not available to others."""
     pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU C library
+        pass
