@@ -20,12 +20,12 @@ from ebbtide.sources.schemas import ORDER_ITEM
 from ebbtide.sources.sinks import append_inputs, stamped, write_parquet
 from ebbtide.sources.tables import (
     Tables,
+    block_splits,
     conform,
     is_readable,
     normalise_header,
     read_jdbc,
     read_parquet,
-    text_splits,
 )
 
 
@@ -33,7 +33,14 @@ def _from_database(spark: SparkSession, splits: int) -> Tables:
     ends = read_jdbc(spark, "(SELECT min(id) AS lo, max(id) AS hi FROM order_header) ends")
     low, high = ends.select(F.col("lo").cast("long"), F.col("hi").cast("long")).first()
     header = read_jdbc(spark, "order_header", "id", low or 0, (high or 0) + 1, splits)
-    item = read_jdbc(spark, "order_item", predicates=text_splits("order_number", splits))
+    # Ranges of blocks: hashing the text key would make every part scan the whole table.
+    size = read_jdbc(
+        spark,
+        "(SELECT pg_relation_size('order_item') / current_setting('block_size')::int "
+        "AS blocks) size",
+    )
+    blocks = size.select(F.col("blocks").cast("long")).first()[0]
+    item = read_jdbc(spark, "order_item", predicates=block_splits(blocks, splits))
     return Tables(normalise_header(header), conform(item, ORDER_ITEM))
 
 

@@ -79,6 +79,23 @@ def text_splits(column: str, splits: int) -> list[str]:
     return parts
 
 
+def block_splits(blocks: int, splits: int) -> list[str]:
+    """Predicates over ranges of table blocks: every part reads its own blocks only.
+
+    ``blocks`` is the table's size now; the last part has no upper end, so rows added
+    meanwhile are read too.
+    """
+    step = max(1, -(-blocks // splits))
+    starts = range(0, max(1, blocks), step)
+    parts = []
+    for start in starts:
+        part = f"ctid >= '({start},0)'::tid"
+        if start + step < blocks:
+            part += f" AND ctid < '({start + step},0)'::tid"
+        parts.append(part)
+    return parts
+
+
 def read_jdbc(
     spark: SparkSession,
     table: str,
@@ -90,7 +107,7 @@ def read_jdbc(
     environ: dict[str, str] | None = None,
 ) -> DataFrame:
     """Read a table in parallel: by ranges of ``split_column``, or one part per
-    predicate (see :func:`text_splits`)."""
+    predicate (see :func:`block_splits`, and :func:`text_splits` for other databases)."""
     options = jdbc_options(table, environ)
     if predicates is not None:
         url, source = options.pop("url"), options.pop("dbtable")

@@ -170,3 +170,12 @@ def test_bucketed_tables_join_without_a_shuffle(spark, orders, items):
     assert joined.count() == 200
     spark.sql("DROP TABLE bucketed_header")
     spark.sql("DROP TABLE bucketed_item")
+
+
+def test_block_ranges_cover_a_table_once():
+    for blocks, splits in ((0, 4), (1, 4), (10, 3), (64, 64), (1000, 7)):
+        parts = tables.block_splits(blocks, splits)
+        assert 1 <= len(parts) <= splits
+        starts = [int(p.split("(")[1].split(",")[0]) for p in parts]
+        ends = [int(p.split("(")[2].split(",")[0]) for p in parts if p.count("ctid") == 2]
+        assert starts[0] == 0 and starts[1:] == ends and "<" not in parts[-1]
