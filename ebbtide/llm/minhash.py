@@ -314,7 +314,8 @@ def _prefix_pairs(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -
                     names=["id", "shingles"],
                 )
 
-    sets = stored(rows_with_ids(docs, ids).mapInArrow(run, "id long, shingles array<long>"))
+    texts = stored(rows_with_ids(docs, ids))  # or a task would keep two Python workers
+    sets = stored(texts.mapInArrow(run, "id long, shingles array<long>"))
     shingles = sets.select("id", F.explode("shingles").alias("shingle"))
     often = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"))
     # A shingle of one text makes no pair, but it fills its place in the prefix.
@@ -323,36 +324,50 @@ def _prefix_pairs(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -
         .groupBy("id")
         .agg(F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("known"))
     )
-    n = F.size("shingles")
-    prefix_length = n - F.ceil(n * percent / 100) + 1
+    n, alone = F.size("shingles"), F.size("shingles") - F.size("known")
     prefixes = (
         sets.join(ordered, "id")
-        .withColumn("place", prefix_length - (n - F.size("known")))
-        .filter("place > 0")
         .select(
             "id",
             n.alias("n"),
-            F.explode(F.expr("slice(known, 1, cast(place AS int))")).alias("item"),
+            alone.alias("alone"),
+            # Shingles of one text only come first, so the others are shifted by them.
+            F.posexplode(
+                F.slice("known", F.lit(1), F.greatest(_reach(n, percent, 100) - alone, F.lit(0)))
+            ).alias("place", "item"),
+        )
+        .select(
+            "id",
+            "n",
+            (F.col("alone") + F.col("place") + 1).alias("place"),
+            F.col("item.shingle").alias("cell"),
         )
-        .select("id", "n", F.col("item.shingle").alias("cell"))
         .join(nodes.withColumnRenamed("rep", "id"), "id")
     )
     prefixes = stored(prefixes)
     rest = prefixes.join(_mixed(prefixes).select("cell"), "cell", "left_semi")
-    x, y = rest.alias("x"), rest.alias("y")
-    reach = F.lit(percent)
+    # Of a pair over the threshold, the smaller set has a common shingle even in a
+    # shorter prefix, and behind the first common one enough must follow in both.
+    x = rest.filter(F.col("place") <= _reach(F.col("n"), 2 * percent, 100 + percent)).alias("x")
+    y = rest.alias("y")
+    follows = 1 + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
     return (
         x.join(y, F.col("x.cell") == F.col("y.cell"))
-        .filter("x.id < y.id AND x.component <> y.component")
-        .filter(
-            (F.col("x.n") * 100 >= F.col("y.n") * reach)
-            & (F.col("y.n") * 100 >= F.col("x.n") * reach)
-        )
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+        .filter("x.n < y.n OR (x.n = y.n AND x.id < y.id)")
+        .filter("x.component <> y.component")
+        .filter(F.col("x.n") * 100 >= F.col("y.n") * percent)
+        .filter(follows * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
+        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
         .distinct()
     )
 
 
+def _reach(n: Column, part: int, whole: int) -> Column:
+    """Places, from the rarest shingle, in which a set of ``n`` must share a shingle with
+    any set that has ``part / whole`` of it."""
+    return (n - F.ceil(n * part / whole) + 1).cast("int")
+
+
 def _labelled(reps: DataFrame, links: DataFrame) -> DataFrame:
     found = components(links).withColumnRenamed("node", "rep")
     return stored(
