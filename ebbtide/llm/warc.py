@@ -34,7 +34,7 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.session import shared_folder, stored
+from ebbtide.session import scratch_folder, stored
 
 # The record format and the profile of revisits.
 VERSION = "WARC/1.1"
@@ -119,7 +119,7 @@ def write_archives(
     ``file_bytes`` compressed bytes.
     """
     spark = pages.sparkSession
-    base = folder or f"{shared_folder(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    base = folder or f"{scratch_folder(spark)}/warc-{uuid.uuid4().hex}"
     stamp = (date or dt.datetime.now(dt.timezone.utc)).strftime("%Y-%m-%dT%H:%M:%SZ")
     headers = page_headers(pages, id_col, url_col, payload_col)
     records = stored(resolve_revisits(headers, least_bytes))
