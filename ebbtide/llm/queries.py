@@ -205,7 +205,7 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id",
         F.col("chain.low_quality").alias("p_low_quality"),
         F.col("chain.toxic").alias("p_toxic"),
-        F.coalesce(F.col("chain.toxic") >= 0.5, F.lit(False)).alias("rejected"),
+        F.coalesce(F.col("chain.toxic") >= chain.limit("toxic"), F.lit(False)).alias("rejected"),
     )
 
 

@@ -1,15 +1,20 @@
 """Toxicity by a chain of linear classifiers.
 
-Categories are predicted one after the other. The model of a category sees the words of
+Categories are predicted one after the other. The model of a category sees the marks of
 the text and the probabilities of all earlier categories. While training, those
 probabilities come from models that were fitted without the row's own fold
 (out-of-fold), so a later model learns how far an earlier one can be trusted on texts
 it has not seen; when scoring they come from the models fitted on all training rows.
 
-Words are a bounded vocabulary, the most frequent ones of the training texts, and models
-are Spark ML logistic regressions. The training set is the ``train_rows`` labelled rows
-with the smallest hash of their id; only this id list, of that size at most, is
-broadcast. Scoring is a chain of JVM expressions over the scan of all whole texts
+Marks are words. The vocabulary is bounded: of all marks that enough training texts
+share, those most strongly associated with a category, however rare they are. Only these
+reach the driver. They are chosen anew without each fold, so out-of-fold probabilities are
+those of texts that had no part in the choice. Models
+are Spark ML logistic regressions with an L1 penalty: marks without a relation of their own
+get no weight at all, so a text does not gain or lose probability by being long. The
+limit of a category (best F1) and, if several are given, the penalty (least loss) are taken
+from the out-of-fold probabilities. The training set is the ``train_rows`` labelled rows with the smallest hash
+of their id; only this id list, of that size at most, is broadcast. Scoring is a chain of JVM expressions over the scan of all whole texts
 without any shuffle.
 
 Defined results: a NULL text is empty and gets the probability of a text without known
@@ -24,20 +29,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.session import pinned
+from ebbtide.session import pinned, stored
 
 # Column names of this module while a frame passes through it.
 OWN = "toxicity__"
-WORDS, COUNTS, FEATURES = f"{OWN}words", f"{OWN}counts", f"{OWN}features"
+MARKS, FEATURES = f"{OWN}marks", f"{OWN}features"
+STEMS = ()
 
 
 def words(text: Column) -> Column:
@@ -46,6 +53,22 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(r"([\p{L}\p{N}]+|[^\s\p{L}\p{N}]+)"), 1)
 
 
+def marks(text: Column) -> Column:
+    """The words, and their beginnings with a blank behind (no word has one)."""
+    found = F.array_distinct(words(text))
+
+    def stems(size: int) -> Column:
+        longer = F.filter(found, lambda w: F.char_length(w) > size)
+        return F.transform(longer, lambda w: F.concat(F.substring(w, 1, size), F.lit(" ")))
+
+    return F.concat(found, *(F.array_distinct(stems(n)) for n in STEMS))
+
+
+def _counts(fold: int | None) -> str:
+    """The marks of the vocabulary chosen without ``fold``."""
+    return f"{OWN}counts{'' if fold is None else fold}"
+
+
 def _earlier(place: int) -> str:
     return f"{OWN}p{place}"
 
@@ -55,6 +78,12 @@ class Chain:
     categories: Sequence[str]
     vectoriser: CountVectorizerModel | None = None
     models: list[LogisticRegressionModel] = field(default_factory=list)
+    # Per category: the penalty of the model, and the probability from which a text has it.
+    penalties: list[float] = field(default_factory=list)
+    limits: list[float] = field(default_factory=list)
+
+    def limit(self, category: str) -> float:
+        return dict(zip(self.categories, self.limits)).get(category, 0.5)
 
     def probabilities(self, docs: DataFrame, text_col: str = "text", name: str = "chain") -> DataFrame:
         """``docs`` with a struct column of one probability per category."""
@@ -62,7 +91,7 @@ class Chain:
             nothing = [F.lit(None).cast("double").alias(c) for c in self.categories]
             return docs.withColumn(name, F.struct(*nothing))
         columns = [c for c in docs.columns if c != name]
-        frame = self.vectoriser.transform(docs.withColumn(WORDS, words(F.col(text_col))))
+        frame = self.vectoriser.transform(docs.withColumn(MARKS, marks(F.col(text_col))))
         for place, model in enumerate(self.models):
             frame = _scored(_with_features(frame, place), model, place)
         chain = F.struct(
@@ -71,9 +100,9 @@ class Chain:
         return frame.select(*columns, chain.alias(name))
 
 
-def _with_features(frame: DataFrame, place: int) -> DataFrame:
+def _with_features(frame: DataFrame, place: int, fold: int | None = None) -> DataFrame:
     assembler = VectorAssembler(
-        inputCols=[COUNTS, *(_earlier(i) for i in range(place))], outputCol=FEATURES
+        inputCols=[_counts(fold), *(_earlier(i) for i in range(place))], outputCol=FEATURES
     )
     return assembler.transform(frame)
 
@@ -98,7 +127,7 @@ def training_rows(
     text_col: str,
     train_rows: int,
 ) -> DataFrame:
-    """Words, one 0/1 column per category, and the fold number of the training texts."""
+    """Marks, one 0/1 column per category, and the fold number of the training texts."""
     chosen = (
         labels.select(
             F.col(id_col).alias(f"{OWN}id"),
@@ -114,10 +143,38 @@ def training_rows(
     texts = docs.select(F.col(id_col).alias(f"{OWN}id"), F.col(text_col).alias(f"{OWN}text"))
     # At most ``train_rows`` short rows.
     return texts.join(F.broadcast(chosen), f"{OWN}id").withColumn(
-        WORDS, words(F.col(f"{OWN}text"))
+        MARKS, marks(F.col(f"{OWN}text"))
     ).drop(f"{OWN}text")
 
 
+def associated(
+    table: DataFrame, totals: dict[int, list[float]], fold: int | None, vocabulary: int
+) -> list[str]:
+    """The marks of ``table`` that differ most from chance in a category, without ``fold``.
+
+    Every category has an equal share. ``totals`` has the texts of each fold, and how many
+    of them are in each category.
+    """
+    used = [f for f in totals if f != fold]
+    texts, *positive = (sum(totals[f][i] for f in used) for i in range(len(totals[used[0]])))
+    n = sum(F.col(f"n{f}") for f in used)
+    found = []
+    for i, every in enumerate(positive):
+        share = every / texts
+        seen = sum(F.col(f"y{f}_{i}") for f in used)
+        spread = F.sqrt(n * share * (1 - share) * (1 - n / texts))
+        found.append(
+            table.filter(n > 0)
+            .select(
+                "mark", F.coalesce(F.try_divide(F.abs(seen - n * share), spread), F.lit(0.0)).alias("z"),
+            )
+            .orderBy(F.desc("z"), "mark")
+            .limit(max(1, vocabulary // len(positive)))
+            .collect()
+        )
+    return sorted({r.mark for rows in found for r in rows})
+
+
 def fit_chain(
     docs: DataFrame,
     labels: DataFrame,
@@ -125,73 +182,129 @@ def fit_chain(
     id_col: str = "doc_id",
     text_col: str = "text",
     train_rows: int = 20_000,
-    vocabulary: int = 1 << 14,
+    vocabulary: int = 1 << 12,
     least_texts: int = 5,
     folds: int = 3,
-    penalty: float = 0.001,
+    penalties: Sequence[float] = (0.01,),
     rounds: int = 25,
     tasks: int = 4,
-    parallel_fits: int = 2,
+    parallel_fits: int = 3,
 ) -> Chain:
     """Fit a chain on the texts of ``docs`` that ``labels`` (id and 0/1 columns) covers."""
     rows = training_rows(docs, labels, categories, id_col, text_col, train_rows)
-    rows = pinned(rows.repartition(tasks))
+    fold = F.pmod(F.xxhash64(F.lit("fold"), f"{OWN}id"), F.lit(folds))
+    rows = pinned(rows.withColumn(f"{OWN}fold", fold).repartition(tasks))
     chain = Chain(tuple(categories))
-    shared = (
-        rows.select(F.explode(F.array_distinct(WORDS)).alias("word"))
-        .groupBy("word")
-        .count()
-        .filter(F.col("count") >= least_texts)
+    places = range(len(categories))
+    in_fold = [F.col(f"{OWN}fold") == f for f in range(folds)]
+    sums = [
+        (F.count(F.when(mine, 1)).alias(f"n{f}"), *(
+            F.coalesce(F.sum(F.when(mine, F.col(f"{OWN}y{i}"))), F.lit(0.0)).alias(f"y{f}_{i}")
+            for i in places
+        ))
+        for f, mine in enumerate(in_fold)
+    ]
+    numbers = rows.drop(MARKS).agg(*(s for group in sums for s in group)).first()
+    totals = {
+        f: [numbers[f"n{f}"], *(numbers[f"y{f}_{i}"] for i in places)]
+        for f in range(folds)
+        if numbers[f"n{f}"]
+    }
+    table = stored(
+        rows.select(F.explode(MARKS).alias("mark"), f"{OWN}fold", *(f"{OWN}y{i}" for i in places))
+        .groupBy("mark")
+        .agg(*(s for group in sums for s in group))
+        .filter(sum(F.col(f"n{f}") for f in range(folds)) >= least_texts)
     )
-    if shared.isEmpty():
+    if table.isEmpty():
         return chain
-    vectoriser = CountVectorizer(
-        inputCol=WORDS, outputCol=COUNTS, vocabSize=vocabulary, minDF=least_texts, binary=True
-    ).fit(rows)
-    chain.vectoriser = vectoriser
-    frame = pinned(
-        vectoriser.transform(rows)
-        .drop(WORDS)
-        .withColumn(f"{OWN}fold", F.pmod(F.xxhash64(F.lit("fold"), f"{OWN}id"), F.lit(folds)))
-    )
+    frame = rows
+    whole = associated(table, totals, None, vocabulary)
+    for fold in (None, *range(folds)):
+        known = whole
+        if fold is not None and set(totals) - {fold}:
+            known = associated(table, totals, fold, vocabulary) or whole
+        vectoriser = CountVectorizerModel.from_vocabulary(
+            known, inputCol=MARKS, outputCol=_counts(fold)
+        ).setBinary(True)
+        chain.vectoriser = chain.vectoriser or vectoriser
+        frame = vectoriser.transform(frame)
+    frame = pinned(frame.drop(MARKS))
     for place in range(len(categories)):
-        with_features = _with_features(frame, place)
-        learner = LogisticRegression(
-            featuresCol=FEATURES,
-            labelCol=f"{OWN}y{place}",
-            regParam=penalty,
-            maxIter=rounds,
-        )
-        last = place + 1 == len(categories)
-        rests = [with_features.filter(F.col(f"{OWN}fold") != f) for f in range(folds)]
-        todo = [with_features] if last else [with_features, *(r for r in rests)]
+        by_choice = [_with_features(frame, place, f) for f in range(folds)]
+        held = [c.filter(mine) for c, mine in zip(by_choice, in_fold)]
+        rests = [
+            c.filter(~mine) if set(totals) - {f} else c
+            for f, (c, mine) in enumerate(zip(by_choice, in_fold))
+        ]
+
+        def fit(todo: tuple[float, DataFrame], place: int = place) -> LogisticRegressionModel:
+            return LogisticRegression(
+                featuresCol=FEATURES,
+                labelCol=f"{OWN}y{place}",
+                regParam=todo[0],
+                elasticNetParam=1.0,
+                maxIter=rounds,
+            ).fit(todo[1])
+
         # The fits are independent jobs of one application.
         with ThreadPool(parallel_fits) as pool:
-            fit = inheritable_thread_target(docs.sparkSession)(
-                lambda rows, learner=learner: None if rows.isEmpty() else learner.fit(rows)
+            by_fold = pool.map(
+                inheritable_thread_target(docs.sparkSession)(fit),
+                [(p, r) for p in penalties for r in rests],
+                chunksize=1,
             )
-            whole, *by_fold = pool.map(fit, todo, chunksize=1)
-        chain.models.append(whole)
-        if last:
-            break
-        parts = [
-            _scored(with_features.filter(F.col(f"{OWN}fold") == f), model or whole, place)
-            for f, model in enumerate(by_fold)
-        ]
-        out_of_fold = parts[0]
-        for part in parts[1:]:
-            out_of_fold = out_of_fold.unionByName(part)
-        frame = pinned(out_of_fold.coalesce(tasks))
+        tried = []
+        for i, penalty in enumerate(penalties):
+            parts = [
+                _scored(part, model, place)
+                for part, model in zip(held, by_fold[i * folds : (i + 1) * folds])
+            ]
+            out_of_fold = reduce(DataFrame.unionByName, parts).coalesce(tasks)
+            tried.append((_loss(out_of_fold, place), -penalty, out_of_fold))
+        _, best, out_of_fold = min(tried, key=lambda t: t[:2])
+        chain.models.append(fit((-best, _with_features(frame, place))))
+        chain.penalties.append(-best)
+        frame = pinned(out_of_fold)
+        chain.limits.append(_limit(frame, place))
     return chain
 
 
+def _loss(scored: DataFrame, place: int) -> float:
+    """Mean log loss of the probabilities of a category."""
+    chance = F.when(F.col(f"{OWN}y{place}") == 1, F.col(_earlier(place))).otherwise(
+        1 - F.col(_earlier(place))
+    )
+    return scored.agg(F.avg(-F.log(F.greatest(chance, F.lit(1e-9))))).first()[0]
+
+
+def _limit(scored: DataFrame, place: int) -> float:
+    """The probability that parts a category best (F1), the nearest to 0.5 among equals."""
+    steps = (
+        scored.groupBy(F.round(_earlier(place), 3).alias("p"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(f"{OWN}y{place}").alias("positive"))
+        .collect()
+    )
+    steps.sort(key=lambda r: -r.p)
+    every = sum(r.positive for r in steps)
+    best, taken, right = (0.0, -0.5, 0.5), 0, 0.0
+    for here, after in zip(steps, steps[1:]):
+        taken, right = taken + here.n, right + here.positive
+        limit = min(max(0.5, after.p + 0.0005), here.p - 0.0005)
+        best = max(best, (2 * right / (taken + every), -abs(limit - 0.5), limit))
+    return best[2]
+
+
 def standard_labels(labels: DataFrame) -> DataFrame:
     """The ``labels`` table as chain categories: low quality first, then toxic."""
     return labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
 
 
-def not_toxic(docs: DataFrame, chain: Chain, text_col: str = "text", limit: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose toxic probability is below ``limit``."""
+def not_toxic(
+    docs: DataFrame, chain: Chain, text_col: str = "text", limit: float | None = None
+) -> DataFrame:
+    """The rows of ``docs`` whose toxic probability is below ``limit`` (else the chain's)."""
+    limit = chain.limit("toxic") if limit is None else limit
     name = f"{OWN}chain"
     scored = chain.probabilities(docs, text_col, name)
     return scored.filter(F.coalesce(F.col(name)["toxic"], F.lit(0.0)) < limit).drop(name)

@@ -79,3 +79,28 @@ def test_query_finds_the_labelled_documents(spark):
     labels = spark.read.parquet(f"{DATA}/labels.parquet").collect()
     wrong = sum(rows[r.doc_id].rejected != bool(r.toxic) for r in labels)
     assert wrong <= 0.02 * len(labels)
+
+
+def invented(source, count):
+    return [f"w{source.randrange(3000)}" for _ in range(count)]
+
+
+@pytest.fixture(scope="module")
+def by_stem(spark):
+    """A chain trained on texts whose toxic words share a stem but hardly ever recur."""
+    source = random.Random(9)
+    texts, labels = [], []
+    for i in range(500):
+        text = invented(source, source.choice([20, 60, 200]))
+        if i % 5 == 0:
+            text[3:3] = [f"boco{source.randrange(10**6)}" for _ in range(2)]
+        texts.append(" ".join(text))
+        labels.append((i, 0, int(i % 5 == 0)))
+    frame = spark.createDataFrame(labels, "doc_id long, low_quality int, toxic int")
+    return fit_chain(docs(spark, texts), frame)
+
+
+def test_long_clean_texts_are_kept(spark, by_stem):
+    source = random.Random(10)
+    texts = [" ".join(invented(source, n)) for n in [50, 500, 5000, 20000] * 10]
+    assert not_toxic(docs(spark, texts), by_stem).count() == len(texts)
