@@ -6,7 +6,8 @@ probabilities come from models that were fitted without the row's own fold
 (out-of-fold), so a later model learns how far an earlier one can be trusted on texts
 it has not seen; when scoring they come from the models fitted on all training rows.
 
-Marks are words. The vocabulary is bounded: of all marks that enough training texts
+Marks are words and their beginnings of 3 to 7 signs, so a family of rare words with one
+stem counts as one mark. The vocabulary is bounded: of all marks that enough training texts
 share, those most strongly associated with a category, however rare they are. Only these
 reach the driver. They are chosen anew without each fold, so out-of-fold probabilities are
 those of texts that had no part in the choice. Models
@@ -44,7 +45,7 @@ from ebbtide.session import pinned, stored
 # Column names of this module while a frame passes through it.
 OWN = "toxicity__"
 MARKS, FEATURES = f"{OWN}marks", f"{OWN}features"
-STEMS = ()
+STEMS = range(3, 8)
 
 
 def words(text: Column) -> Column:

@@ -104,3 +104,9 @@ def test_long_clean_texts_are_kept(spark, by_stem):
     source = random.Random(10)
     texts = [" ".join(invented(source, n)) for n in [50, 500, 5000, 20000] * 10]
     assert not_toxic(docs(spark, texts), by_stem).count() == len(texts)
+
+
+def test_unseen_words_of_a_toxic_stem(spark, by_stem):
+    source = random.Random(11)
+    texts = [" ".join([*invented(source, n), f"boco{n}x", f"boco{n}y"]) for n in range(20, 60)]
+    assert not_toxic(docs(spark, texts), by_stem).count() == 0
