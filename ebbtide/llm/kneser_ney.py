@@ -19,13 +19,19 @@ broadcast; only discounts and totals (a few numbers per order) reach the driver.
 block covers a bounded number of signs and a group of blocks a bounded number of scan
 partitions, so a frequent n-gram, text or source makes no large group.
 
-The limit of a language is a quantile of the perplexities of its trusted texts, times a
-slack. One in ``holdout`` trusted texts, chosen by the hash of its id, is not trained on;
-only those set the limits, so a limit is fair to texts that the model has not seen.
+A text is kept if its log perplexity is near the median of its language, on either side.
+The distance is measured in median distances of the language, after both are multiplied by
+the root of the number of signs (``most_signs`` at most), as the mean of a short text varies
+more. The largest distance is a quantile over the texts of all languages, so a few odd
+trusted texts do not open a language. One in ``holdout`` trusted texts, chosen by the hash
+of its id, is not trained on; only those set the limits, so a limit is fair to texts that
+the model has not seen. Texts that it was trained on have too low a perplexity, so the lower
+side holds for all others only.
 
 Defined results: a NULL text is empty, which is the end sign only. The signs U+0000,
-U+0002 and U+0003 are read as U+FFFD. A NULL language counts as "". A language without
-held-out texts takes the quantile of all held-out texts. Without trusted texts there is no
+U+0002 and U+0003 are read as U+FFFD. A NULL language counts as "". A language with
+under ``least_texts`` held-out texts takes the median of all held-out texts, one with under
+``least_spread`` the median distance of all. Without trusted texts there is no
 model: perplexities and limits are NULL and all texts are kept. Rows, repeated ones too,
 are scored one by one; trusted ids are taken once per row that has them; NULL ids are
 never trusted. An empty table gives no rows. Only the id, text and language columns are
@@ -428,10 +434,13 @@ def quality(
     lang_col: str = "lang",
     order: int = 4,
     quantile: float = 0.99,
-    slack: float = 1.25,
     holdout: int = 5,
+    most_signs: int = 1000,
+    least_texts: int = 5,
+    least_spread: int = 30,
 ) -> DataFrame:
-    """One row per row: id, lang, perplexity, threshold (of the language) and kept.
+    """One row per row: id, lang, perplexity, threshold (the highest perplexity for the
+    language and length), lowest (the lowest one) and kept.
 
     ``trusted`` has the ids (``id_col``) of the texts to train on.
     """
@@ -451,21 +460,48 @@ def quality(
             "lang",
             nothing.alias("perplexity"),
             nothing.alias("threshold"),
+            nothing.alias("lowest"),
             F.lit(True).alias("kept"),
         )
     scored = log_probabilities(source, weights, order)
     scored = stored(
-        scored.select("id", "lang", F.exp(-F.col("log_prob") / F.col("signs")).alias("perplexity"))
+        scored.select(
+            "id",
+            "lang",
+            (-F.col("log_prob") / F.col("signs")).alias("x"),
+            F.sqrt(F.least("signs", F.lit(most_signs))).alias("root"),
+        )
     )
-    good = scored.join(ids.filter(held_out), "id", "left_semi")
-    limit: Column = F.percentile_approx("perplexity", quantile, 100_000) * slack
-    every = good.agg(limit).first()[0]
-    every = math.inf if every is None else every
-    limits = good.groupBy("lang").agg(limit.alias("threshold"))
-    return scored.join(limits, "lang", "left").select(
+    good = stored(scored.join(ids.filter(held_out), "id", "left_semi"))
+
+    def median(value: Column, rows: DataFrame, least: int) -> tuple[float | None, DataFrame]:
+        """The median of all rows, and those of the languages with enough of them."""
+        half = F.percentile_approx(value, 0.5, 100_000)
+        by_lang = rows.groupBy("lang").agg(half.alias("own"), F.count(value).alias("n"))
+        return rows.agg(half).first()[0], by_lang.filter(F.col("n") >= least).drop("n")
+
+    def placed(rows: DataFrame, found: tuple[float | None, DataFrame], name: str) -> DataFrame:
+        every, by_lang = found
+        value = F.coalesce("own", F.lit(every).cast("double")).alias(name)
+        return rows.join(by_lang, "lang", "left").select(*rows.columns, value)
+
+    away = F.abs(F.col("x") - F.col("middle")) * F.col("root")
+    middles = median(F.col("x"), good, least_texts)
+    spreads = median(away, placed(good, middles, "middle"), least_spread)
+    reach = F.percentile_approx(F.try_divide(away, F.col("spread")), quantile, 100_000)
+    furthest = placed(placed(good, middles, "middle"), spreads, "spread").agg(reach).first()[0]
+    furthest = math.inf if furthest is None else furthest
+    most = F.lit(furthest) * F.col("spread")
+    width = F.coalesce(most / F.col("root"), F.lit(math.inf))
+    middle = F.coalesce("middle", F.lit(0.0))
+    trained = ids.filter(~held_out).withColumn("trained", F.lit(True))
+    scored = scored.join(trained, "id", "left")
+    below = F.coalesce(F.col("trained"), F.lit(False)) & (F.col("x") < F.col("middle"))
+    return placed(placed(scored, middles, "middle"), spreads, "spread").select(
         F.col("id").alias(id_col),
         "lang",
-        "perplexity",
-        F.coalesce("threshold", F.lit(every)).alias("threshold"),
-        (F.col("perplexity") <= F.coalesce("threshold", F.lit(every))).alias("kept"),
+        F.exp("x").alias("perplexity"),
+        F.exp(middle + width).alias("threshold"),
+        F.exp(middle - width).alias("lowest"),
+        F.coalesce(below | (away <= most), F.lit(True)).alias("kept"),
     )

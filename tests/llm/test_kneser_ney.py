@@ -1,4 +1,5 @@
 import math
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -135,3 +136,22 @@ def test_query_drops_junk_and_keeps_the_rest(spark):
     junk = [rows[r.doc_id].kept for r in labels if r.quality == 0]
     assert sum(good) >= 0.98 * len(good)
     assert sum(junk) <= 0.1 * len(junk)
+
+
+def test_all_kinds_of_junk_go_at_a_larger_size(spark):
+    folder = os.path.join(os.path.dirname(DATA), "sf0.1")
+    rows = {r.doc_id: r for r in QUERIES["op10_quality_ngram"](spark, folder).collect()}
+    labels = spark.read.parquet(f"{folder}/labels.parquet").collect()
+    good = [rows[r.doc_id].kept for r in labels if r.quality == 1]
+    assert sum(good) >= 0.98 * len(good)
+    kept = defaultdict(list)
+    texts = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    texts = {r.doc_id: r.text or "" for r in texts}
+    for r in labels:
+        if r.quality == 0:
+            words = texts[r.doc_id].split()
+            repeated = len(set(words)) * 4 <= len(words) and not texts[r.doc_id].isupper()
+            kept[repeated].append(rows[r.doc_id].kept)
+    counts = {k: (sum(v), len(v)) for k, v in kept.items()}
+    print("good", sum(good), len(good), "junk", counts)
+    assert all(n <= 0.1 * every for n, every in counts.values()), counts
