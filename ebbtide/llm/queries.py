@@ -19,6 +19,7 @@ from ebbtide.llm import (
     secrets,
     toxicity,
     warc,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,3 +214,23 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op10_quality_ngram(spark: SparkSession, folder: str) -> DataFrame:
     trusted = read(spark, folder, "labels").filter("quality = 1")
     return kneser_ney.quality(read(spark, folder, "documents"), trusted)
+
+
+@query()
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read(spark, folder, "embeddings")
+    fitted = whitening.fit_whitening(vectors, components=16)
+    explained = F.array(*(F.lit(e) for e in fitted.explained)).cast("array<double>")
+    return (
+        fitted.transform(vectors)
+        .select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+        .select(
+            "vec_id",
+            (F.col("place") + 1).alias("component"),
+            F.lit(fitted.centre.rows).cast("long").alias("n"),
+            "deviation",
+            "whitened",
+            F.get(explained, F.col("place")).alias("explained"),
+            F.lit(fitted.identity_error).alias("identity_error"),
+        )
+    )

@@ -11,7 +11,7 @@ from tests.test_oracles import NAMES, table
 
 def test_all_operators_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) < set(queries()) and "pipeline" in queries()
     assert set(ORACLES) < set(oracle_sql())
 
