@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm import (
     chat,
+    divergence,
     exact_dedup,
     hamming,
     kneser_ney,
@@ -234,3 +235,51 @@ def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
             F.lit(fitted.identity_error).alias("identity_error"),
         )
     )
+
+
+@query(r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz') AS body
+  FROM documents
+), found AS (
+  SELECT row, lang, source,
+    unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM docs
+), kept AS (
+  SELECT lang, term FROM found GROUP BY ALL HAVING count(DISTINCT row) >= 3
+), sources AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS c FROM found GROUP BY ALL),
+cells AS (
+  SELECT s.lang, s.source, k.term, coalesce(c, 0) AS c
+  FROM sources s JOIN kept k USING (lang) LEFT JOIN counts USING (lang, source, term)
+), shares AS (
+  SELECT *, 1 + (1000000000::HUGEINT * (c + 1)) //
+    (sum(c) OVER (PARTITION BY lang, source) + count(*) OVER (PARTITION BY lang, source)) AS p
+  FROM cells
+), totals AS (SELECT lang, term, sum(c) AS c FROM cells GROUP BY ALL),
+lang_shares AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (c + 1)) //
+    (sum(c) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang)) AS q FROM totals
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+), reported AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q
+  FROM shares JOIN lang_shares USING (lang, term) WHERE c > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part
+                               ORDER BY value DESC, encode(item)) AS rank
+  FROM reported
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
+""")
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.source_divergence(read(spark, folder, "documents"))
