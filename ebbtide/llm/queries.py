@@ -14,6 +14,7 @@ from ebbtide.llm import (
     exact_dedup,
     hamming,
     kneser_ney,
+    maxent,
     minhash,
     packing,
     pieces,
@@ -217,6 +218,25 @@ def op10_quality_ngram(spark: SparkSession, folder: str) -> DataFrame:
     return kneser_ney.quality(read(spark, folder, "documents"), trusted)
 
 
+@query()
+def op12_maxent(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    rounds = 3
+    place = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    held_out = F.pmod(place, F.lit(7)) == 2
+    part = F.pmod(F.floor(place / 7), F.lit(rounds))
+    model = maxent.fit_language_model(docs, ~held_out, part, rounds=rounds)
+    return model.score(docs).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.vocabulary.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 @query()
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read(spark, folder, "embeddings")
