@@ -60,66 +60,105 @@ def term_slices(text: str) -> Iterator[list[bytes]]:
         first = last
 
 
+class Numbers(dict):
+    """Numbers the terms in the order they are first asked for."""
+
+    def __missing__(self, term: bytes) -> int:
+        number = self[term] = len(self)
+        return number
+
+
 class Tally:
-    """Counts of one task: terms and documents per (group, language)."""
+    """Counts of one task: occurrences and documents per term and (group, language)."""
 
     def __init__(self, digest: Callable[[bytes], int], spelled: bool):
         self.digest, self.spelled = digest, spelled
-        self.counts: dict[tuple[int, int], tuple[Counter, Counter]] = {}
-        self.entries = 0
+        self._clear()
+
+    def _clear(self) -> None:
+        self.terms: dict[int, Numbers] = {}
+        self.pairs: dict[tuple[int, int], int] = {}
+        # Sorted codes (pair, term number), occurrences, documents; and those of new texts.
+        self.merged = tuple(np.zeros(0, np.int64) for _ in range(3))
+        self.fresh: list[tuple[np.ndarray, ...]] = []
+        self.waiting = 0
+
+    @property
+    def entries(self) -> int:
+        return len(self.merged[0]) + sum(map(len, self.terms.values())) * 4
 
     def add(self, group: int, lang: int, text: str) -> None:
-        counts, docs = self.counts.setdefault((group, lang), (Counter(), Counter()))
-        before, seen = len(counts), set()
+        pair = self.pairs.setdefault((group, lang), len(self.pairs))
+        known = self.terms.setdefault(lang, Numbers())
+        slices = []
         for terms in term_slices(text):
-            counts.update(terms)
-            seen.update(terms)
-        docs.update(seen)
-        self.entries += len(counts) - before
+            numbers = np.fromiter(map(known.__getitem__, terms), np.int64, len(terms))
+            slices.append(np.unique(numbers, return_counts=True))
+        if not slices:
+            return
+        codes, counts = slices[0] if len(slices) == 1 else _summed(slices)
+        self.fresh.append((codes | pair << 32, counts, np.ones(len(codes), np.int64)))
+        self.waiting += len(codes)
+        if self.waiting > 1 << 20:
+            self._merge()
+
+    def _merge(self) -> None:
+        self.merged = _summed([self.merged, *self.fresh])
+        self.fresh, self.waiting = [], 0
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         """All counts, and every (language, term) once with its string."""
-        known: dict[int, dict[bytes, int]] = {}
-        for (group, lang), (counts, docs) in self.counts.items():
-            keys = known.setdefault(lang, {})
-            terms = list(counts)
-            for term in terms:
-                if term not in keys:
-                    keys[term] = self.digest(term)
-            yield self._batch(
-                [keys[t] for t in terms],
-                group,
-                lang,
-                terms if self.spelled else None,
-                list(counts.values()),
-                [docs[t] for t in terms],
-            )
+        self._merge()
+        codes, counts, docs = self.merged
+        keys = {
+            lang: np.fromiter(map(self.digest, known), np.uint64, len(known)).view(np.int64)
+            for lang, known in self.terms.items()
+        }
+        spelled = {
+            lang: pa.array(list(known), pa.binary()) for lang, known in self.terms.items()
+        }
+        for (group, lang), pair in self.pairs.items():
+            low, high = np.searchsorted(codes, [pair << 32, pair + 1 << 32])
+            numbers = codes[low:high] & (1 << 32) - 1
+            terms = spelled[lang].take(pa.array(numbers)) if self.spelled else None
+            yield _batch(keys[lang][numbers], group, lang, terms, counts[low:high], docs[low:high])
         if not self.spelled:
-            for lang, keys in known.items():
-                yield self._batch(list(keys.values()), None, lang, list(keys), None, None)
-        self.counts, self.entries = {}, 0
-
-    @staticmethod
-    def _batch(keys, group, lang, terms, counts, docs) -> pa.RecordBatch:
-        n = len(keys)
-
-        def column(values, kind) -> pa.Array:
-            return pa.nulls(n, kind) if values is None else pa.array(values, kind)
-
-        return pa.RecordBatch.from_pydict(
-            {
-                "key": pa.array(np.array(keys, np.uint64).view(np.int64)),
-                "group": column(None if group is None else np.full(n, group), pa.int64()),
-                "lang_key": pa.array(np.full(n, lang), pa.int64()),
-                "term": column(terms, pa.binary()).cast(pa.string()),
-                "count": column(counts, pa.int64()),
-                "docs": column(docs, pa.int64()),
-            }
-        )
+            for lang in self.terms:
+                yield _batch(keys[lang], None, lang, spelled[lang], None, None)
+        self._clear()
+
+
+def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Codes that occur once each, and the sums of their numbers."""
+    codes, *numbers = (np.concatenate(column) for column in zip(*parts))
+    if not len(codes):
+        return codes, *numbers
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    return codes[starts], *(np.add.reduceat(n[order], starts) for n in numbers)
+
+
+def _batch(keys: np.ndarray, group, lang, terms, counts, docs) -> pa.RecordBatch:
+    n = len(keys)
+
+    def column(values, kind) -> pa.Array:
+        return pa.nulls(n, kind) if values is None else pa.array(values, kind)
+
+    return pa.RecordBatch.from_pydict(
+        {
+            "key": pa.array(keys),
+            "group": column(None if group is None else np.full(n, group), pa.int64()),
+            "lang_key": pa.array(np.full(n, lang), pa.int64()),
+            "term": pa.nulls(n, pa.string()) if terms is None else terms.cast(pa.string()),
+            "count": column(counts, pa.int64()),
+            "docs": column(docs, pa.int64()),
+        }
+    )
 
 
 def tallied(
-    docs: DataFrame, digest: Callable[[bytes], int], spelled: bool = False, most: int = 300_000
+    docs: DataFrame, digest: Callable[[bytes], int], spelled: bool = False, most: int = 2_000_000
 ) -> DataFrame:
     """key, group, lang_key, term, count and docs: rows of counts without their term, and
     rows of terms without counts. ``spelled`` rows of counts have their term."""
@@ -143,11 +182,14 @@ def tallied(
 
 
 def kept_cells(cells: DataFrame, least_docs: int, *key: str) -> DataFrame:
-    """Counts per term and group of the terms of enough documents, with the term's total."""
-    summed = cells.groupBy(*key, "group").agg(
+    """Counts per term and group of the terms of enough documents, with the term's total.
+
+    Tasks have summed their rows already, so a term has at most one row per task and
+    source, and one shuffle by term serves the sums and the window.
+    """
+    summed = cells.repartition(*key).groupBy(*key, "group").agg(
         F.sum("count").alias("count"), F.sum("docs").alias("docs")
     )
-    # A term has at most one row per source of its language here.
     term = Window.partitionBy(*key)
     return (
         summed.withColumn("in_docs", F.sum("docs").over(term))
