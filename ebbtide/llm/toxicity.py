@@ -1,123 +1,158 @@
 """Toxicity by a chain of linear classifiers.
 
 Categories are predicted one after the other. The model of a category sees the marks of
-the text and the probabilities of all earlier categories. While training, those
-probabilities come from models that were fitted without the row's own fold
+the text and the log odds of all earlier categories. While training, those come from models that were fitted without the row's own fold
 (out-of-fold), so a later model learns how far an earlier one can be trusted on texts
 it has not seen; when scoring they come from the models fitted on all training rows.
 
-Marks are words and their beginnings of 3 to 7 signs, so a family of rare words with one
-stem counts as one mark. The vocabulary is bounded: of all marks that enough training texts
-share, those most strongly associated with a category, however rare they are. Only these
-reach the driver. They are chosen anew without each fold, so out-of-fold probabilities are
-those of texts that had no part in the choice. Models
-are Spark ML logistic regressions with an L1 penalty: marks without a relation of their own
-get no weight at all, so a text does not gain or lose probability by being long. The
-limit of a category (best F1) and, if several are given, the penalty (least loss) are taken
-from the out-of-fold probabilities. The training set is the ``train_rows`` labelled rows with the smallest hash
-of their id; only this id list, of that size at most, is broadcast. Scoring is a chain of JVM expressions over the scan of all whole texts
-without any shuffle.
-
-Defined results: a NULL text is empty and gets the probability of a text without known
+Marks are words and their beginnings of 3 to 7 signs, each counted up to ``MOST`` times, so a
+family of rare words with one stem is one mark, and one chance word differs from many. The
+logarithm of the number of words, held within the range of the training texts, is a column of
+its own: a long text gains nothing by being long.
+No mark that enough texts share is left out of the search (see ``linear``), which ends when
+all conditions of the optimum hold.
+
+The training set is the ``train_rows`` labelled rows with the smallest hash of their id, or
+as many of these as have ``train_marks`` different marks together; only this id list is
+broadcast, and one task holds the numbered marks of one sample. The models without each fold and of all rows are
+fitted by one task each, in one job per category. The limit of a category is the
+out-of-fold probability with the best F1. Scoring is one pass over all whole texts without a shuffle; it
+looks up only marks with a weight.
+
+Defined results: a NULL text is empty and gets the probability of a text without
 words. A row is labelled if no category is NULL; of repeated labels of an id the largest
-values count. Without labelled rows, or without a word that enough of them share, there is
+values count. Without labelled rows there is
 no model: probabilities are NULL and nothing is rejected. A category with one value only
 is predicted as that value. Rows, repeated ones too, are scored one by one and keep all
-their columns; the result is one more column, and an empty table gives no rows.
+their columns; the result is one more column, in place of one of the same name if there is any. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ebbtide.session import pinned, stored
+from ebbtide.llm.linear import Linear, Sample, fit_linear, log_odds, logistic
+from ebbtide.llm.textbatches import release_memory
+from ebbtide.session import broadcast_checked, stored
 
 # Column names of this module while a frame passes through it.
 OWN = "toxicity__"
-MARKS, FEATURES = f"{OWN}marks", f"{OWN}features"
 STEMS = range(3, 8)
+MOST = 4
+SLICE = 1 << 20
+# Runs of letters and digits, and runs of other signs.
+WORD = re.compile(r"[^\W_]+|(?:[^\w\s]|_)+")
+BLANK = re.compile(r"\s")
+
+
+def words(text: str | None) -> Iterator[list[str]]:
+    """The lower-case words of a text, some at a time."""
+    text = text or ""
+    first = 0
+    while first < len(text):
+        cut = BLANK.search(text, first + SLICE)
+        last = cut.start() if cut else len(text)
+        yield WORD.findall(text[first:last].lower())
+        first = last
+
+
+def marks(text: str | None) -> tuple[Counter, int]:
+    """How often words and beginnings (with a blank behind, no word has one) occur, and
+    the number of words."""
+    found, size = Counter(), 0
+    for part in words(text):
+        found.update(part)
+        size += len(part)
+    for word, count in list(found.items()):
+        for stem in STEMS:
+            if len(word) > stem:
+                found[word[:stem] + " "] += count
+    return found, size
 
 
-def words(text: Column) -> Column:
-    """Lower-case runs of letters and digits, and runs of other signs."""
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    return F.regexp_extract_all(lowered, F.lit(r"([\p{L}\p{N}]+|[^\s\p{L}\p{N}]+)"), 1)
-
-
-def marks(text: Column) -> Column:
-    """The words, and their beginnings with a blank behind (no word has one)."""
-    found = F.array_distinct(words(text))
-
-    def stems(size: int) -> Column:
-        longer = F.filter(found, lambda w: F.char_length(w) > size)
-        return F.transform(longer, lambda w: F.concat(F.substring(w, 1, size), F.lit(" ")))
-
-    return F.concat(found, *(F.array_distinct(stems(n)) for n in STEMS))
-
-
-def _counts(fold: int | None) -> str:
-    """The marks of the vocabulary chosen without ``fold``."""
-    return f"{OWN}counts{'' if fold is None else fold}"
-
-
-def _earlier(place: int) -> str:
-    return f"{OWN}p{place}"
+@dataclass
+class Model:
+    """A category's model: the weights of marks by name, of the length, and of earlier ones."""
+
+    linear: Linear
+    marks: dict[str, float]
+    numFeatures: int
+
+
+class Scorer:
+    """Probabilities of all categories of a chain."""
+
+    def __init__(self, models: Sequence[Model], lengths: tuple[int, int]):
+        self.models, self.lengths = models, lengths
+        names = {name for model in models for name in model.marks}
+        self.whole = {name for name in names if not name.endswith(" ")}
+        self.stems = {
+            size: {n[:-1] for n in names if n.endswith(" ") and len(n) == size + 1} for size in STEMS
+        }
+
+    def __call__(self, text: str | None) -> list[float]:
+        found, size = Counter(), 0
+        for part in words(text):
+            size += len(part)
+            different = set(part)
+            for word in different & self.whole:
+                found[word] += part.count(word)
+            for stem, known in self.stems.items():
+                if known:
+                    for word in different:
+                        if word[:stem] in known and len(word) > stem:
+                            found[word[:stem] + " "] += part.count(word)
+        shortest, longest = self.lengths
+        dense, chances = [np.log1p(min(max(size, shortest), longest))], []
+        for model in self.models:
+            if model.linear.constant is not None:
+                chances.append(model.linear.constant)
+            else:
+                score = model.linear.intercept + float(np.dot(model.linear.dense, dense))
+                for name, count in found.items():
+                    score += model.marks.get(name, 0.0) * min(count, MOST)
+                chances.append(float(logistic(score)))
+            dense.append(log_odds(chances[-1]))
+        return chances
 
 
 @dataclass
 class Chain:
     categories: Sequence[str]
-    vectoriser: CountVectorizerModel | None = None
-    models: list[LogisticRegressionModel] = field(default_factory=list)
-    # Per category: the penalty of the model, and the probability from which a text has it.
-    penalties: list[float] = field(default_factory=list)
+    models: list[Model] = field(default_factory=list)
+    # Per category: the probability from which a text has it.
     limits: list[float] = field(default_factory=list)
+    # Fewest and most words of a training text.
+    lengths: tuple[int, int] = (0, 0)
 
     def limit(self, category: str) -> float:
         return dict(zip(self.categories, self.limits)).get(category, 0.5)
 
     def probabilities(self, docs: DataFrame, text_col: str = "text", name: str = "chain") -> DataFrame:
         """``docs`` with a struct column of one probability per category."""
-        if self.vectoriser is None:
+        if not self.models:
             nothing = [F.lit(None).cast("double").alias(c) for c in self.categories]
             return docs.withColumn(name, F.struct(*nothing))
-        columns = [c for c in docs.columns if c != name]
-        frame = self.vectoriser.transform(docs.withColumn(MARKS, marks(F.col(text_col))))
-        for place, model in enumerate(self.models):
-            frame = _scored(_with_features(frame, place), model, place)
-        chain = F.struct(
-            *(F.col(_earlier(i)).alias(c) for i, c in enumerate(self.categories))
-        )
-        return frame.select(*columns, chain.alias(name))
+        models, lengths, categories = self.models, self.lengths, list(self.categories)
 
+        @F.arrow_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in categories]))
+        def scored(texts: pa.Array) -> pa.Array:
+            scorer = Scorer(models, lengths)
+            rows = [scorer(text.as_py()) for text in texts]
+            release_memory()
+            columns = np.array(rows).reshape(len(rows), len(categories)).T
+            return pa.StructArray.from_arrays([pa.array(c, pa.float64()) for c in columns], categories)
 
-def _with_features(frame: DataFrame, place: int, fold: int | None = None) -> DataFrame:
-    assembler = VectorAssembler(
-        inputCols=[_counts(fold), *(_earlier(i) for i in range(place))], outputCol=FEATURES
-    )
-    return assembler.transform(frame)
-
-
-def _scored(frame: DataFrame, model: LogisticRegressionModel, place: int) -> DataFrame:
-    raw, chance, guess = (f"{OWN}{x}" for x in ("raw", "chance", "guess"))
-    model = model.copy()
-    model.setFeaturesCol(FEATURES).setRawPredictionCol(raw)
-    model.setProbabilityCol(chance).setPredictionCol(guess)
-    return (
-        model.transform(frame)
-        .withColumn(_earlier(place), vector_to_array(chance)[1])
-        .drop(raw, chance, guess, FEATURES)
-    )
+        return docs.withColumn(name, scored(F.col(text_col)))
 
 
 def training_rows(
@@ -127,53 +162,140 @@ def training_rows(
     id_col: str,
     text_col: str,
     train_rows: int,
+    train_marks: int,
+    folds: int,
 ) -> DataFrame:
-    """Marks, one 0/1 column per category, and the fold number of the training texts."""
+    """Marks with counts, length, one 0/1 column per category and the fold of the training texts."""
+    places = range(len(categories))
     chosen = (
         labels.select(
-            F.col(id_col).alias(f"{OWN}id"),
-            *(F.col(c).cast("double").alias(f"{OWN}y{i}") for i, c in enumerate(categories)),
+            F.col(id_col).alias("id"),
+            *(F.col(c).cast("double").alias(f"y{i}") for i, c in enumerate(categories)),
         )
         .na.drop()
-        .groupBy(f"{OWN}id")
-        .agg(*(F.max(f"{OWN}y{i}").alias(f"{OWN}y{i}") for i in range(len(categories))))
-        .withColumn(f"{OWN}order", F.xxhash64(f"{OWN}id"))
-        .orderBy(f"{OWN}order", f"{OWN}id")
+        .groupBy("id")
+        .agg(*(F.max(f"y{i}").alias(f"y{i}") for i in places))
+        .withColumn("order", F.xxhash64("id"))
+        .orderBy("order", "id")
         .limit(train_rows)
     )
-    texts = docs.select(F.col(id_col).alias(f"{OWN}id"), F.col(text_col).alias(f"{OWN}text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # At most ``train_rows`` short rows.
-    return texts.join(F.broadcast(chosen), f"{OWN}id").withColumn(
-        MARKS, marks(F.col(f"{OWN}text"))
-    ).drop(f"{OWN}text")
+    joined = texts.join(F.broadcast(chosen), "id").select(
+        "order",
+        F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(folds)).cast("int").alias("fold"),
+        F.array(*(F.col(f"y{i}") for i in places)).alias("y"),
+        "text",
+    )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("text")
+            for i in range(batch.num_rows):
+                found, size = marks(column[i].as_py())
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "order": batch.column("order").slice(i, 1),
+                        "fold": batch.column("fold").slice(i, 1),
+                        "y": batch.column("y").slice(i, 1),
+                        "words": pa.array([size], pa.int64()),
+                        "marks": pa.array([list(found)], pa.list_(pa.string())),
+                        "counts": pa.array(
+                            [[min(c, MOST) for c in found.values()]], pa.list_(pa.int8())
+                        ),
+                    }
+                )
+            release_memory()
+
+    rows = stored(
+        joined.mapInArrow(
+            run,
+            "order long, fold int, y array<double>, words long, marks array<string>, counts array<tinyint>",
+        )
+    )
+    sizes = rows.select("order", F.size("marks").alias("size")).toArrow()  # a row per text
+    order = np.argsort(sizes["order"].to_numpy(), kind="stable")
+    fits = np.cumsum(sizes["size"].to_numpy()[order]) <= train_marks
+    if not fits.all():
+        rows = rows.filter(F.col("order") < int(sizes["order"].to_numpy()[order][~fits][0]))
+    return rows
+
+
+def _numbered(rows: DataFrame, names: pa.Array) -> DataFrame:
+    """The training rows with the numbers of known marks instead of their names."""
+    shared = rows.sparkSession.sparkContext.broadcast(names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = {name: i for i, name in enumerate(shared.value.to_pylist())}
+        for batch in batches:
+            lists, counts = batch.column("marks"), batch.column("counts")
+            for i in range(batch.num_rows):
+                at = [places.get(name, -1) for name in lists[i].as_py()]
+                at = np.array(at, np.int32)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "row": batch.column("row").slice(i, 1),
+                        "fold": batch.column("fold").slice(i, 1),
+                        "y": batch.column("y").slice(i, 1),
+                        "dense": pa.array([[np.log1p(batch.column("words")[i].as_py())]]),
+                        "numbers": pa.array([at[at >= 0]], pa.list_(pa.int32())),
+                        "counts": pa.array(
+                            [np.array(counts[i].as_py(), np.int8)[at >= 0]], pa.list_(pa.int8())
+                        ),
+                    }
+                )
+
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    return stored(
+        numbered.mapInArrow(
+            run,
+            "row long, fold int, y array<double>, dense array<double>, numbers array<int>, counts array<tinyint>",
+        )
+    )
 
-def associated(
-    table: DataFrame, totals: dict[int, list[float]], fold: int | None, vocabulary: int
-) -> list[str]:
-    """The marks of ``table`` that differ most from chance in a category, without ``fold``.
 
-    Every category has an equal share. ``totals`` has the texts of each fold, and how many
-    of them are in each category.
-    """
-    used = [f for f in totals if f != fold]
-    texts, *positive = (sum(totals[f][i] for f in used) for i in range(len(totals[used[0]])))
-    n = sum(F.col(f"n{f}") for f in used)
-    found = []
-    for i, every in enumerate(positive):
-        share = every / texts
-        seen = sum(F.col(f"y{f}_{i}") for f in used)
-        spread = F.sqrt(n * share * (1 - share) * (1 - n / texts))
-        found.append(
-            table.filter(n > 0)
-            .select(
-                "mark", F.coalesce(F.try_divide(F.abs(seen - n * share), spread), F.lit(0.0)).alias("z"),
-            )
-            .orderBy(F.desc("z"), "mark")
-            .limit(max(1, vocabulary // len(positive)))
-            .collect()
+def _sample(rows: pa.Table) -> Sample:
+    def flat(name: str) -> np.ndarray:
+        return rows[name].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+
+    sizes = np.array([len(v) for v in rows["numbers"]], np.int64)
+    return Sample(
+        np.concatenate([[0], np.cumsum(sizes)]),
+        flat("numbers"),
+        flat("counts"),
+        flat("dense").reshape(rows.num_rows, -1),
+    )
+
+
+def _fold_fits(place: int, lengths: np.ndarray, least_texts: int, false_marks: float):
+    """Fits category ``place`` without one fold, or of all rows (fold -1): a row per held-out
+    text with its probability, and one row (NULL) with the model."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        fit = key[0].as_py()
+        # In one order, whichever way the rows came.
+        table = table.sort_by("row")
+        sample, fold = _sample(table), table["fold"].to_numpy()
+        y = np.array([v[place].as_py() for v in table["y"]])
+        used, held = fold != fit, fold == fit
+        if not used.any():
+            used = held
+        model = fit_linear(sample.only(used), y[used], lengths, least_texts, false_marks)
+        known = [] if model.constant is not None else [model.intercept, *model.dense]
+        chances = model.chances(sample.only(held), len(lengths))
+        none = [[]] * int(held.sum())
+        return pa.table(
+            {
+                "fit": pa.array([fit] * (len(none) + 1), pa.int32()),
+                "row": pa.array([*table["row"].to_numpy()[held].tolist(), None], pa.int64()),
+                "chance": pa.array([*chances.tolist(), model.constant], pa.float64()),
+                "known": pa.array([*none, known], pa.list_(pa.float64())),
+                "marks": pa.array([*none, model.marks.tolist()], pa.list_(pa.int64())),
+                "weights": pa.array([*none, model.weights.tolist()], pa.list_(pa.float64())),
+            }
         )
-    return sorted({r.mark for rows in found for r in rows})
+
+    return run
 
 
 def fit_chain(
@@ -183,108 +305,73 @@ def fit_chain(
     id_col: str = "doc_id",
     text_col: str = "text",
     train_rows: int = 20_000,
-    vocabulary: int = 1 << 12,
+    train_marks: int = 20_000_000,
     least_texts: int = 5,
     folds: int = 3,
-    penalties: Sequence[float] = (0.01,),
-    rounds: int = 25,
-    tasks: int = 4,
-    parallel_fits: int = 3,
+    false_marks: float = 0.05,
 ) -> Chain:
     """Fit a chain on the texts of ``docs`` that ``labels`` (id and 0/1 columns) covers."""
-    rows = training_rows(docs, labels, categories, id_col, text_col, train_rows)
-    fold = F.pmod(F.xxhash64(F.lit("fold"), f"{OWN}id"), F.lit(folds))
-    rows = pinned(rows.withColumn(f"{OWN}fold", fold).repartition(tasks))
+    rows = training_rows(
+        docs, labels, categories, id_col, text_col, train_rows, train_marks, folds
+    )
     chain = Chain(tuple(categories))
-    places = range(len(categories))
-    in_fold = [F.col(f"{OWN}fold") == f for f in range(folds)]
-    sums = [
-        (F.count(F.when(mine, 1)).alias(f"n{f}"), *(
-            F.coalesce(F.sum(F.when(mine, F.col(f"{OWN}y{i}"))), F.lit(0.0)).alias(f"y{f}_{i}")
-            for i in places
-        ))
-        for f, mine in enumerate(in_fold)
-    ]
-    numbers = rows.drop(MARKS).agg(*(s for group in sums for s in group)).first()
-    totals = {
-        f: [numbers[f"n{f}"], *(numbers[f"y{f}_{i}"] for i in places)]
-        for f in range(folds)
-        if numbers[f"n{f}"]
-    }
-    table = stored(
-        rows.select(F.explode(MARKS).alias("mark"), f"{OWN}fold", *(f"{OWN}y{i}" for i in places))
+    lengths = rows.agg(F.min("words"), F.max("words")).first()
+    if lengths[0] is None:
+        return chain
+    chain.lengths = tuple(lengths)
+    # At most ``train_marks / least_texts`` names.
+    names = (
+        rows.select(F.explode("marks").alias("mark"))
         .groupBy("mark")
-        .agg(*(s for group in sums for s in group))
-        .filter(sum(F.col(f"n{f}") for f in range(folds)) >= least_texts)
+        .agg(F.count(F.lit(1)).alias("texts"))
+        .filter(F.col("texts") >= least_texts)
+        .select("mark")
+        .orderBy("mark")
+        .toArrow()["mark"]
+        .combine_chunks()
     )
-    if table.isEmpty():
-        return chain
-    frame = rows
-    whole = associated(table, totals, None, vocabulary)
-    for fold in (None, *range(folds)):
-        known = whole
-        if fold is not None and set(totals) - {fold}:
-            known = associated(table, totals, fold, vocabulary) or whole
-        vectoriser = CountVectorizerModel.from_vocabulary(
-            known, inputCol=MARKS, outputCol=_counts(fold)
-        ).setBinary(True)
-        chain.vectoriser = chain.vectoriser or vectoriser
-        frame = vectoriser.transform(frame)
-    frame = pinned(frame.drop(MARKS))
+    sizes = np.array([len(name) for name in names.to_pylist()], np.int64)
+    frame = _numbered(rows, names)
+    vocabulary = len(names)
+
     for place in range(len(categories)):
-        by_choice = [_with_features(frame, place, f) for f in range(folds)]
-        held = [c.filter(mine) for c, mine in zip(by_choice, in_fold)]
-        rests = [
-            c.filter(~mine) if set(totals) - {f} else c
-            for f, (c, mine) in enumerate(zip(by_choice, in_fold))
-        ]
-
-        def fit(todo: tuple[float, DataFrame], place: int = place) -> LogisticRegressionModel:
-            return LogisticRegression(
-                featuresCol=FEATURES,
-                labelCol=f"{OWN}y{place}",
-                regParam=todo[0],
-                elasticNetParam=1.0,
-                maxIter=rounds,
-            ).fit(todo[1])
-
-        # The fits are independent jobs of one application.
-        with ThreadPool(parallel_fits) as pool:
-            by_fold = pool.map(
-                inheritable_thread_target(docs.sparkSession)(fit),
-                [(p, r) for p in penalties for r in rests],
-                chunksize=1,
+        # One bounded sample per task: without each fold, and whole (-1).
+        fits = F.explode(F.array(*(F.lit(f) for f in range(-1, folds))))
+        result = stored(
+            frame.withColumn("fit", fits)
+            .groupBy("fit")
+            .applyInArrow(
+                _fold_fits(place, sizes, least_texts, false_marks),
+                "fit int, row long, chance double, known array<double>, marks array<long>, "
+                "weights array<double>",
             )
-        tried = []
-        for i, penalty in enumerate(penalties):
-            parts = [
-                _scored(part, model, place)
-                for part, model in zip(held, by_fold[i * folds : (i + 1) * folds])
-            ]
-            out_of_fold = reduce(DataFrame.unionByName, parts).coalesce(tasks)
-            tried.append((_loss(out_of_fold, place), -penalty, out_of_fold))
-        _, best, out_of_fold = min(tried, key=lambda t: t[:2])
-        chain.models.append(fit((-best, _with_features(frame, place))))
-        chain.penalties.append(-best)
-        frame = pinned(out_of_fold)
-        chain.limits.append(_limit(frame, place))
+        )
+        whole = result.filter("fit = -1 AND row IS NULL").first()
+        linear = Linear(
+            whole.chance,
+            whole.known[0] if whole.known else 0.0,
+            np.array(whole.known[1:]),
+            np.array(whole.marks, np.int64),
+            np.array(whole.weights),
+        )
+        weights = {names[m].as_py(): w for m, w in zip(whole.marks, whole.weights)}
+        chain.models.append(Model(linear, weights, vocabulary + place))
+        held_out = result.filter("row IS NOT NULL").select("row", "chance")
+        scored = frame.join(held_out, "row")
+        chain.limits.append(_limit(scored.select("chance", F.get("y", F.lit(place)).alias("y"))))
+        if place + 1 < len(categories):
+            near = F.greatest(F.least("chance", F.lit(1 - 1e-6)), F.lit(1e-6))
+            odds = F.array(F.log(near / (1 - near)))
+            frame = stored(scored.withColumn("dense", F.concat("dense", odds)).drop("chance"))
     return chain
 
 
-def _loss(scored: DataFrame, place: int) -> float:
-    """Mean log loss of the probabilities of a category."""
-    chance = F.when(F.col(f"{OWN}y{place}") == 1, F.col(_earlier(place))).otherwise(
-        1 - F.col(_earlier(place))
-    )
-    return scored.agg(F.avg(-F.log(F.greatest(chance, F.lit(1e-9))))).first()[0]
-
-
-def _limit(scored: DataFrame, place: int) -> float:
+def _limit(scored: DataFrame) -> float:
     """The probability that parts a category best (F1), the nearest to 0.5 among equals."""
     steps = (
-        scored.groupBy(F.round(_earlier(place), 3).alias("p"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(f"{OWN}y{place}").alias("positive"))
-        .collect()
+        scored.groupBy(F.round("chance", 3).alias("p"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("positive"))
+        .collect()  # at most 1,001 rows
     )
     steps.sort(key=lambda r: -r.p)
     every = sum(r.positive for r in steps)
@@ -302,10 +389,28 @@ def standard_labels(labels: DataFrame) -> DataFrame:
 
 
 def not_toxic(
-    docs: DataFrame, chain: Chain, text_col: str = "text", limit: float | None = None
+    docs: DataFrame,
+    chain: Chain,
+    text_col: str = "text",
+    limit: float | None = None,
+    labels: DataFrame | None = None,
+    id_col: str = "doc_id",
 ) -> DataFrame:
-    """The rows of ``docs`` whose toxic probability is below ``limit`` (else the chain's)."""
+    """The rows of ``docs`` whose toxic probability is below ``limit`` (else the chain's).
+
+    With ``labels`` (id and 0/1 column ``toxic``) a label that is not NULL decides, and the
+    model decides for all other rows; of repeated labels of an id the largest counts.
+    """
     limit = chain.limit("toxic") if limit is None else limit
-    name = f"{OWN}chain"
+    name, known, known_id = f"{OWN}chain", f"{OWN}label", f"{OWN}id"
     scored = chain.probabilities(docs, text_col, name)
-    return scored.filter(F.coalesce(F.col(name)["toxic"], F.lit(0.0)) < limit).drop(name)
+    toxic = F.coalesce(F.col(name)["toxic"], F.lit(0.0)) >= limit
+    if labels is None:
+        return scored.filter(~toxic).drop(name)
+    given = (
+        labels.filter("toxic IS NOT NULL")
+        .groupBy(F.col(id_col).alias(known_id))
+        .agg((F.max("toxic") >= 1).alias(known))
+    )
+    joined = scored.join(broadcast_checked(given), scored[id_col] == F.col(known_id), "left")
+    return joined.filter(~F.coalesce(F.col(known), toxic)).drop(name, known, known_id)
