@@ -22,7 +22,7 @@ from ebbtide.session import stored
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = toxicity.standard_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.not_toxic(docs, toxicity.fit_chain(docs, labels))
+    return toxicity.not_toxic(docs, toxicity.fit_chain(docs, labels), labels=labels)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
