@@ -13,7 +13,7 @@ No mark that enough texts share is left out of the search (see ``linear``), whic
 all conditions of the optimum hold.
 
 The training set is the ``train_rows`` labelled rows with the smallest hash of their id, or
-as many of these as have ``train_marks`` different marks together; only this id list is
+as many of these as have ``train_chars`` signs together; only this id list is
 broadcast, and one task holds the numbered marks of one sample. The models without each fold and of all rows are
 fitted by one task each, in one job per category. The limit of a category is the
 out-of-fold probability with the best F1. Scoring is one pass over all whole texts without a shuffle; it
@@ -162,10 +162,10 @@ def training_rows(
     id_col: str,
     text_col: str,
     train_rows: int,
-    train_marks: int,
+    train_chars: int,
     folds: int,
 ) -> DataFrame:
-    """Marks with counts, length, one 0/1 column per category and the fold of the training texts."""
+    """Number, text, one 0/1 value per category and the fold of the training texts."""
     places = range(len(categories))
     chosen = (
         labels.select(
@@ -181,75 +181,82 @@ def training_rows(
     )
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # At most ``train_rows`` short rows.
-    joined = texts.join(F.broadcast(chosen), "id").select(
-        "order",
-        F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(folds)).cast("int").alias("fold"),
-        F.array(*(F.col(f"y{i}") for i in places)).alias("y"),
-        "text",
+    rows = stored(
+        texts.join(F.broadcast(chosen), "id").select(
+            "order",
+            F.monotonically_increasing_id().alias("row"),
+            F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(folds)).cast("int").alias("fold"),
+            F.array(*(F.col(f"y{i}") for i in places)).alias("y"),
+            "text",
+        )
     )
+    sizes = rows.select("order", F.char_length("text").alias("size")).na.fill(0).toArrow()
+    place = np.argsort(sizes["order"].to_numpy(), kind="stable")
+    fits = np.cumsum(sizes["size"].to_numpy()[place]) <= train_chars
+    if not fits.all():
+        rows = rows.filter(F.col("order") < int(sizes["order"].to_numpy()[place][~fits][0]))
+    return rows
+
+
+def _names(rows: DataFrame, least_texts: int) -> list[str]:
+    """The marks of enough texts, the most frequent first. A mark has a sign of its text or
+    stem, so ``train_chars`` and ``least_texts`` bound their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = Counter()
         for batch in batches:
             column = batch.column("text")
             for i in range(batch.num_rows):
-                found, size = marks(column[i].as_py())
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "order": batch.column("order").slice(i, 1),
-                        "fold": batch.column("fold").slice(i, 1),
-                        "y": batch.column("y").slice(i, 1),
-                        "words": pa.array([size], pa.int64()),
-                        "marks": pa.array([list(found)], pa.list_(pa.string())),
-                        "counts": pa.array(
-                            [[min(c, MOST) for c in found.values()]], pa.list_(pa.int8())
-                        ),
-                    }
-                )
-            release_memory()
-
-    rows = stored(
-        joined.mapInArrow(
-            run,
-            "order long, fold int, y array<double>, words long, marks array<string>, counts array<tinyint>",
+                texts.update(marks(column[i].as_py())[0].keys())
+        yield pa.RecordBatch.from_pydict(
+            {"mark": pa.array(list(texts), pa.string()), "texts": pa.array(list(texts.values()), pa.int64())}
         )
+
+    found = (
+        rows.select("text")
+        .mapInArrow(run, "mark string, texts long")
+        .groupBy("mark")
+        .agg(F.sum("texts").alias("texts"))
+        .filter(F.col("texts") >= least_texts)
+        .toArrow()
+        .sort_by([("texts", "descending"), ("mark", "ascending")])
     )
-    sizes = rows.select("order", F.size("marks").alias("size")).toArrow()  # a row per text
-    order = np.argsort(sizes["order"].to_numpy(), kind="stable")
-    fits = np.cumsum(sizes["size"].to_numpy()[order]) <= train_marks
-    if not fits.all():
-        rows = rows.filter(F.col("order") < int(sizes["order"].to_numpy()[order][~fits][0]))
-    return rows
+    return found["mark"].to_pylist()
 
 
-def _numbered(rows: DataFrame, names: pa.Array) -> DataFrame:
-    """The training rows with the numbers of known marks instead of their names."""
-    shared = rows.sparkSession.sparkContext.broadcast(names)
+def _numbered(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The training rows with the numbers and counts of known marks, and the length."""
+    shared = rows.sparkSession.sparkContext.broadcast(pa.array(names, pa.string()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = {name: i for i, name in enumerate(shared.value.to_pylist())}
         for batch in batches:
-            lists, counts = batch.column("marks"), batch.column("counts")
+            texts, lengths, numbers, counts = batch.column("text"), [], [], []
             for i in range(batch.num_rows):
-                at = [places.get(name, -1) for name in lists[i].as_py()]
-                at = np.array(at, np.int32)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "row": batch.column("row").slice(i, 1),
-                        "fold": batch.column("fold").slice(i, 1),
-                        "y": batch.column("y").slice(i, 1),
-                        "dense": pa.array([[np.log1p(batch.column("words")[i].as_py())]]),
-                        "numbers": pa.array([at[at >= 0]], pa.list_(pa.int32())),
-                        "counts": pa.array(
-                            [np.array(counts[i].as_py(), np.int8)[at >= 0]], pa.list_(pa.int8())
-                        ),
-                    }
-                )
-
-    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+                found, size = marks(texts[i].as_py())
+                known = sorted((places[m], min(c, MOST)) for m, c in found.items() if m in places)
+                columns = np.array(known, np.int32).reshape(-1, 2).T
+                lengths.append(size)
+                numbers.append(columns[0])
+                counts.append(columns[1].astype(np.int8))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "row": batch.column("row"),
+                    "fold": batch.column("fold"),
+                    "y": batch.column("y"),
+                    "words": pa.array(lengths, pa.int64()),
+                    "dense": pa.array([[float(np.log1p(n))] for n in lengths], pa.list_(pa.float64())),
+                    "numbers": pa.array(numbers, pa.list_(pa.int32())),
+                    "counts": pa.array(counts, pa.list_(pa.int8())),
+                }
+            )
+            release_memory()
+
     return stored(
-        numbered.mapInArrow(
+        rows.drop("order").mapInArrow(
             run,
-            "row long, fold int, y array<double>, dense array<double>, numbers array<int>, counts array<tinyint>",
+            "row long, fold int, y array<double>, words long, dense array<double>, "
+            "numbers array<int>, counts array<tinyint>",
         )
     )
 
@@ -304,35 +311,25 @@ def fit_chain(
     categories: Sequence[str] = ("low_quality", "toxic"),
     id_col: str = "doc_id",
     text_col: str = "text",
-    train_rows: int = 20_000,
-    train_marks: int = 20_000_000,
+    train_rows: int = 10_000,
+    train_chars: int = 50_000_000,
     least_texts: int = 5,
     folds: int = 3,
     false_marks: float = 0.05,
 ) -> Chain:
     """Fit a chain on the texts of ``docs`` that ``labels`` (id and 0/1 columns) covers."""
     rows = training_rows(
-        docs, labels, categories, id_col, text_col, train_rows, train_marks, folds
+        docs, labels, categories, id_col, text_col, train_rows, train_chars, folds
     )
     chain = Chain(tuple(categories))
-    lengths = rows.agg(F.min("words"), F.max("words")).first()
+    names = _names(rows, least_texts)
+    frame = _numbered(rows, names)
+    lengths = frame.agg(F.min("words"), F.max("words")).first()
     if lengths[0] is None:
         return chain
     chain.lengths = tuple(lengths)
-    # At most ``train_marks / least_texts`` names.
-    names = (
-        rows.select(F.explode("marks").alias("mark"))
-        .groupBy("mark")
-        .agg(F.count(F.lit(1)).alias("texts"))
-        .filter(F.col("texts") >= least_texts)
-        .select("mark")
-        .orderBy("mark")
-        .toArrow()["mark"]
-        .combine_chunks()
-    )
-    sizes = np.array([len(name) for name in names.to_pylist()], np.int64)
-    frame = _numbered(rows, names)
-    vocabulary = len(names)
+    sizes = np.array([len(name) for name in names], np.int64)
+    frame = frame.drop("words")
 
     for place in range(len(categories)):
         # One bounded sample per task: without each fold, and whole (-1).
@@ -354,8 +351,8 @@ def fit_chain(
             np.array(whole.marks, np.int64),
             np.array(whole.weights),
         )
-        weights = {names[m].as_py(): w for m, w in zip(whole.marks, whole.weights)}
-        chain.models.append(Model(linear, weights, vocabulary + place))
+        weights = {names[m]: w for m, w in zip(whole.marks, whole.weights)}
+        chain.models.append(Model(linear, weights, len(names) + place))
         held_out = result.filter("row IS NOT NULL").select("row", "chance")
         scored = frame.join(held_out, "row")
         chain.limits.append(_limit(scored.select("chance", F.get("y", F.lit(place)).alias("y"))))
