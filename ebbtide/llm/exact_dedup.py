@@ -95,12 +95,35 @@ def _decided(df: DataFrame) -> DataFrame:
 def without_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest"
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    gone = (
-        exact_groups(docs, id_col, text_col, keep)
-        .filter(~F.col("kept"))
-        .select(F.col(id_col).alias("gone_id"), F.col("text_sha256").alias("gone_sha256"))
-        .distinct()
+    """One row of every text, with all its columns: that of the id that stays.
+
+    Of rows that repeat the id (or NULL) together with the text, the one whose columns are
+    first as JSON stays. Only rows of such groups are grouped; all others pass by joins on
+    ids and hashes that carry no text.
+    """
+    groups = stored(exact_groups(docs, id_col, text_col, keep).filter("group_size > 1"))
+    keys = groups.select(F.col(id_col).alias("gone_id"), F.col("text_sha256").alias("gone_sha256"), "kept")
+    gone = keys.filter("NOT kept").drop("kept").distinct()
+    repeated = stored(
+        keys.filter("kept")
+        .groupBy("gone_id", "gone_sha256")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .filter("rows > 1")
+        .drop("rows")
+    )
+    sha256 = F.sha2(ascii_lower(docs[text_col]), 256)
+
+    def matches(side: DataFrame) -> Column:
+        return docs[id_col].eqNullSafe(side["gone_id"]) & (sha256 == side["gone_sha256"])
+
+    if repeated.isEmpty():
+        return docs.join(gone, matches(gone), "left_anti")
+    several = gone.unionByName(repeated)
+    rows = docs.join(repeated, matches(repeated), "left_semi")
+    whole = F.struct(*(rows[c] for c in docs.columns))
+    first = rows.groupBy(rows[id_col].alias("id"), F.md5(ascii_lower(rows[text_col])).alias("hash"), ascii_lower(rows[text_col]).alias("body")).agg(
+        F.min_by(whole, F.to_json(whole)).alias("row")
+    )
+    return docs.join(several, matches(several), "left_anti").unionByName(
+        first.select("row.*").to(docs.schema)
     )
-    same_text = F.sha2(ascii_lower(docs[text_col]), 256) == gone["gone_sha256"]
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["gone_id"]) & same_text, "left_anti")

@@ -10,10 +10,13 @@ from __spark_entry__ import queries
 from ebbtide.llm.exact_dedup import ascii_lower, exact_groups, without_copies
 from ebbtide.llm.secrets import RULES
 from tests.conftest import DATA
-from tests.llm.helpers import AWKWARD, docs
+from tests.llm.helpers import AWKWARD, SCHEMA, docs
 from tests.llm.test_minhash import brute
 
 
+AWKWARD_PAIRS = [t if isinstance(t, tuple) else (i, t) for i, t in enumerate(AWKWARD)]
+
+
 def lower(text):
     return "".join(c.lower() if c.isascii() else c for c in text or "")
 
@@ -110,11 +113,51 @@ def test_exact_groups_of_awkward_rows(spark):
         ]
     )
     assert exact_groups(docs(spark, [])).collect() == []
-    assert without_copies(table).count() == len(AWKWARD) - 2
-    more = docs(spark, [*AWKWARD, (None, "tie"), (3, "tie")])
+    kept = without_copies(table)
+    assert kept.schema == table.schema
+    texts = [r.text for r in kept.collect()]
+    # One row of each text: NULL is empty, and the repeated tie stays once.
+    assert len(texts) == len(set(texts)) == len({t or "" for _, t in AWKWARD_PAIRS})
+    more = docs(spark, [*AWKWARD, (None, "tie"), (3, "tie"), (None, "no id"), (None, "NO ID")])
     stays = [(r.doc_id, r.text) for r in without_copies(more, keep="largest").collect()]
     assert (101, "tie") in stays and (3, "One") in stays
     assert not {(None, "tie"), (3, "tie"), (100, "tie")} & set(stays)
+    assert sum(i is None for i, _ in stays) == 1
+
+
+def test_of_repeated_rows_the_first_by_its_columns_stays(spark):
+    rows = [(7, "same", lang, s, "x", None, "y", 1) for lang, s in [("fr", "b"), ("en", "c"), ("en", "a")]]
+    table = spark.createDataFrame(rows * 4 + [(8, "other", "en", "a", "x", None, "y", 1)], SCHEMA)
+    kept = without_copies(table.repartition(5))
+    assert sorted(map(tuple, kept.collect())) == sorted([rows[2], (8, "other", "en", "a", "x", None, "y", 1)])
+
+
+def awkward_folder(path, documents, labels):
+    documents.write.parquet(f"{path}/documents.parquet")
+    labels.write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def test_awkward_documents_pass_all_stages(spark, tmp_path):
+    """NULLs, ties, repeated rows, a very long text and clashing names; no labels at all."""
+    table = docs(spark, [*AWKWARD, (7, "password = hunter2hunter2")] * 2)
+    folder = awkward_folder(tmp_path, table, spark.createDataFrame([], LABELS))
+    pieces = corpus_pipeline.run(spark, folder).collect()
+    whole = defaultdict(int)
+    for r in pieces:
+        whole[r.doc_id] += r.length
+    # Each of the different texts once; an empty one has just the id that ends a document.
+    assert sorted(whole, key=repr) == sorted([0, 2, 3, 4, 7, 100, 102, None], key=repr)
+    assert whole[0] == 1 and whole[102] > 100_000
+
+
+@pytest.mark.parametrize("labels", [[], [(0, None, 1), (None, 1, 1), (1, 1, None)]])
+def test_no_documents(spark, tmp_path, labels):
+    folder = awkward_folder(tmp_path, docs(spark, []), spark.createDataFrame(labels, LABELS))
+    assert corpus_pipeline.run(spark, folder).collect() == []
 
 
 def test_clashing_hashes_are_told_apart(spark):
