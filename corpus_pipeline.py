@@ -3,11 +3,20 @@
 Each stage works on all documents that the one before kept. All stages but the last
 return the columns of ``documents``:
 
-1. ``toxicity``: documents that the classifier chain rejects go;
-2. ``exact_dedup``: of equal texts (A-Z lower-cased) the smallest id stays;
+1. ``toxicity``: documents labelled toxic go, those labelled otherwise stay; of all others
+   those go that the classifier chain rejects;
+2. ``exact_dedup``: of equal texts (A-Z lower-cased) the smallest id stays, in one row;
 3. ``near_dedup``: of each group of near duplicates (five words, 0.8) the smallest id stays;
 4. ``secrets``: every secret in a text is replaced by ``[secret]``; no document goes;
 5. ``packing``: tokenised pieces of sequences of 1024, one row per piece.
+
+Defined results: a NULL text is an empty one; all empty texts are equal, and the one that stays
+is packed as the id that ends a document. A NULL id never becomes the kept id while a text has
+another one; near duplicates are not sought among NULL ids. Of rows that repeat an id with its text
+one stays; rows that repeat an id with different texts are different documents, but they go
+together if one of them is a near copy of a smaller id. Without usable labels (none, or NULLs) nothing is rejected as toxic; an empty ``documents``
+table gives no rows. Columns beyond id and text may have any name and pass unchanged up to the
+last stage (``n_chars`` is set anew by ``secrets``).
 """
 
 from __future__ import annotations
