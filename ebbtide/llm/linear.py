@@ -12,6 +12,7 @@ a wide normal prior. Dense columns (the length, earlier categories) are never pe
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterator
 from dataclasses import dataclass
 from statistics import NormalDist
 
@@ -36,9 +37,23 @@ class Sample:
     def rows(self) -> int:
         return len(self.starts) - 1
 
-    @property
-    def owners(self) -> np.ndarray:
-        return np.repeat(np.arange(self.rows), np.diff(self.starts))
+    def parts(self, least: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Owners, numbers and counts of some texts at a time: what is computed from them
+        needs little memory beside the sample."""
+        first = 0
+        while first < self.rows:
+            last = max(first + 1, int(np.searchsorted(self.starts, self.starts[first] + least, "right")) - 1)
+            at = slice(self.starts[first], self.starts[last])
+            owners = np.repeat(np.arange(first, last), np.diff(self.starts[first : last + 1]))
+            yield owners, self.numbers[at], self.counts[at]
+            first = last
+
+    def summed(self, vocabulary: int, weights: np.ndarray, power: int = 1) -> np.ndarray:
+        """Per mark the sum of weights of texts times (powers of) counts."""
+        found = np.zeros(vocabulary)
+        for owners, numbers, counts in self.parts():
+            found += np.bincount(numbers, weights[owners] * counts.astype(float) ** power, vocabulary)
+        return found
 
     def only(self, chosen: np.ndarray) -> "Sample":
         marks = np.repeat(chosen, np.diff(self.starts))
@@ -66,9 +81,9 @@ class Linear:
             return np.full(sample.rows, self.constant)
         weights = np.zeros(vocabulary)
         weights[self.marks] = self.weights
-        sums = np.bincount(
-            sample.owners, weights[sample.numbers] * sample.counts, minlength=sample.rows
-        )
+        sums = np.zeros(sample.rows)
+        for owners, numbers, counts in sample.parts():
+            sums += np.bincount(owners, weights[numbers] * counts, sample.rows)
         return logistic(self.intercept + sample.dense @ self.dense + sums)
 
 
@@ -144,14 +159,10 @@ def fit_linear(
     extra = 1 + sample.dense.shape[1]
     if rate in (0.0, 1.0):
         return Linear(rate, 0.0, np.zeros(extra - 1), np.zeros(0, np.int64), np.zeros(0))
-    owners, values = sample.owners, sample.counts.astype(np.float64)
-
-    def summed(weights: np.ndarray) -> np.ndarray:
-        return np.bincount(sample.numbers, weights, minlength=vocabulary)
-
-    mean = summed(values) / n
-    spread = np.sqrt(np.maximum(summed(values * values) / n - mean * mean, 0))
-    usable = (np.bincount(sample.numbers, minlength=vocabulary) >= least_texts) & (spread > 0)
+    ones = np.ones(n)
+    mean = sample.summed(vocabulary, ones) / n
+    spread = np.sqrt(np.maximum(sample.summed(vocabulary, ones, 2) / n - mean * mean, 0))
+    usable = (sample.summed(vocabulary, ones, 0) >= least_texts) & (spread > 0)
     level = NormalDist().inv_cdf(1 - false_marks / 2 / max(1, int(usable.sum())))
     penalty = (rate * (1 - rate) / n) ** 0.5 * level
 
@@ -160,8 +171,9 @@ def fit_linear(
         x[:, 0], x[:, 1:extra] = 1, sample.dense
         place = np.full(vocabulary, -1)
         place[marks] = np.arange(len(marks))
-        at = place[sample.numbers]
-        x[owners[at >= 0], extra + at[at >= 0]] = values[at >= 0]
+        for owners, numbers, counts in sample.parts():
+            at = place[numbers]
+            x[owners[at >= 0], extra + at[at >= 0]] = counts[at >= 0]
         return x
 
     base = np.concatenate([[0], np.full(extra - 1, TIE)])
@@ -171,7 +183,7 @@ def fit_linear(
     x = columns(marks)
     w = penalised(x, y, np.zeros(extra), base, w)
     for _ in range(500):
-        gradient = np.abs(summed(values * (logistic(x @ w) - y)[owners])) / n
+        gradient = np.abs(sample.summed(vocabulary, logistic(x @ w) - y)) / n
         score = np.where(usable, gradient / np.where(spread > 0, spread, 1), 0)
         score[marks] = 0
         over = np.flatnonzero(score > penalty * (1 + 1e-6))

@@ -36,6 +36,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -265,7 +266,7 @@ def _sample(rows: pa.Table) -> Sample:
     def flat(name: str) -> np.ndarray:
         return rows[name].combine_chunks().flatten().to_numpy(zero_copy_only=False)
 
-    sizes = np.array([len(v) for v in rows["numbers"]], np.int64)
+    sizes = pc.list_value_length(rows["numbers"]).to_numpy().astype(np.int64)
     return Sample(
         np.concatenate([[0], np.cumsum(sizes)]),
         flat("numbers"),
@@ -282,8 +283,9 @@ def _fold_fits(place: int, lengths: np.ndarray, least_texts: int, false_marks: f
         fit = key[0].as_py()
         # In one order, whichever way the rows came.
         table = table.sort_by("row")
-        sample, fold = _sample(table), table["fold"].to_numpy()
+        sample, fold, rows = _sample(table), table["fold"].to_numpy(), table["row"].to_numpy()
         y = np.array([v[place].as_py() for v in table["y"]])
+        del table
         used, held = fold != fit, fold == fit
         if not used.any():
             used = held
@@ -291,10 +293,12 @@ def _fold_fits(place: int, lengths: np.ndarray, least_texts: int, false_marks: f
         known = [] if model.constant is not None else [model.intercept, *model.dense]
         chances = model.chances(sample.only(held), len(lengths))
         none = [[]] * int(held.sum())
+        del sample
+        release_memory()
         return pa.table(
             {
                 "fit": pa.array([fit] * (len(none) + 1), pa.int32()),
-                "row": pa.array([*table["row"].to_numpy()[held].tolist(), None], pa.int64()),
+                "row": pa.array([*rows[held].tolist(), None], pa.int64()),
                 "chance": pa.array([*chances.tolist(), model.constant], pa.float64()),
                 "known": pa.array([*none, known], pa.list_(pa.float64())),
                 "marks": pa.array([*none, model.marks.tolist()], pa.list_(pa.int64())),
