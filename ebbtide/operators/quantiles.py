@@ -9,8 +9,9 @@ are then counted, so the exact step works on a small rest whatever the table siz
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ ACCURACY = 10_000
 
 @dataclass
 class _Target:
+    # None where the rows are not grouped.
+    group: int | None
     column: str
     prob: float
     rows: int
@@ -42,50 +45,95 @@ class _Target:
         return self.low < self.high
 
 
-def _narrow(df: DataFrame, targets: list[_Target]) -> None:
+def _per_group(
+    targets: Sequence[_Target], group: str | None, make: Callable[[_Target], Column]
+) -> Column:
+    """``make`` of the target of a row's group; NULL for groups without one."""
+    if group is None:
+        return make(targets[0])
+    return reduce(
+        lambda chain, t: chain.when(F.col(group) == t.group, make(t)),
+        targets[1:],
+        F.when(F.col(group) == targets[0].group, make(targets[0])),
+    )
+
+
+def _rows_by_group(df: DataFrame, group: str | None, asks: Sequence[Column]) -> dict:
+    if group is None:
+        return {None: df.agg(*asks).first()}
+    return {r[group]: r for r in df.groupBy(group).agg(*asks).collect()}
+
+
+def _narrow(df: DataFrame, targets: list[_Target], group: str | None) -> None:
     """Shrink the bracket of every target that still holds too many rows."""
     wide = [t for t in targets if t.open and t.inside > FINAL_ROWS]
     slack_of = {id(t): 2.0 for t in wide}
     while wide:
+        # One expression per column and quantile, whatever the number of groups.
+        sets: dict[tuple, list[_Target]] = {}
+        for t in wide:
+            sets.setdefault((t.column, t.prob), []).append(t)
         asks = []
-        for i, t in enumerate(wide):
-            value = F.col(t.column).cast("double")
-            inner = value if math.isinf(t.low) else F.when(value.between(t.low, t.high), value)
-            share = (t.position - t.below) / t.inside
-            slack = slack_of[id(t)] / ACCURACY + 2.0 / t.inside
+        for i, held in enumerate(sets.values()):
+            value = F.col(held[0].column).cast("double")
+            shares = []
+            for t in held:
+                share = (t.position - t.below) / t.inside
+                slack = slack_of[id(t)] / ACCURACY + 2.0 / t.inside
+                shares += [max(0.0, share - slack), min(1.0, share + slack)]
+
+            def inner(t: _Target, value: Column = value) -> Column:
+                return (
+                    value
+                    if math.isinf(t.low)
+                    else F.when(value.between(t.low, t.high), value)
+                )
+
             asks.append(
                 F.percentile_approx(
-                    inner,
-                    [max(0.0, share - slack), min(1.0, share + slack)],
-                    ACCURACY,
+                    _per_group(held, group, inner), shares, ACCURACY
                 ).alias(f"b{i}")
             )
-        bounds = df.agg(*asks).first()
+        found = _rows_by_group(df, group, asks)
+        limits: dict[int, tuple[float, float]] = {}
         checks = []
-        for i, t in enumerate(wide):
-            value = F.col(t.column).cast("double")
-            low, high = bounds[f"b{i}"]
+        for i, held in enumerate(sets.values()):
+            value = F.col(held[0].column).cast("double")
+            for place, t in enumerate(held):
+                bounds = found[t.group][f"b{i}"]
+                limits[id(t)] = (bounds[2 * place], bounds[2 * place + 1])
+
+            def under(t: _Target, value: Column = value) -> Column:
+                return F.when(value < limits[id(t)][0], 1)
+
+            def within(t: _Target, value: Column = value) -> Column:
+                return F.when(value.between(*limits[id(t)]), 1)
+
             checks += [
-                F.count(F.when(value < low, 1)).alias(f"l{i}"),
-                F.count(F.when(value.between(low, high), 1)).alias(f"m{i}"),
+                F.count(_per_group(held, group, under)).alias(f"l{i}"),
+                F.count(_per_group(held, group, within)).alias(f"m{i}"),
             ]
-        seen = df.agg(*checks).first()
+        seen = _rows_by_group(df, group, checks)
         again = []
-        for i, t in enumerate(wide):
-            low, high = bounds[f"b{i}"]
-            below, inside = seen[f"l{i}"], seen[f"m{i}"]
-            # Accept only a bracket that holds both neighbours of the position.
-            holds = below <= math.floor(t.position) and math.ceil(t.position) < below + inside
-            if not holds:
-                slack_of[id(t)] *= 4
-                again.append(t)
-                continue
-            shrunk = inside < t.inside
-            t.low, t.high, t.below, t.inside = low, high, below, inside
-            # A bracket that stays the same consists of a few very frequent values,
-            # which the final step counts as one row each.
-            if shrunk and t.open and inside > FINAL_ROWS:
-                again.append(t)
+        for i, held in enumerate(sets.values()):
+            for t in held:
+                low, high = limits[id(t)]
+                below, inside = seen[t.group][f"l{i}"], seen[t.group][f"m{i}"]
+                # Accept only a bracket that holds both neighbours of the position.
+                holds = (
+                    below <= math.floor(t.position)
+                    and math.ceil(t.position) < below + inside
+                )
+                if not holds:
+                    slack_of[id(t)] *= 4
+                    again.append(t)
+                    continue
+                shrunk = inside < t.inside
+                t.low, t.high, t.below, t.inside = low, high, below, inside
+                # A bracket that stays the same consists of a few very frequent values,
+                # which the final step counts as one row each.
+                if shrunk and t.open and inside > FINAL_ROWS:
+                    again.append(t)
         wide = again
 
 
@@ -95,6 +143,36 @@ class ColumnQuantiles:
     values: list[float | None]
 
 
+def _quantiles(
+    df: DataFrame, group: str | None, columns: Sequence[str], probs: Sequence[float]
+) -> dict[tuple, ColumnQuantiles]:
+    # Positional names: a column may be called like the group.
+    asks = [F.count(F.col(quoted(c))).alias(f"n{i}") for i, c in enumerate(columns)]
+    counts = {
+        (key, c): row[f"n{i}"]
+        for key, row in _rows_by_group(df, group, asks).items()
+        for i, c in enumerate(columns)
+    }
+    targets = [
+        _Target(key, c, q, rows, -math.inf, math.inf, 0, rows)
+        for (key, c), rows in counts.items()
+        if rows
+        for q in probs
+    ]
+    _narrow(df, targets, group)
+    picked = _pick(df, [t for t in targets if t.open], group)
+    found: dict[tuple, float] = {}
+    for t in targets:
+        name = (t.group, t.column, t.prob)
+        low, high = picked.get(name, (t.low, t.low))
+        part = t.position - math.floor(t.position)
+        found[name] = low + (high - low) * part
+    return {
+        (key, c): ColumnQuantiles(rows, [found.get((key, c, q)) for q in probs])
+        for (key, c), rows in counts.items()
+    }
+
+
 def column_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float]
 ) -> dict[str, ColumnQuantiles]:
@@ -105,21 +183,17 @@ def column_quantiles(
     """
     if not columns:
         return {}
-    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    targets = [
-        _Target(c, q, counts[c], -math.inf, math.inf, 0, counts[c])
-        for c in columns
-        if counts[c]
-        for q in probs
-    ]
-    _narrow(df, targets)
-    picked = _pick(df, [t for t in targets if t.open])
-    found: dict[tuple[str, float], float] = {}
-    for t in targets:
-        low, high = picked.get((t.column, t.prob), (t.low, t.low))
-        part = t.position - math.floor(t.position)
-        found[t.column, t.prob] = low + (high - low) * part
-    return {c: ColumnQuantiles(counts[c], [found.get((c, q)) for q in probs]) for c in columns}
+    found = _quantiles(df, None, columns, probs)
+    return {c: found[None, c] for c in columns}
+
+
+def grouped_quantiles(
+    df: DataFrame, group: str, columns: Sequence[str], probs: Sequence[float]
+) -> dict[tuple[int, str], ColumnQuantiles]:
+    """:func:`column_quantiles` within every value of the whole-number column ``group``
+    (few values, none of them NULL), by (group, column). The number of passes does not
+    depend on the number of groups."""
+    return _quantiles(df, group, columns, probs) if columns else {}
 
 
 def exact_quantiles(
@@ -129,7 +203,7 @@ def exact_quantiles(
     return {c: q.values for c, q in column_quantiles(df, columns, probs).items()}
 
 
-def _pick(df: DataFrame, targets: list[_Target]) -> dict[tuple[str, float], tuple]:
+def _pick(df: DataFrame, targets: list[_Target], group: str | None) -> dict[tuple, tuple]:
     """The values at both neighbours of every target position."""
     if not targets:
         return {}
@@ -137,14 +211,29 @@ def _pick(df: DataFrame, targets: list[_Target]) -> dict[tuple[str, float], tupl
     brackets: dict[tuple, int] = {}
     wanted = []
     for i, t in enumerate(targets):
-        number = brackets.setdefault((t.column, t.low, t.high), len(brackets))
+        number = brackets.setdefault((t.group, t.column, t.low, t.high), len(brackets))
         for side, position in enumerate((math.floor(t.position), math.ceil(t.position))):
             wanted.append((number, int(position - t.below), i, side))
-    entries = []
-    for (column, low, high), number in brackets.items():
+    # A row takes the brackets of its own group: per column as many entries as one group
+    # has at most.
+    columns: dict[str, dict] = {}
+    for (key, column, low, high), number in brackets.items():
         value = f"cast({quoted(column)} as double)"
         held = f"{value} BETWEEN {double_text(low)} AND {double_text(high)}"
-        entries.append(f"IF({held}, named_struct('b', {number}, 'v', {value}), NULL)")
+        entry = f"IF({held}, named_struct('b', {number}, 'v', {value}), NULL)"
+        columns.setdefault(column, {}).setdefault(key, []).append(entry)
+    entries = []
+    for by_key in columns.values():
+        if group is None:
+            entries += by_key[None]
+            continue
+        for place in range(max(map(len, by_key.values()))):
+            whens = [
+                f"WHEN {key} THEN {held[place]}"
+                for key, held in by_key.items()
+                if place < len(held)
+            ]
+            entries.append(f"CASE {quoted(group)} {' '.join(whens)} END")
     counted = (
         df.selectExpr(f"inline(array_compact(array({', '.join(entries)})))")
         .groupBy("b", "v")
@@ -152,7 +241,7 @@ def _pick(df: DataFrame, targets: list[_Target]) -> dict[tuple[str, float], tupl
     )
     upto = F.sum("n").over(Window.partitionBy("b").orderBy("v"))
     runs = counted.select("b", "v", "n", upto.alias("upto"))
-    # Two rows per column and quantile, so always small.
+    # Two rows per group, column and quantile, so always small.
     rows = ", ".join(f"({b}, {position}L, {i}, {side})" for b, position, i, side in wanted)
     asked = df.sparkSession.sql(
         f"SELECT * FROM VALUES {rows} AS asked(b, position, target, side)"
@@ -161,10 +250,11 @@ def _pick(df: DataFrame, targets: list[_Target]) -> dict[tuple[str, float], tupl
         (F.col("position") < F.col("upto"))
         & (F.col("position") >= F.col("upto") - F.col("n"))
     )
-    result: dict[tuple[str, float], list] = {}
+    result: dict[tuple, list] = {}
     for row in hits.select("target", "side", "v").collect():
         t = targets[row["target"]]
-        result.setdefault((t.column, t.prob), [None, None])[row["side"]] = row["v"]
+        name = (t.group, t.column, t.prob)
+        result.setdefault(name, [None, None])[row["side"]] = row["v"]
     return {key: tuple(pair) for key, pair in result.items()}
 
 

@@ -6,8 +6,9 @@ reused when scoring.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from ebbtide.functions.scalars import double_text, quoted, ratio
 from ebbtide.operators.correlation import numeric_columns, text_columns
 from ebbtide.operators.ordering import forward_filled, with_rank
-from ebbtide.operators.quantiles import column_quantiles
+from ebbtide.operators.quantiles import column_quantiles, grouped_quantiles
 from ebbtide.params import GLOBAL_ROUTE, TIER, UNKNOWN
 from ebbtide.plans.features import most_frequent
 from ebbtide.session import pinned
@@ -23,6 +24,9 @@ from ebbtide.session import pinned
 EXCLUDED = ("member_id", "is_churned")
 TINY = 1e-6
 ROW_ORDER = ("member_id", TIER)
+# Number of the model of a row, and of the fallback model.
+NUMBER = "_route"
+FALLBACK = -1
 
 
 def check_input(df: DataFrame, route: str = GLOBAL_ROUTE) -> None:
@@ -107,12 +111,15 @@ def interaction_features(columns: Sequence[str]) -> dict[str, Column]:
     return made
 
 
+def _made_columns(columns: Sequence[str], route: str) -> dict[str, Column]:
+    made = {} if route == GLOBAL_ROUTE else tier_features(columns, route)
+    return made | interaction_features(columns)
+
+
 def engineered(df: DataFrame, route: str) -> DataFrame:
     """Tier features (not on the global route), then interactions; NULL inputs give
     NULL features, which are imputed later like any other."""
-    columns = df.columns
-    made = {} if route == GLOBAL_ROUTE else tier_features(columns, route)
-    made |= interaction_features(columns)
+    made = _made_columns(df.columns, route)
     return df.withColumns(made) if made else df
 
 
@@ -126,37 +133,49 @@ class Preparation:
     mode_codes: dict[str, float]
     # Rows (column, value, code) of all text columns; None without text columns.
     codes: DataFrame | None = None
+    # Where several routes were fitted together: their codes in one table, and the number
+    # of this route in it.
+    number: int = FALLBACK
+    shared_codes: DataFrame | None = None
 
     @property
     def feature_names(self) -> list[str]:
         return [*self.numeric, *[f"{c}_encoded" for c in self.categorical]]
 
 
-def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows per (column, value) of several text columns, from one pass."""
+def category_counts(
+    df: DataFrame, columns: Sequence[str], within: Sequence[str] = ()
+) -> DataFrame:
+    """Rows per (column, value) of several text columns, from one pass; per ``within``
+    too when given."""
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]
     )
     return (
-        df.select(F.inline(pairs))
+        df.select(*within, F.inline(pairs))
         .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
+        .groupBy(*within, "column", "value")
         .agg(F.count("*").alias("n"))
     )
 
 
-def category_modes(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("column").agg(
+def category_modes(counts: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    return counts.groupBy(*within, "column").agg(
         most_frequent(F.col("value"), F.col("n")).alias("mode")
     )
 
 
-def label_codes(counts: DataFrame) -> DataFrame:
+def label_codes(counts: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Alphabetical codes from 0 per column, as a table: a column may have as many
     classes as there are members, so the classes never travel through the driver."""
-    ranked = with_rank(counts.select("column", "value"), [F.col("value")], ["column"], "place")
+    ranked = with_rank(
+        counts.select(*within, "column", "value"),
+        [F.col("value")],
+        [*within, "column"],
+        "place",
+    )
     return ranked.select(
-        "column", "value", (F.col("place") - 1).cast("double").alias("code")
+        *within, "column", "value", (F.col("place") - 1).cast("double").alias("code")
     )
 
 
@@ -183,6 +202,159 @@ def fit_preparation(df: DataFrame, route: str = GLOBAL_ROUTE) -> Preparation:
     return Preparation(route, numeric, categorical, medians, mode_codes, codes)
 
 
+def _with_made(df: DataFrame, routes: Iterable[str]) -> DataFrame:
+    """Add ``_made_<feature>`` for the engineered features of all routes. A feature has one
+    formula wherever it occurs, so each is there once."""
+    made: dict[str, Column] = {}
+    for route in routes:
+        made |= _made_columns(df.columns, route)
+    return df.withColumns({f"_made_{c}": e for c, e in made.items()}) if made else df
+
+
+def fit_preparations(df: DataFrame, routes: dict[int, str]) -> dict[int, Preparation]:
+    """:func:`fit_preparation` of several routes at once, by their numbers.
+
+    ``df`` names the route of a row in column ``_route``. The route ``FALLBACK`` learns from
+    all rows, every other one from its own; rows of a number that is not asked for count
+    for the fallback only. A row is read once for its own route and once for the fallback,
+    and the number of jobs does not depend on the number of routes. ``df`` is read a few
+    times: pass a stored frame. A route without rows gets no medians and no codes.
+    """
+    plain = df.drop(NUMBER)
+    check_input(plain, GLOBAL_ROUTE if set(routes) == {FALLBACK} else "")
+    shapes = {n: engineered(plain, route) for n, route in routes.items()}
+    numeric = {
+        n: [c for c in numeric_columns(shape) if c not in EXCLUDED]
+        for n, shape in shapes.items()
+    }
+    categorical = [c for c in text_columns(plain) if c not in EXCLUDED]
+    sources = {
+        n: {
+            c: f"_made_{c}" if c in _made_columns(plain.columns, route) else c
+            for c in numeric[n]
+        }
+        for n, route in routes.items()
+    }
+    used = sorted({name for by_route in sources.values() for name in by_route.values()})
+    wide = _with_made(df, routes.values())
+    own = F.array_distinct(F.array(F.col(NUMBER), F.lit(FALLBACK)))
+    copies = wide.select(F.explode(own).alias(NUMBER), *used, *categorical).where(
+        F.col(NUMBER).isin(list(routes))
+    )
+    found = grouped_quantiles(copies, NUMBER, used, [0.5])
+    medians = {
+        n: {
+            c: found[n, name].values[0] if (n, name) in found else None
+            for c, name in sources[n].items()
+        }
+        for n in routes
+    }
+    mode_codes = {n: dict.fromkeys(categorical, 0.0) for n in routes}
+    codes = None
+    if categorical:
+        counts = pinned(category_counts(copies, categorical, [NUMBER]))
+        codes = pinned(label_codes(counts, [NUMBER]))
+        modes = category_modes(counts, [NUMBER])
+        chosen = modes.join(codes, [NUMBER, "column"]).where(F.col("value") == F.col("mode"))
+        # One number per route and text column.
+        for row in chosen.select(NUMBER, "column", "code").collect():
+            mode_codes[row[NUMBER]][row["column"]] = row["code"]
+    return {
+        n: Preparation(
+            route,
+            numeric[n],
+            list(categorical),
+            medians[n],
+            mode_codes[n],
+            None if codes is None else codes.where(F.col(NUMBER) == n).drop(NUMBER),
+            n,
+            codes,
+        )
+        for n, route in routes.items()
+    }
+
+
+def codes_of_routes(preps: dict[int, Preparation]) -> DataFrame | None:
+    """The codes of all routes as (_route, column, value, code), by the numbers given."""
+    tables = {id(p.shared_codes) for p in preps.values()}
+    first = next(iter(preps.values())).shared_codes
+    if len(tables) == 1 and first is not None:
+        if all(p.number == n for n, p in preps.items()):
+            return first
+    parts = [
+        p.codes.select(F.lit(n).alias(NUMBER), "column", "value", "code")
+        for n, p in preps.items()
+        if p.codes is not None
+    ]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def route_vectors(
+    df: DataFrame, preps: dict[int, Preparation], keep: Sequence[str] = ()
+) -> DataFrame:
+    """``keep``, ``_route`` and ``features``: the features of every row, as an array in the
+    order of its own route, by one plan for all routes.
+
+    The values are those of :func:`prepared_features` with ``fill=False``: rows went through
+    :func:`with_filled_days` before. A row whose route has no preparation here has NULL.
+    """
+    given = [c for c in df.columns if c != NUMBER and not c.startswith("_filled_")]
+    fills = {c for c in df.columns if c.startswith("_filled_")}
+    made = {n: _made_columns(given, p.route) for n, p in preps.items()}
+    wide = _with_made(
+        df.withColumns({f"_keep_{c}": F.col(c) for c in keep}),
+        [p.route for p in preps.values()],
+    )
+    coded = sorted({c for p in preps.values() for c in p.categorical if c in given})
+    codes = codes_of_routes(preps) if coded else None
+    for place, column in enumerate(coded if codes is not None else []):
+        known = codes.where(F.col("column") == column).select(
+            F.col(NUMBER).alias("_at"),
+            F.md5("value").alias("_hash"),
+            F.col("value").alias("_value"),
+            F.col("code").alias(f"_code_{place}"),
+        )
+        # By a hash of the value, and the value itself against collisions.
+        match = (
+            (F.col(NUMBER) == F.col("_at"))
+            & (F.md5(F.col(quoted(column))) == F.col("_hash"))
+            & (F.col(quoted(column)) == F.col("_value"))
+        )
+        wide = wide.join(known, match, "left").drop("_at", "_hash", "_value")
+
+    def number(c: str, n: int, prep: Preparation) -> str:
+        if c in made[n]:
+            source = f"cast({quoted(f'_made_{c}')} as double)"
+        elif c in given:
+            source = f"cast({quoted(c)} as double)"
+            if f"_filled_{c}" in fills:
+                source = f"cast({quoted(f'_filled_{c}')} as double), {source}"
+        else:
+            return "0.0D"
+        median = prep.medians.get(c)
+        return f"coalesce({source}, {double_text(0.0 if median is None else median)})"
+
+    def code(c: str, prep: Preparation) -> str:
+        if c in given:
+            place = f"_code_{coded.index(c)}" if codes is not None else "NULL"
+            mode = double_text(prep.mode_codes[c])
+            return f"IF({quoted(c)} IS NULL, {mode}, coalesce({place}, 0.0D))"
+        spare = f"{c}_encoded"
+        return f"cast({quoted(spare)} as double)" if spare in given else "0.0D"
+
+    whens = []
+    for n, prep in preps.items():
+        parts = [number(c, n, prep) for c in prep.numeric]
+        parts += [code(c, prep) for c in prep.categorical]
+        values = f"array({', '.join(parts)})" if parts else "cast(array() as array<double>)"
+        whens.append(f"WHEN {n} THEN {values}")
+    return wide.select(
+        *[F.col(f"_keep_{c}").alias(c) for c in keep],
+        NUMBER,
+        F.expr(f"CASE {NUMBER} {' '.join(whens)} END").alias("features"),
+    )
+
+
 def with_filled_days(df: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Add ``_filled_<c>`` for every ``days_*`` column that has NULLs: its last known
     value in member order, within ``within`` when given."""

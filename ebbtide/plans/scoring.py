@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import predicted_class, risk_segment
+from ebbtide.operators.ensembles import ensemble_probability
 from ebbtide.params import GLOBAL_ROUTE, TIER, BoostSpec, ModelParams
 from ebbtide.plans.prepare import (
+    FALLBACK,
+    NUMBER,
     Preparation,
     check_input,
-    prepared_features,
+    route_vectors,
     with_filled_days,
     with_known_tier,
 )
@@ -25,29 +28,19 @@ from ebbtide.plans.training import (
     ChurnModel,
     RouteModel,
     RouteResult,
-    assembled,
-    probability,
-    route_table,
+    route_number,
 )
 
 log = logging.getLogger(__name__)
 
 
-def _score_route(rows: DataFrame, route: RouteModel, keep: list[str]) -> DataFrame:
-    prep = route.preparation
-    vectors = assembled(
-        prepared_features(rows, prep, keep, fill=False), prep.feature_names
-    )
-    return probability(route.model.transform(vectors)).select(*keep, "churn_probability")
-
-
 def score_members(df: DataFrame, model: ChurnModel, on_error: str = "raise") -> DataFrame:
     """Churn probability per (member, tier), from the tier's own model or the fallback.
 
-    Gaps are filled once for all routes, each tier on its own. The filled rows are
-    stored by route, so every route is one scan of its own part and one transform; the
-    parts are united. With ``on_error="neutral"`` a route that cannot be prepared
-    scores 0.5.
+    Gaps are filled once for all routes, each tier on its own. Then one plan prepares and
+    scores the rows of all routes: every row gets the features of its own route, and the
+    models, as flat arrays, are with every task. With ``on_error="neutral"`` a route that
+    cannot be prepared scores 0.5.
     """
     check_input(df)
     has_tier = TIER in df.columns
@@ -55,26 +48,38 @@ def score_members(df: DataFrame, model: ChurnModel, on_error: str = "raise") ->
     keep = [c for c in ("member_id", TIER, LABEL) if c in known.columns]
     own = model.tiers if has_tier else []
     known = with_filled_days(known, [TIER] if has_tier else [])
-    table = route_table(known, own) if own else known.withColumn("route", F.lit(-1))
-    parts = []
-    for place, route in [*enumerate(own), (-1, None)]:
-        rows = table.where(F.col("route") == place).drop("route")
-        used = "global_fallback" if route is None else "tier_specific"
-        fitted = model.fallback if route is None else model.routes[route]
+    known = known.withColumn(NUMBER, route_number(own))
+    fitted = {place: model.routes[tier] for place, tier in enumerate(own)}
+    fitted[FALLBACK] = model.fallback
+    usable: dict[int, RouteModel] = {}
+    for number, route in fitted.items():
         try:
-            if fitted is None:
+            if route is None:
                 raise ValueError("no global model")
-            scored = _score_route(rows, fitted, keep)
+            if on_error == "neutral":
+                # Analysis alone tells whether the columns will do.
+                route_vectors(known, {number: route.preparation}, keep)
         except Exception as error:
             if on_error != "neutral":
                 raise
-            log.error("route %s scored as neutral: %s", route, error)
-            scored = rows.select(*keep, F.lit(0.5).alias("churn_probability"))
-            used = "default_fallback"
-        parts.append(scored.withColumn("model_used", F.lit(used)))
-    scored = reduce(DataFrame.unionByName, parts)
-    tier = F.col(TIER) if has_tier else F.lit(GLOBAL_ROUTE)
-    return scored.withColumn("prediction_tier", tier)
+            log.error("route %s scored as neutral: %s", number, error)
+            continue
+        usable[number] = route
+    number = F.col(NUMBER)
+    chance = F.lit(0.5)
+    if usable:
+        known = route_vectors(known, {n: r.preparation for n, r in usable.items()}, keep)
+        trees = {n: r.trees for n, r in usable.items()}
+        found = ensemble_probability(df.sparkSession, trees, number, F.col("features"))
+        chance = F.when(number.isin(list(usable)), found).otherwise(chance)
+    own_model = F.when(number == FALLBACK, "global_fallback").otherwise("tier_specific")
+    used = F.when(~number.isin(list(usable)), "default_fallback").otherwise(own_model)
+    return known.select(
+        *keep,
+        chance.alias("churn_probability"),
+        used.alias("model_used"),
+        (F.col(TIER) if has_tier else F.lit(GLOBAL_ROUTE)).alias("prediction_tier"),
+    )
 
 
 def finalised(scored: DataFrame) -> DataFrame:
@@ -148,18 +153,28 @@ def _loaded_params(saved: dict) -> ModelParams:
 def load_model(folder: str, spark: SparkSession) -> ChurnModel:
     notes = json.loads(spark.read.text(f"{folder}/metadata").first()["value"])
     model = ChurnModel(_loaded_params(notes["params"]), failures=notes["failures"])
+    shared = None
+    if any(n["joined"] for n in notes["models"]):
+        last = len(notes["models"]) - 1 if notes["models"][-1]["tier"] is None else None
+        place = F.when(F.col("number") == last, FALLBACK).otherwise(F.col("number"))
+        shared = (
+            spark.read.schema("column string, value string, code double, number int")
+            .parquet(f"{folder}/codes")
+            .select(place.alias(NUMBER), "column", "value", "code")
+        )
     for number, n in enumerate(notes["models"]):
-        codes = None
-        if n["joined"]:
-            codes = (
-                spark.read.schema("column string, value string, code double, number int")
-                .parquet(f"{folder}/codes")
-                .where(F.col("number") == number)
-                .drop("number")
-            )
+        at = FALLBACK if n["tier"] is None else number
+        codes = shared.where(F.col(NUMBER) == at).drop(NUMBER) if n["joined"] else None
         route = GLOBAL_ROUTE if n["tier"] is None else n["tier"]
         prep = Preparation(
-            route, n["numeric"], n["categorical"], n["medians"], n["mode_codes"], codes
+            route,
+            n["numeric"],
+            n["categorical"],
+            n["medians"],
+            n["mode_codes"],
+            codes,
+            at,
+            shared if n["joined"] else None,
         )
         booster = GBTClassificationModel.load(f"{folder}/models/{number}")
         loaded = RouteModel(route, prep, booster, RouteResult(**n["result"]))

@@ -7,6 +7,7 @@ import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
@@ -16,13 +17,13 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import ratio
+from ebbtide.operators.ensembles import ensemble_probability, flat_trees
 from ebbtide.operators.evaluation import roc_auc
 from ebbtide.params import (
     DEFAULT_MIN_ROWS,
@@ -32,10 +33,14 @@ from ebbtide.params import (
     ModelParams,
 )
 from ebbtide.plans.prepare import (
+    FALLBACK,
+    NUMBER,
     Preparation,
     check_input,
     fit_preparation,
-    prepared_features,
+    fit_preparations,
+    route_vectors,
+    with_filled_days,
     with_known_tier,
 )
 from ebbtide.session import pinned, stored
@@ -60,6 +65,10 @@ class RouteModel:
     model: GBTClassificationModel
     result: RouteResult
 
+    @cached_property
+    def trees(self) -> dict:
+        return flat_trees(self.model)
+
 
 @dataclass
 class ChurnModel:
@@ -132,30 +141,35 @@ def _tier_weight(params: ModelParams) -> Column:
     return chain.otherwise(F.lit(DEFAULT_WEIGHT))
 
 
-def assembled(df: DataFrame, feature_names: list[str]) -> DataFrame:
-    """Add the vector column. Codes stay ordinal numbers: they carry no nominal
-    metadata, so a column with many classes does not exceed the bins of a tree."""
-    return VectorAssembler(inputCols=feature_names, outputCol="features").transform(df)
-
+def training_vectors(df: DataFrame, preps: dict[int, Preparation]) -> DataFrame:
+    """``_route``, label and ``features`` of the training rows of all routes.
 
-def probability(scored: DataFrame) -> DataFrame:
-    return scored.withColumn("churn_probability", vector_to_array("probability")[1])
+    Rows of ``df`` carry the number of their own route and count for the fallback as well.
+    Gaps are filled within each tier for the tiers' models, over all rows for the fallback.
+    """
+    parts = []
+    if preps.keys() - {FALLBACK}:
+        parts.append(with_filled_days(df.where(F.col(NUMBER) != FALLBACK), [NUMBER]))
+    if FALLBACK in preps:
+        parts.append(with_filled_days(df.withColumn(NUMBER, F.lit(FALLBACK))))
+    copies = parts[0]
+    for part in parts[1:]:
+        # A column that is filled in one part only has no gaps in the other.
+        copies = copies.unionByName(part, allowMissingColumns=True)
+    return route_vectors(copies, preps, [LABEL])
 
 
 def _training_frame(
-    rows: DataFrame, prep: Preparation, weight: float, params: ModelParams, count: int
+    vectors: DataFrame, weight: float, params: ModelParams, count: int
 ) -> DataFrame:
-    ready = prepared_features(rows, prep, keep=[LABEL]).withColumn(
-        LABEL, F.col(LABEL).cast("double")
-    )
     tasks = max(1, math.ceil(count / params.rows_per_task))
-    vectors = assembled(ready, prep.feature_names).select(
-        "features",
-        LABEL,
+    ready = vectors.select(
+        array_to_vector("features").alias("features"),
+        F.col(LABEL).cast("double").alias(LABEL),
         F.when(F.col(LABEL) == 1, F.lit(weight)).otherwise(F.lit(1.0)).alias("weight"),
     )
     # A small tier in few tasks: every tree level is a job over all of them.
-    return pinned(vectors.repartition(tasks))
+    return pinned(ready.repartition(tasks))
 
 
 def train_route(
@@ -165,9 +179,13 @@ def train_route(
     count: int,
     churned: int,
     params: ModelParams,
+    prep: Preparation | None = None,
 ) -> RouteModel:
-    prep = fit_preparation(rows, route)
-    frame = _training_frame(rows, prep, weight, params, count)
+    """Fit one route on its rows; with ``prep``, on its rows of :func:`training_vectors`."""
+    if prep is None:
+        prep = fit_preparation(rows, route)
+        rows = training_vectors(rows.withColumn(NUMBER, F.lit(FALLBACK)), {FALLBACK: prep})
+    frame = _training_frame(rows, weight, params, count)
     spec = params.spec(route)
     booster = GBTClassifier(
         labelCol=LABEL,
@@ -181,27 +199,26 @@ def train_route(
         checkpointInterval=10,
         seed=params.seed,
     )
-    model = booster.fit(frame)
-    scored = probability(model.transform(frame))
-    auc = roc_auc(scored, LABEL).first()["auc"]
-    result = RouteResult(auc, count, churned / count, churned, len(prep.feature_names))
-    return RouteModel(route, prep, model, result)
+    result = RouteResult(None, count, churned / count, churned, len(prep.feature_names))
+    fitted = RouteModel(route, prep, booster.fit(frame), result)
+    # Scored as members are, so that scoring finds the same figure.
+    chance = ensemble_probability(
+        frame.sparkSession, {0: fitted.trees}, F.lit(0), vector_to_array("features")
+    )
+    scored = frame.select(LABEL, chance.alias("churn_probability"))
+    result.auc = roc_auc(scored, LABEL).first()["auc"]
+    return fitted
 
 
 def route_number(tiers: Sequence[str]) -> Column:
-    """Place of a row's tier among ``tiers``, -1 for any other. Stored tables are
+    """Place of a row's tier among ``tiers``, ``FALLBACK`` for any other. Stored tables are
     partitioned by it: a partition value cannot hold every tier name."""
-    number = F.lit(-1)
+    number = F.lit(FALLBACK)
     for place, tier in enumerate(tiers):
         number = F.when(F.col(TIER) == tier, F.lit(place)).otherwise(number)
     return number
 
 
-def route_table(known: DataFrame, tiers: Sequence[str]) -> DataFrame:
-    """Rows with known tiers, stored by route number so that a route reads its part."""
-    return stored(known.withColumn("route", route_number(tiers)), "route")
-
-
 def train_models(
     data: DataFrame,
     params: ModelParams,
@@ -210,7 +227,8 @@ def train_models(
 ) -> ChurnModel:
     """Fit all eligible tier models and the global model.
 
-    The routes are independent Spark jobs and a few of them run at the same time. A
+    All routes are prepared together, and their vectors are stored by route so that a fit
+    reads its own part. The fits are independent Spark jobs, a few at the same time. A
     tier that fails falls back to the global model; a failing global model raises.
     """
     check_input(data)
@@ -224,29 +242,33 @@ def train_models(
         eligible = tier_eligibility(known, params).where("eligible")
         stats = {r["tier"]: r for r in eligible.collect()}
     names = sorted(stats)
-    table = route_table(known, names)
-    plans: list[tuple[str | None, DataFrame, float, int, int]] = []
+    if fallback and churned in (0, total):
+        raise ValueError("the training data holds a single class")
+    routes = dict(enumerate(names)) | ({FALLBACK: GLOBAL_ROUTE} if fallback else {})
+    fitted = ChurnModel(params)
+    if not routes:
+        return fitted
+    table = stored(known.withColumn(NUMBER, route_number(names)))
+    preps = fit_preparations(table, routes)
+    vectors = stored(training_vectors(table, preps), NUMBER)
+    plans: list[tuple[int, float, int, int]] = []
     for place, tier in enumerate(names):
         r = stats[tier]
         balance = (r["sample_size"] - r["churn_count"]) / r["churn_count"]
         weight = balance * params.weights.get(tier, DEFAULT_WEIGHT)
-        rows = table.where(F.col("route") == place).drop("route")
-        plans.append((tier, rows, weight, r["sample_size"], r["churn_count"]))
+        plans.append((place, weight, r["sample_size"], r["churn_count"]))
     if fallback:
-        if churned in (0, total):
-            raise ValueError("the training data holds a single class")
-        weight = (total - churned) / churned
-        plans.append((None, table.drop("route"), weight, total, churned))
-
-    fitted = ChurnModel(params)
+        plans.append((FALLBACK, (total - churned) / churned, total, churned))
 
-    def fit(plan: tuple[str | None, DataFrame, float, int, int]) -> None:
-        tier = plan[0]
-        if tier is None:
-            fitted.fallback = train_route(plan[1], GLOBAL_ROUTE, *plan[2:], params)
+    def fit(plan: tuple[int, float, int, int]) -> None:
+        place, *figures = plan
+        rows = vectors.where(F.col(NUMBER) == place)
+        if place == FALLBACK:
+            fitted.fallback = train_route(rows, GLOBAL_ROUTE, *figures, params, preps[place])
             return
+        tier = names[place]
         try:
-            fitted.routes[tier] = train_route(plan[1], tier, *plan[2:], params)
+            fitted.routes[tier] = train_route(rows, tier, *figures, params, preps[place])
         except Exception as error:
             log.error("tier %s: %s", tier, error)
             fitted.failures[tier] = str(error)
@@ -313,7 +335,8 @@ def model_comparison(
     standard deviation over the folds."""
     known = stored(with_known_tier(data))
     prep = fit_preparation(known, GLOBAL_ROUTE)
-    frame = _training_frame(known, prep, 1.0, params, known.count())
+    vectors = training_vectors(known.withColumn(NUMBER, F.lit(FALLBACK)), {FALLBACK: prep})
+    frame = _training_frame(vectors, 1.0, params, known.count())
     families = {
         "gradient_boosting": GBTClassifier(labelCol=LABEL, maxIter=trees, seed=params.seed),
         "logistic_regression": LogisticRegression(labelCol=LABEL, maxIter=50),
