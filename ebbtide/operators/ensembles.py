@@ -1,19 +1,17 @@
-"""Boosted-tree models as flat arrays, and scores of all of them in one pass.
+"""Scores of many boosted-tree models in one pass.
 
-A fitted model scores one frame after another. With one model per route that is a scan and
-a stage per route. Here the nodes of every model are laid out in arrays, sent to the tasks
-once, and a batch of rows walks the trees of its models level by level.
+The nodes of all trees of a model are laid out in arrays (``roots``, ``feature``, ``limit``,
+``left``, ``right``, ``value``, and the ``depth`` of the deepest tree), sent to the tasks once,
+and a batch of rows walks the trees of its models level by level.
 """
 
 from __future__ import annotations
 
-import re
 import sys
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,88 +20,39 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Rows that walk the trees together: bounds the memory of a task.
 BLOCK_ROWS = 2_048
-# Lines of the printed form of a model.
-TREE = re.compile(r"Tree \d+ \(weight (\S+)\):")
-SPLIT = re.compile(r"If \(feature (\d+) <= (\S+)\)")
 
 
-def flat_trees(model: GBTClassificationModel) -> dict[str, np.ndarray | int]:
-    """All nodes of a model, tree after tree, from its printed form (one call to the JVM;
-    its numbers have all digits).
+def leaves(trees: dict, rows: np.ndarray) -> np.ndarray:
+    """Node where each row (first axis) ends in each tree (second axis).
 
-    A leaf is its own child on both sides, so walking on from it changes nothing. Splits
-    by sets of classes are not known and raise ValueError; the features here have none.
+    A node holds a feature, a limit and two children; up to the limit a row goes left, NaN
+    goes right. A leaf is its own child on both sides, so walking on changes nothing.
     """
-    roots, weights = [], []
-    feature, limit, left, right, value = [], [], [], [], []
-    # Splits whose right side has not come yet, and the place where the next node belongs.
-    waiting: list[int] = []
-    slot: tuple[list[int], int] | None = None
-    for line in model.toDebugString.splitlines():
-        text = line.strip()
-        if tree := TREE.fullmatch(text):
-            weights.append(float(tree.group(1)))
-            roots.append(len(feature))
-            slot = None
-            continue
-        if text.startswith("Else"):
-            slot = (right, waiting.pop())
-            continue
-        split = SPLIT.fullmatch(text)
-        leaf = text.startswith("Predict:")
-        if not split and not leaf:
-            if roots and text:
-                raise ValueError(f"unknown line of a tree: {text}")
-            continue
-        node = len(feature)
-        if slot:
-            slot[0][slot[1]] = node
-        feature.append(int(split.group(1)) if split else 0)
-        limit.append(float(split.group(2)) if split else 0.0)
-        value.append(0.0 if split else float(text.removeprefix("Predict:")))
-        left.append(node)
-        right.append(node)
-        if split:
-            waiting.append(node)
-            slot = (left, node)
-    level = np.zeros(len(feature), dtype=np.int32)
-    for node in range(len(feature)):
-        for child in {left[node], right[node]} - {node}:
-            level[child] = level[node] + 1
-    return {
-        "roots": np.array(roots, dtype=np.int32),
-        "weights": np.array(weights),
-        "feature": np.array(feature, dtype=np.int32),
-        "limit": np.array(limit),
-        "left": np.array(left, dtype=np.int32),
-        "right": np.array(right, dtype=np.int32),
-        "value": np.array(value),
-        "depth": int(level.max(initial=0)),
-    }
+    row = np.arange(len(rows))[:, None]
+    node = np.repeat(trees["roots"][None, :], len(rows), axis=0)
+    for _ in range(trees["depth"]):
+        small = rows[row, trees["feature"][node]] <= trees["limit"][node]
+        node = np.where(small, trees["left"][node], trees["right"][node])
+    return node
 
 
 def margins(trees: dict, rows: np.ndarray) -> np.ndarray:
-    """Weighted sum of the leaves that every row reaches; NaN goes right, as in Spark."""
+    """Sum of the values of the leaves that every row reaches."""
     found = np.zeros(len(rows))
     if not len(trees["roots"]):
         return found
     for start in range(0, len(rows), BLOCK_ROWS):
         block = rows[start : start + BLOCK_ROWS]
-        row = np.arange(len(block))[:, None]
-        node = np.repeat(trees["roots"][None, :], len(block), axis=0)
-        for _ in range(trees["depth"]):
-            small = block[row, trees["feature"][node]] <= trees["limit"][node]
-            node = np.where(small, trees["left"][node], trees["right"][node])
-        # A sum per row, not a matrix product: equal rows get equal scores in any batch.
-        found[start : start + len(block)] = (trees["value"][node] * trees["weights"]).sum(1)
+        # A sum per row: equal rows get equal scores in any batch.
+        found[start : start + len(block)] = trees["value"][leaves(trees, block)].sum(1)
     return found
 
 
 def ensemble_probability(
     spark: SparkSession, models: dict[int, dict], number: Column, features: Column
 ) -> Column:
-    """Probability of class 1 from the model that ``number`` names (:func:`flat_trees` by
-    number), for an array of its features; NULL where there is no such model."""
+    """Probability of class 1 from the model that ``number`` names (arrays of its
+    trees), for an array of its features; NULL where there is no such model."""
     sent = spark.sparkContext.broadcast(models)
 
     def score(numbers: pd.Series, rows: pd.Series) -> pd.Series:
@@ -113,7 +62,7 @@ def ensemble_probability(
             if trees is None:
                 continue
             total = margins(trees, np.stack(held.to_list()).astype(float))
-            result.loc[held.index] = 1.0 / (1.0 + np.exp(-2.0 * total))
+            result.loc[held.index] = 1.0 / (1.0 + np.exp(-total))
         return result
 
     return F.pandas_udf(score, "double")(number, features)

@@ -22,6 +22,8 @@ from ebbtide.operators.ordering import rows_at_ranks
 # Values that one (column, quantile) may leave for the final ordered count.
 FINAL_ROWS = 1_000_000
 ACCURACY = 10_000
+# Place of a row's group among all groups.
+PLACE = "_group_place"
 
 
 @dataclass
@@ -214,28 +216,30 @@ def _pick(df: DataFrame, targets: list[_Target], group: str | None) -> dict[tupl
         number = brackets.setdefault((t.group, t.column, t.low, t.high), len(brackets))
         for side, position in enumerate((math.floor(t.position), math.ceil(t.position))):
             wanted.append((number, int(position - t.below), i, side))
-    # A row takes the brackets of its own group: per column as many entries as one group
-    # has at most.
-    columns: dict[str, dict] = {}
+    # A row takes the brackets of its own group. Groups with the same bracket of a column,
+    # such as the first one of all values, share an entry.
+    keys = list(dict.fromkeys(t.group for t in targets))
+    numbers: dict[tuple, list[str]] = {}
     for (key, column, low, high), number in brackets.items():
-        value = f"cast({quoted(column)} as double)"
-        held = f"{value} BETWEEN {double_text(low)} AND {double_text(high)}"
-        entry = f"IF({held}, named_struct('b', {number}, 'v', {value}), NULL)"
-        columns.setdefault(column, {}).setdefault(key, []).append(entry)
+        held = numbers.setdefault((column, low, high), ["NULL"] * len(keys))
+        held[keys.index(key)] = str(number)
     entries = []
-    for by_key in columns.values():
-        if group is None:
-            entries += by_key[None]
-            continue
-        for place in range(max(map(len, by_key.values()))):
-            whens = [
-                f"WHEN {key} THEN {held[place]}"
-                for key, held in by_key.items()
-                if place < len(held)
-            ]
-            entries.append(f"CASE {quoted(group)} {' '.join(whens)} END")
+    for (column, low, high), held in numbers.items():
+        value = f"cast({quoted(column)} as double)"
+        number = f"array({', '.join(held)})[{PLACE}]"
+        inside = f"{value} BETWEEN {double_text(low)} AND {double_text(high)}"
+        entries.append(f"IF({inside}, named_struct('b', {number}, 'v', {value}), NULL)")
+    place = F.lit(0)
+    if group is not None:
+        place = reduce(
+            lambda chain, at: chain.when(F.col(group) == keys[at], at),
+            range(1, len(keys)),
+            F.when(F.col(group) == keys[0], 0),
+        )
     counted = (
-        df.selectExpr(f"inline(array_compact(array({', '.join(entries)})))")
+        df.withColumn(PLACE, place)
+        .selectExpr(f"inline(array_compact(array({', '.join(entries)})))")
+        .where(F.col("b").isNotNull())
         .groupBy("b", "v")
         .agg(F.count("*").alias("n"))
     )

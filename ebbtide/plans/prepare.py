@@ -228,12 +228,9 @@ def fit_preparations(df: DataFrame, routes: dict[int, str]) -> dict[int, Prepara
         for n, shape in shapes.items()
     }
     categorical = [c for c in text_columns(plain) if c not in EXCLUDED]
+    made = {n: _made_columns(plain.columns, route) for n, route in routes.items()}
     sources = {
-        n: {
-            c: f"_made_{c}" if c in _made_columns(plain.columns, route) else c
-            for c in numeric[n]
-        }
-        for n, route in routes.items()
+        n: {c: f"_made_{c}" if c in made[n] else c for c in numeric[n]} for n in routes
     }
     used = sorted({name for by_route in sources.values() for name in by_route.values()})
     wide = _with_made(df, routes.values())

@@ -7,7 +7,9 @@ import logging
 from dataclasses import asdict
 from functools import reduce
 
-from pyspark.ml.classification import GBTClassificationModel
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,7 @@ from ebbtide.plans.training import (
 )
 
 log = logging.getLogger(__name__)
+NODE_COLUMNS = ("feature", "limit", "left", "right", "value")
 
 
 def score_members(df: DataFrame, model: ChurnModel, on_error: str = "raise") -> DataFrame:
@@ -114,12 +117,34 @@ def prediction_join_fanout(data: DataFrame, scored: DataFrame) -> DataFrame:
     ).select("member_id", "actual_churn", "churn_probability")
 
 
+def _node_table(number: int, trees: dict) -> pa.Table:
+    count = len(trees["value"])
+    root = np.zeros(count, dtype=bool)
+    root[trees["roots"]] = True
+    columns = {c: trees[c] for c in NODE_COLUMNS}
+    return pa.table(
+        {
+            "number": np.full(count, number, dtype=np.int32),
+            "node": np.arange(count, dtype=np.int32),
+            "root": root,
+            **columns,
+        }
+    )
+
+
+def _loaded_trees(nodes: pa.Table, number: int, note: dict) -> dict:
+    own = nodes.filter(pc.equal(nodes["number"], number)).sort_by("node")
+    trees = {c: own[c].to_numpy() for c in NODE_COLUMNS}
+    trees["roots"] = np.flatnonzero(own["root"].to_numpy()).astype(np.int32)
+    return trees | {"depth": note["depth"], "importance": np.array(note["importance"])}
+
+
 def save_model(model: ChurnModel, folder: str, spark: SparkSession) -> str:
     """Models, label codes and metadata in one directory."""
-    parts = []
+    parts, trees = [], []
     notes = {"params": asdict(model.params), "failures": model.failures, "models": []}
     for number, (name, m) in enumerate(model.named):
-        m.model.write().save(f"{folder}/models/{number}")
+        trees.append(_node_table(number, m.trees))
         p = m.preparation
         if p.codes is not None:
             parts.append(p.codes.withColumn("number", F.lit(number)))
@@ -131,6 +156,8 @@ def save_model(model: ChurnModel, folder: str, spark: SparkSession) -> str:
                 "medians": p.medians,
                 "mode_codes": p.mode_codes,
                 "joined": p.codes is not None,
+                "depth": m.trees["depth"],
+                "importance": m.trees["importance"].tolist(),
                 "result": asdict(m.result),
             }
         )
@@ -138,6 +165,10 @@ def save_model(model: ChurnModel, folder: str, spark: SparkSession) -> str:
         reduce(DataFrame.unionByName, parts).write.partitionBy("number").parquet(
             f"{folder}/codes"
         )
+    if trees:
+        # Nodes of all models: bounded by the boosting settings, not by the rows.
+        nodes = spark.createDataFrame(pa.concat_tables(trees))
+        nodes.coalesce(1).write.parquet(f"{folder}/trees")
     text = json.dumps(notes)
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(
         f"{folder}/metadata"
@@ -162,6 +193,7 @@ def load_model(folder: str, spark: SparkSession) -> ChurnModel:
             .parquet(f"{folder}/codes")
             .select(place.alias(NUMBER), "column", "value", "code")
         )
+    nodes = spark.read.parquet(f"{folder}/trees").toArrow() if notes["models"] else None
     for number, n in enumerate(notes["models"]):
         at = FALLBACK if n["tier"] is None else number
         codes = shared.where(F.col(NUMBER) == at).drop(NUMBER) if n["joined"] else None
@@ -176,8 +208,8 @@ def load_model(folder: str, spark: SparkSession) -> ChurnModel:
             at,
             shared if n["joined"] else None,
         )
-        booster = GBTClassificationModel.load(f"{folder}/models/{number}")
-        loaded = RouteModel(route, prep, booster, RouteResult(**n["result"]))
+        trees = _loaded_trees(nodes, number, n)
+        loaded = RouteModel(route, prep, trees, RouteResult(**n["result"]))
         if n["tier"] is None:
             model.fallback = loaded
         else:

@@ -7,23 +7,22 @@ import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import cached_property
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
-    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import ratio
-from ebbtide.operators.ensembles import ensemble_probability, flat_trees
+from ebbtide.operators.boosting import fit_ensembles
+from ebbtide.operators.ensembles import ensemble_probability
 from ebbtide.operators.evaluation import roc_auc
 from ebbtide.params import (
     DEFAULT_MIN_ROWS,
@@ -62,13 +61,10 @@ class RouteResult:
 class RouteModel:
     route: str
     preparation: Preparation
-    model: GBTClassificationModel
+    # Arrays of its trees, see operators.ensembles.
+    trees: dict
     result: RouteResult
 
-    @cached_property
-    def trees(self) -> dict:
-        return flat_trees(self.model)
-
 
 @dataclass
 class ChurnModel:
@@ -159,17 +155,29 @@ def training_vectors(df: DataFrame, preps: dict[int, Preparation]) -> DataFrame:
     return route_vectors(copies, preps, [LABEL])
 
 
-def _training_frame(
-    vectors: DataFrame, weight: float, params: ModelParams, count: int
-) -> DataFrame:
-    tasks = max(1, math.ceil(count / params.rows_per_task))
-    ready = vectors.select(
-        array_to_vector("features").alias("features"),
-        F.col(LABEL).cast("double").alias(LABEL),
-        F.when(F.col(LABEL) == 1, F.lit(weight)).otherwise(F.lit(1.0)).alias("weight"),
+def _fitted_trees(
+    vectors: DataFrame,
+    preps: dict[int, Preparation],
+    weights: dict[int, float],
+    rows: int,
+    params: ModelParams,
+) -> dict[int, dict]:
+    """Trees of all routes; ``weights`` are those of a churner."""
+    weight = F.lit(None).cast("double")
+    for number, value in weights.items():
+        weight = F.when(F.col(NUMBER) == number, F.lit(float(value))).otherwise(weight)
+    return fit_ensembles(
+        vectors,
+        NUMBER,
+        "features",
+        F.col(LABEL),
+        F.when(F.col(LABEL) == 1, weight).otherwise(F.lit(1.0)),
+        {number: params.spec(prep.route) for number, prep in preps.items()},
+        {number: len(prep.feature_names) for number, prep in preps.items()},
+        params.max_bins,
+        params.seed,
+        max(1, math.ceil(rows / params.rows_per_task)),
     )
-    # A small tier in few tasks: every tree level is a job over all of them.
-    return pinned(ready.repartition(tasks))
 
 
 def train_route(
@@ -180,34 +188,22 @@ def train_route(
     churned: int,
     params: ModelParams,
     prep: Preparation | None = None,
+    trees: dict | None = None,
 ) -> RouteModel:
-    """Fit one route on its rows; with ``prep``, on its rows of :func:`training_vectors`."""
-    if prep is None:
+    """Fit one route on its rows. With ``prep`` and ``trees`` from a fit of many routes,
+    ``rows`` are its rows of :func:`training_vectors` and are only measured."""
+    if prep is None or trees is None:
         prep = fit_preparation(rows, route)
         rows = training_vectors(rows.withColumn(NUMBER, F.lit(FALLBACK)), {FALLBACK: prep})
-    frame = _training_frame(rows, weight, params, count)
-    spec = params.spec(route)
-    booster = GBTClassifier(
-        labelCol=LABEL,
-        weightCol="weight",
-        maxIter=spec.trees,
-        stepSize=spec.step,
-        maxDepth=spec.depth,
-        subsamplingRate=spec.row_share,
-        featureSubsetStrategy=str(spec.column_share),
-        maxBins=params.max_bins,
-        checkpointInterval=10,
-        seed=params.seed,
-    )
-    result = RouteResult(None, count, churned / count, churned, len(prep.feature_names))
-    fitted = RouteModel(route, prep, booster.fit(frame), result)
+        rows = stored(rows)
+        weights = {FALLBACK: weight}
+        trees = _fitted_trees(rows, {FALLBACK: prep}, weights, count, params)[FALLBACK]
     # Scored as members are, so that scoring finds the same figure.
-    chance = ensemble_probability(
-        frame.sparkSession, {0: fitted.trees}, F.lit(0), vector_to_array("features")
-    )
-    scored = frame.select(LABEL, chance.alias("churn_probability"))
-    result.auc = roc_auc(scored, LABEL).first()["auc"]
-    return fitted
+    chance = ensemble_probability(rows.sparkSession, {0: trees}, F.lit(0), F.col("features"))
+    scored = rows.select(LABEL, chance.alias("churn_probability"))
+    auc = roc_auc(scored, LABEL).first()["auc"]
+    result = RouteResult(auc, count, churned / count, churned, len(prep.feature_names))
+    return RouteModel(route, prep, trees, result)
 
 
 def route_number(tiers: Sequence[str]) -> Column:
@@ -227,9 +223,9 @@ def train_models(
 ) -> ChurnModel:
     """Fit all eligible tier models and the global model.
 
-    All routes are prepared together, and their vectors are stored by route so that a fit
-    reads its own part. The fits are independent Spark jobs, a few at the same time. A
-    tier that fails falls back to the global model; a failing global model raises.
+    All routes are prepared and boosted together, see :mod:`ebbtide.operators.boosting`;
+    measuring them is one Spark job each, a few at the same time. A tier that cannot be
+    measured falls back to the global model; a failing global model raises.
     """
     check_input(data)
     if TIER not in data.columns:
@@ -260,15 +256,20 @@ def train_models(
     if fallback:
         plans.append((FALLBACK, (total - churned) / churned, total, churned))
 
+    ensembles = _fitted_trees(
+        vectors, preps, {place: weight for place, weight, *_ in plans}, 2 * total, params
+    )
+
     def fit(plan: tuple[int, float, int, int]) -> None:
         place, *figures = plan
         rows = vectors.where(F.col(NUMBER) == place)
+        known_parts = (*figures, params, preps[place], ensembles[place])
         if place == FALLBACK:
-            fitted.fallback = train_route(rows, GLOBAL_ROUTE, *figures, params, preps[place])
+            fitted.fallback = train_route(rows, GLOBAL_ROUTE, *known_parts)
             return
         tier = names[place]
         try:
-            fitted.routes[tier] = train_route(rows, tier, *figures, params, preps[place])
+            fitted.routes[tier] = train_route(rows, tier, *known_parts)
         except Exception as error:
             log.error("tier %s: %s", tier, error)
             fitted.failures[tier] = str(error)
@@ -302,7 +303,7 @@ def feature_importance(model: ChurnModel, spark: SparkSession, top_n: int = 20)
     """The top_n features of each model, most important first."""
     rows = []
     for route, m in model.named:
-        pairs = zip(m.preparation.feature_names, m.model.featureImportances.toArray())
+        pairs = zip(m.preparation.feature_names, m.trees["importance"])
         best = sorted(pairs, key=lambda p: (-p[1], p[0]))[:top_n]
         rows += [(route, place, name, float(v)) for place, (name, v) in enumerate(best, 1)]
     return spark.createDataFrame(
@@ -336,7 +337,11 @@ def model_comparison(
     known = stored(with_known_tier(data))
     prep = fit_preparation(known, GLOBAL_ROUTE)
     vectors = training_vectors(known.withColumn(NUMBER, F.lit(FALLBACK)), {FALLBACK: prep})
-    frame = _training_frame(vectors, 1.0, params, known.count())
+    tasks = max(1, math.ceil(known.count() / params.rows_per_task))
+    ready = vectors.select(
+        array_to_vector("features").alias("features"), F.col(LABEL).cast("double").alias(LABEL)
+    )
+    frame = pinned(ready.repartition(tasks))
     families = {
         "gradient_boosting": GBTClassifier(labelCol=LABEL, maxIter=trees, seed=params.seed),
         "logistic_regression": LogisticRegression(labelCol=LABEL, maxIter=50),
