@@ -9,7 +9,6 @@ are read again: partition numbers are only meaningful for one physical layout.
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -64,38 +63,6 @@ def with_rank(
     )
 
 
-def rows_at_ranks(
-    df: DataFrame, keys: Sequence[Column], choose
-) -> tuple[int, dict[int, object]]:
-    """Row count and the rows at the ranks ``choose(count)`` (1-based).
-
-    Only the row count of each slice and the chosen rows reach the driver.
-    """
-    rows = numbered(df, keys)
-    slices = sorted(
-        (r[SLICE], r["n"], r["first"])
-        for r in rows.groupBy(SLICE)
-        .agg(F.count("*").alias("n"), F.min(PLACE).alias("first"))
-        .collect()
-    )
-    ends, total = [], 0
-    for _, n, _ in slices:
-        total += n
-        ends.append(total)
-    if total == 0:
-        return 0, {}
-    places = {}
-    for rank in choose(total):
-        at = bisect.bisect_left(ends, rank)
-        _, n, first = slices[at]
-        places[rank] = first + rank - 1 - (ends[at] - n)
-    found = {
-        r[PLACE]: r
-        for r in rows.where(F.col(PLACE).isin(sorted(set(places.values())))).collect()
-    }
-    return total, {rank: found[place] for rank, place in places.items()}
-
-
 def with_running_sums(
     df: DataFrame, keys: Sequence[Column], columns: Sequence[str]
 ) -> DataFrame:

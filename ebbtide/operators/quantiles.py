@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import bucket_by_edges, double_text, quoted
-from ebbtide.operators.ordering import rows_at_ranks
+from ebbtide.operators.selection import key_literal, keys_at_ranks
 
 # Values that one (column, quantile) may leave for the final ordered count.
 FINAL_ROWS = 1_000_000
@@ -273,8 +273,8 @@ def value_quintile(df: DataFrame, column: str) -> Column:
 def rank_quintile(df: DataFrame, column: str, ties: Sequence[str]) -> Column:
     """Quintile 1-5 of the rank by ``column``, ties ordered by ``ties`` (NULLs last).
 
-    Only four rows mark the limits between the quintiles. They are found in a narrow
-    sorted copy; scoring itself compares each row with these four and moves no data.
+    Only four rows mark the limits between the quintiles. They are selected by brackets,
+    without a sort; scoring compares each row with these four and moves no data.
     """
     key = F.struct(
         F.col(column).alias("value"),
@@ -289,15 +289,11 @@ def rank_quintile(df: DataFrame, column: str, ties: Sequence[str]) -> Column:
     def limits(rows: int) -> list[int]:
         return [k * (rows - 1) // 5 + 1 for k in range(1, 5)]
 
-    total, found = rows_at_ranks(narrow, [F.col("k")], limits)
+    total, found = keys_at_ranks(narrow, limits)
     if total < 2:
         return F.lit(None).cast("int")
-    field_types = {f.name: f.dataType for f in narrow.schema["k"].dataType.fields}
+    kind = narrow.schema["k"].dataType
     chain = F.when(F.col(column).isNull(), None)
     for quintile, rank in enumerate(limits(total), start=1):
-        mark = found[rank]["k"]
-        literal = F.struct(
-            *[F.lit(mark[name]).cast(kind).alias(name) for name, kind in field_types.items()]
-        )
-        chain = chain.when(key <= literal, quintile)
+        chain = chain.when(key <= key_literal(found[rank], kind), quintile)
     return chain.otherwise(5)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbtide.functions import scalars
-from ebbtide.operators import evaluation, histograms, ordering, quantiles
+from ebbtide.operators import evaluation, histograms, ordering, quantiles, selection
 from ebbtide.operators.correlation import correlation_matrix, top_correlations
 
 
@@ -29,6 +29,33 @@ def test_rank_quintiles_equal_qcut(spark, n):
     assert list(found["q"]) == list(expected)
 
 
+@pytest.mark.parametrize("final_rows, sample_rows", [(200_000, 50_000), (40, 60), (3, 25)])
+@pytest.mark.parametrize("distinct", [1, 4, 3000])
+def test_keys_at_ranks_equal_a_sort(spark, monkeypatch, final_rows, sample_rows, distinct):
+    """With any bracket size, NULL fields, text fields and repeated keys."""
+    monkeypatch.setattr(selection, "FINAL_ROWS", final_rows)
+    monkeypatch.setattr(selection, "SAMPLE_ROWS", sample_rows)
+    rng = random.Random(distinct)
+    rows = []
+    for _ in range(1500):
+        number = rng.randrange(distinct)
+        text = None if number % 7 == 0 else f"t{number % 5}"
+        rows.append((float(number % 90), None if number % 11 == 0 else number, text))
+    rows += [(None, None, None)] * 2
+    df = spark.createDataFrame(rows, "a double, b long, c string").repartition(5)
+    ranks = [1, 2, 299, 700, 1200, 1501, 1502]
+    total, found = selection.keys_at_ranks(df.select(F.struct("a", "b", "c").alias("k")), lambda n: ranks)
+    # NULL fields come first.
+    ordered = sorted(rows, key=lambda r: [(v is not None, v if v is not None else 0) for v in r])
+    assert total == len(rows)
+    assert {r: tuple(k) for r, k in found.items()} == {r: ordered[r - 1] for r in ranks}
+
+
+def test_keys_at_ranks_of_no_rows(spark):
+    none = spark.range(0).select(F.struct("id").alias("k"))
+    assert selection.keys_at_ranks(none, lambda n: [1]) == (0, {})
+
+
 def test_one_value_has_no_quintile(spark):
     df = frame(spark, [3.0])
     row = df.select(
