@@ -87,6 +87,67 @@ def test_append_skips_cover_and_failures(spark, items):
     assert sorted(r.order_number for r in stored.collect()) == ["1", "2", "5"]
 
 
+@pytest.mark.parametrize("crash", ["staged", "ready", "first file", "moved"])
+def test_append_after_a_crash_leaves_each_input_in_once(spark, items, monkeypatch, crash):
+    """A crash before the first note, before the move, inside it, and before the last note."""
+    base = folder()
+    for name in ("one", "two"):
+        items([{"number": f"{name}{i}"} for i in range(6)]).repartition(3).write.parquet(f"{base}/{name}")
+    target = f"{base}/target"
+    items([{"number": "older"}]).write.parquet(target)
+    paths = [f"{base}/one", f"{base}/two"]
+
+    class Killed(BaseException):
+        pass
+
+    def killed(*args):
+        raise Killed
+
+    moves = []
+
+    def killed_after_one(self, other, name, take=sinks.Folder.take):
+        if moves:
+            raise Killed
+        moves.append(name)
+        take(self, other, name)
+
+    with monkeypatch.context() as patch:
+        if crash == "staged":
+            patch.setattr(sinks.Manifest, "commit", killed)
+        elif crash == "ready":
+            patch.setattr(sinks._Append, "move", killed)
+        elif crash == "first file":
+            patch.setattr(sinks.Folder, "take", killed_after_one)
+        else:
+            patch.setattr(sinks.Folder, "remove", killed)
+            commit = sinks.Manifest.commit
+            patch.setattr(
+                sinks.Manifest, "commit",
+                lambda self, name, facts: commit(self, name, facts) if "files" in facts else killed(),
+            )
+        with pytest.raises(Killed):
+            sinks.append_inputs(spark, paths, target, ORDER_ITEM, skip_first=False)
+    result = sinks.append_inputs(spark, paths, target, ORDER_ITEM, skip_first=False)
+    assert (result.rows, result.appended, result.repeated) == (12, paths, [])
+    again = sinks.append_inputs(spark, paths, target, ORDER_ITEM, skip_first=False)
+    assert (again.rows, again.appended, again.repeated) == (0, [], paths)
+    stored = sorted(r.order_number for r in spark.read.parquet(target).collect())
+    assert stored == ["older", *[f"one{i}" for i in range(6)], *[f"two{i}" for i in range(6)]]
+
+
+def test_a_changed_input_and_an_empty_one(spark, items):
+    base = folder()
+    items([{"number": "1"}]).write.parquet(f"{base}/a b")
+    items([]).write.parquet(f"{base}/none")
+    paths = [f"{base}/a b", f"{base}/none"]
+    first = sinks.append_inputs(spark, paths, f"{base}/t", ORDER_ITEM, skip_first=False)
+    assert (first.rows, first.appended, first.failed) == (1, paths, {})
+    items([{"number": "2"}, {"number": "3"}]).write.mode("overwrite").parquet(f"{base}/a b")
+    second = sinks.append_inputs(spark, paths, f"{base}/t", ORDER_ITEM, skip_first=False)
+    assert (second.rows, second.appended, second.repeated) == (2, paths[:1], paths[1:])
+    assert spark.read.parquet(f"{base}/t").count() == 3
+
+
 def test_csv_keeps_predictions(spark):
     row = [(1, None, 1, 0, 0.15, "Low Risk"), (2, "GOLD", 0, 1, 0.85, "High Risk")]
     df = spark.createDataFrame(row, PREDICTIONS)
