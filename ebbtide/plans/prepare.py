@@ -354,7 +354,12 @@ def route_vectors(
 
 def with_filled_days(df: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Add ``_filled_<c>`` for every ``days_*`` column that has NULLs: its last known
-    value in member order, within ``within`` when given."""
+    value in member order, within ``within`` when given.
+
+    Only keys and these columns are ordered, one row per key (of rows that share a key, the
+    largest value counts for those without one). Rows without gaps stay where they are,
+    the others are joined with their fills. ``df`` is read a few times: pass a stored frame.
+    """
     days = [c for c in numeric_columns(df) if c.startswith("days_")]
     if not days:
         return df
@@ -362,9 +367,29 @@ def with_filled_days(df: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     days = [c for c in days if gaps[c]]
     if not days:
         return df
-    order = [F.asc_nulls_last(c) for c in ROW_ORDER if c in df.columns]
-    copied = df.withColumns({f"_filled_{c}": F.col(c) for c in days})
-    return forward_filled(copied, order, [f"_filled_{c}" for c in days], within)
+    order = [c for c in ROW_ORDER if c in df.columns]
+    keys = list(dict.fromkeys([*within, *order]))
+    lacking = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in days])
+    narrow = df.groupBy(*keys).agg(
+        *[F.max(c).alias(f"_last_{c}") for c in days], F.max(lacking).alias("_lacking")
+    )
+    filled = forward_filled(
+        narrow, [F.asc_nulls_last(c) for c in order], [f"_last_{c}" for c in days], within
+    )
+    # Keys of rows with gaps and their fills, computed once for all readers.
+    fills = pinned(
+        filled.where(F.col("_lacking")).select(
+            *[F.col(k).alias(f"_key_{k}") for k in keys], *[f"_last_{c}" for c in days]
+        )
+    )
+    match = reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    )
+    whole = df.where(~lacking).select("*", *[F.col(c).alias(f"_filled_{c}") for c in days])
+    mended = df.where(lacking).join(fills, match, "left").select(
+        *df.columns, *[F.coalesce(c, f"_last_{c}").alias(f"_filled_{c}") for c in days]
+    )
+    return whole.unionByName(mended)
 
 
 def with_numbers(df: DataFrame, prep: Preparation) -> DataFrame:

@@ -99,12 +99,37 @@ def test_numbers_stay_in_hash_aggregates(source):
         assert "SortAggregate" not in plan(df)
 
 
-def test_a_route_reads_its_own_part_once(spark, model):
-    """Scoring rows with gaps: one scan per route, and no window above the store."""
+def test_scoring_reads_all_routes_together_and_sorts_no_rows(spark, model):
+    """Scoring rows with gaps: a scan for rows with gaps and one for those without, one model
+    step, whatever the number of routes; only fills (narrow, stored) were ordered."""
+    from ebbtide.checks.queries import feature_rows
     from ebbtide.plans.scoring import score_members
 
-    t = tables(spark, DATA)
-    rows = features.feature_set(t.order_header, t.order_item, PARAMS)
-    text = plan(score_members(rows, model))
-    assert len(re.findall(r"PartitionFilters: \[[^\n]*route", text)) == len(model.tiers) + 1
-    assert "Window" not in text
+    text = plan(score_members(feature_rows(spark, DATA), model))
+    assert len(model.tiers) > 1
+    assert text.count("Scan parquet") == 4  # tree line and detail of each
+    assert len(re.findall(r"\) ArrowEvalPython", text)) == 1
+    assert "Window" not in text and "rangepartitioning" not in text
+
+
+def test_limits_of_rank_quintiles_are_not_sorted_for(spark, modelling, monkeypatch):
+    """No job range-partitions the rows, and what reaches the driver is a few keys."""
+    from ebbtide.operators import ordering, selection
+    from ebbtide.plans import rfm
+
+    def refused(*args):
+        raise AssertionError("rows were sorted")
+
+    monkeypatch.setattr(ordering, "numbered", refused)
+    monkeypatch.setattr(selection, "FINAL_ROWS", 100)
+    assert "rangepartitioning" not in plan(rfm.rfm_scores(modelling))
+
+
+def test_fills_do_not_multiply_rows_that_share_a_key(spark):
+    from ebbtide.plans.prepare import with_filled_days
+
+    rows = [(1, "a", 5, "x"), (2, "a", None, "y"), (2, "a", None, "y"), (3, "a", 7, "z"), (3, "a", None, "w"), (None, None, None, "v")]
+    df = spark.createDataFrame(rows, "member_id long, member_tier_when_transact string, days_x int, text string")
+    found = with_filled_days(df.repartition(3)).collect()
+    got = sorted((r.member_id or 0, r.text, r._filled_days_x) for r in found)
+    assert got == [(0, "v", 7), (1, "x", 5), (2, "y", 5), (2, "y", 5), (3, "w", 7), (3, "z", 7)]
