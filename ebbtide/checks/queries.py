@@ -11,7 +11,7 @@ import functools
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +32,7 @@ from ebbtide.plans import (
     scoring,
     training,
 )
-from ebbtide.plans.run import modelling_set
+from ebbtide.plans.run import modelling_set, run
 from ebbtide.session import shared_folder, stored
 from ebbtide.sources import catalog, sinks
 from ebbtide.sources.schemas import ORDER_ITEM, PREDICTIONS
@@ -813,15 +813,19 @@ def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def training_metrics(spark, sf_dir):
-    """Figures per tier model, and whether scoring reproduces the stored AUC."""
+    """Figures per model, and whether scoring reproduces the stored AUC: a tier's on its own
+    rows, that of the global model on all rows, which it scores where no tier has a model."""
     model = fitted(spark, sf_dir)
-    found = training.training_metrics(model, spark).where(F.col("model") != "global")
+    found = training.training_metrics(model, spark)
     scored = scored_rows(spark, sf_dir).where(F.col("model_used") == "tier_specific")
+    everywhere = dataclasses.replace(model, routes={})
+    samples = {tier: scored.where(F.col(TIER) == tier) for tier in model.tiers}
+    samples["global"] = scoring.score_members(dataset(spark, sf_dir), everywhere)
     parts = [
-        evaluation.roc_auc(scored.where(F.col(TIER) == tier), "is_churned").select(
-            F.lit(tier).alias("model"), F.col("auc").alias("again")
+        evaluation.roc_auc(rows, "is_churned").select(
+            F.lit(name).alias("model"), F.col("auc").alias("again")
         )
-        for tier in model.tiers
+        for name, rows in samples.items()
     ]
     again = functools.reduce(DataFrame.unionByName, parts)
     return found.join(again, "model").select(
@@ -881,12 +885,23 @@ def score_ranking(spark, sf_dir):
 
 @query
 def feature_importance(spark, sf_dir):
-    """Per model: number of features, and that importances are shares of 1."""
+    """Per model: number of features, that the importances of all are shares of 1, and that
+    the first 20 are those of the largest importance, by name on ties."""
     model = fitted(spark, sf_dir)
     found = training.feature_importance(model, spark, top_n=1000)
-    return found.groupBy("model").agg(
+    best = training.feature_importance(model, spark).select(
+        "model", "feature", F.col("place").alias("best_place")
+    )
+    order = Window.partitionBy("model").orderBy(F.desc("importance"), "feature")
+    ranked = found.join(best, ["model", "feature"], "left").withColumn(
+        "again", F.row_number().over(order)
+    )
+    cut = F.when(F.col("again") <= 20, F.col("again"))
+    return ranked.groupBy("model").agg(
         F.count("*").alias("features"),
         F.countDistinct("feature").alias("names"),
+        F.count("best_place").alias("first_features"),
+        F.min(F.col("best_place").eqNullSafe(cut)).alias("first_are_best"),
         F.round(F.sum("importance"), 6).alias("total"),
         F.min(F.col("importance") >= 0).alias("none_negative"),
         F.max(F.when(F.col("place") == 1, F.col("importance")) > 0).alias("first_positive"),
@@ -947,3 +962,32 @@ def churn_report(spark, sf_dir):
     )
     kept = (F.col("section") != "top_features") & (F.col("metric") != "auc")
     return rounded(found.where(kept))
+
+
+@query
+def whole_run(spark, sf_dir):
+    """Rows and churners of every output of a run that is started twice: the second start
+    finds all stages finished (``resumed``) and the figures are of what it reads."""
+    t, folder = tables(spark, sf_dir), _scratch(spark)
+    model = fitted(spark, sf_dir)
+    first = run(t, PARAMS, MODEL, folder, model)
+    done = run(t, PARAMS, MODEL, folder, model)
+    kept = (F.col("section") != "top_features") & (F.col("metric") != "auc")
+    none = F.lit(None).cast("long")
+    outputs = {
+        "cohort": (done.cohort, none),
+        "labels": (done.labels, F.sum("is_churned")),
+        "dataset": (done.dataset, F.sum("is_churned")),
+        "predictions": (done.predictions, F.sum("actual_churn")),
+        "report": (done.report.where(kept), none),
+    }
+    parts = [
+        df.agg(F.count("*").alias("rows"), churned.cast("long").alias("churned")).select(
+            F.lit(name).alias("output"),
+            "rows",
+            "churned",
+            F.lit(done.paths == first.paths).alias("resumed"),
+        )
+        for name, (df, churned) in outputs.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)

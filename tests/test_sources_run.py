@@ -208,6 +208,57 @@ def test_whole_run_and_regenerated_report(spark, params):
     assert data["total_customers"] == 71
 
 
+@pytest.mark.parametrize("cut", ["save_model", "write_csv", "write_parquet"])
+def test_a_run_that_is_cut_off_goes_on(spark, params, monkeypatch, cut):
+    """The driver ends while a stage is written; finished stages are not made again."""
+    import ebbtide.plans.run as whole
+
+    source = tables.sample_tables(spark, "/root/testdata/sf0.001")
+    out, settings = folder(), few_rounds(2)
+
+    class Killed(BaseException):
+        pass
+
+    def half_written(df, path, *rest):
+        spark.range(1).write.parquet(path if isinstance(path, str) else rest[0])
+        raise Killed
+
+    with monkeypatch.context() as patch:
+        patch.setattr(whole, cut, half_written if cut != "save_model" else lambda m, path, s: half_written(m, path))
+        with pytest.raises(Killed):
+            run(source, params, settings, out)
+    with monkeypatch.context() as patch:
+        made = []
+        for name in ("churn_labels", "feature_set", "train_models", "predictions"):
+            real = getattr(whole, name)
+            patch.setattr(whole, name, lambda *a, name=name, real=real: made.append(name) or real(*a))
+        result = run(source, params, settings, out)
+    left = {"save_model": ["train_models", "predictions"], "write_csv": ["predictions"], "write_parquet": []}
+    assert made == left[cut]
+    assert result.predictions.count() == result.dataset.count() == 71
+    fresh = run(source, params, settings, out, resume=False)
+    assert not set(fresh.paths.values()) & set(result.paths.values())
+    assert fresh.report.exceptAll(result.report).isEmpty() and result.report.exceptAll(fresh.report).isEmpty()
+
+
+def test_a_run_is_known_by_settings_and_files(spark, params, orders, items):
+    from dataclasses import replace
+
+    from ebbtide.plans.run import run_key
+
+    source = tables.sample_tables(spark, "/root/testdata/sf0.001")
+    settings = few_rounds(2)
+    key = run_key(source, params, settings)
+    assert key == run_key(tables.sample_tables(spark, "/root/testdata/sf0.001"), params, settings)
+    others = [
+        run_key(source, replace(params, threshold=0.3), settings),
+        run_key(source, params, few_rounds(3)),
+        run_key(tables.sample_tables(spark, "/root/testdata/sf0.01"), params, settings),
+    ]
+    assert len({key, *others}) == 4
+    assert run_key(tables.Tables(orders([{"days": 1}]), items([])), params, settings) is None
+
+
 def test_append_command(spark, items, capsys):
     from ebbtide.__main__ import main
 
