@@ -2,10 +2,13 @@
 
 Second-order boosting for 0/1 labels on binned features. The rows of all routes lie in one
 distributed set of blocks. Per level, every task adds up the gradients of its rows by
-(route, node, feature, bin); the sums are shuffled by (route, node), the best split of a node is
-chosen there, and only the splits come to the driver. The number of jobs therefore
-follows the longest ensemble, not the number of routes, and what is shuffled is bounded by
-routes × nodes × features × bins per task, whatever the number of rows.
+(route, node, feature, bin). Beyond ``DIRECT`` tasks the sums are shuffled by (route, node), the
+best split of a node is chosen there, and only the splits come to the driver; the sums of fewer
+tasks are small enough to be added up there. The number of jobs therefore
+follows the longest ensemble, not the number of routes. Rows are dealt to the tasks by ranges
+of routes, so a task has the sums of few routes, and a level moves about
+(tasks + routes) × nodes × features × bins of them, whatever the number of rows. Blocks hold the
+bins feature by feature, so a level is a pass over one byte per row and drawn feature.
 
 The margins of the rows are brought up to date by the first job of the next round. The blocks
 with them stay in memory or on local disk, and every ``CUT`` rounds in the checkpoint folder,
@@ -25,13 +28,15 @@ from pyspark import RDD, StorageLevel, TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.operators.ensembles import leaves, margins
 from ebbtide.params import BoostSpec
 from ebbtide.session import pinned, shared_folder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CUT = 20
+# Up to so many tasks the sums of a level go straight to the driver: some (tasks + routes) ×
+# nodes × features × bins pairs of numbers (0.6 MB per task at 32 nodes of 34 features).
+DIRECT = 48
 # Penalty on squared leaf values, and least sum of second derivatives in a leaf.
 LEAF_PENALTY = 1.0
 LEAST_IN_LEAF = 1.0
@@ -76,10 +81,10 @@ def _binned(
                 at = np.flatnonzero(routes == route)
                 rows = vectors.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False)
                 rows = rows.reshape(len(at), -1)
-                bins = np.empty(rows.shape, dtype=np.uint8)
+                bins = np.empty(rows.shape[::-1], dtype=np.uint8)
                 for place, limit in enumerate(limits[int(route)]):
                     # Bin b: above limit b - 1, up to limit b; NaN comes last.
-                    bins[:, place] = np.searchsorted(limit, rows[:, place])
+                    bins[place] = np.searchsorted(limit, rows[:, place])
                 values = [
                     [int(route)],
                     [made],
@@ -143,6 +148,19 @@ def _flat(trees: list[_Tree], step: float) -> dict:
     }
 
 
+def _reached(tree: dict, bins: np.ndarray) -> np.ndarray:
+    """Node where each row ends in a single tree; ``bins`` has a row per feature."""
+    rows = np.arange(bins.shape[1])
+    node = np.zeros(len(rows), dtype=np.intp)
+    offset = tree["feature"].astype(np.intp) * len(rows)
+    limit, flat = tree["limit"].astype(np.uint8), bins.ravel()
+    sides = np.stack([tree["right"], tree["left"]], axis=1).astype(np.intp).ravel()
+    for _ in range(tree["depth"]):
+        small = flat.take(offset.take(node) + rows) <= limit.take(node)
+        node = sides.take(2 * node + small)
+    return node
+
+
 def _level_sums(plans: dict[int, dict], bins_most: int, seed: int, turn: int) -> Callable:
     """Sums of first and second derivatives per open node, feature and bin of one task."""
 
@@ -152,27 +170,29 @@ def _level_sums(plans: dict[int, dict], bins_most: int, seed: int, turn: int) ->
             plan = plans.get(route)
             if plan is None:
                 continue
-            chance = 1.0 / (1.0 + np.exp(-margin))
-            draw = np.random.default_rng([seed, turn, block, route + 1])
-            slot = plan["slots"][leaves(plan["tree"], bins)[:, 0]]
-            taken = (slot >= 0) & (draw.random(len(bins)) < plan["row_share"])
+            slot = plan["slots"].take(_reached(plan["tree"], bins))
+            taken = slot >= 0
+            if plan["row_share"] < 1.0:
+                draw = np.random.default_rng([seed, turn, block, route + 1])
+                taken &= draw.random(len(slot)) < plan["row_share"]
             at = np.flatnonzero(taken)
-            columns = plan["columns"]
-            width = len(columns)
-            key = slot[at][:, None] * width + np.arange(width)
-            key = (key * bins_most + bins[at][:, columns]).ravel()
-            size = len(plan["open"]) * width * bins_most
-            first = (weight * (chance - label))[at]
-            second = (weight * chance * (1.0 - chance))[at]
-            part = np.stack(
-                [np.bincount(key, np.repeat(v, width), size) for v in (first, second)]
-            )
-            found[route] = found[route] + part if route in found else part
+            label, weight, margin = (v.take(at) for v in (label, weight, margin))
+            chance = 1.0 / (1.0 + np.exp(-margin))
+            first = weight * (chance - label)
+            second = weight * chance * (1.0 - chance)
+            start = slot.take(at) * bins_most
+            nodes, columns = len(plan["open"]), plan["columns"]
+            part = found.get(route)
+            if part is None:
+                part = found[route] = np.zeros((2, nodes, len(columns), bins_most))
+            for place, column in enumerate(columns):
+                key = start + bins[column].take(at)
+                for which, values in enumerate((first, second)):
+                    added = np.bincount(key, values, nodes * bins_most)
+                    part[which, :, place] += added.reshape(nodes, bins_most)
         for route, part in found.items():
-            plan = plans[route]
-            shaped = part.reshape(2, len(plan["open"]), len(plan["columns"]), bins_most)
-            for place, node in enumerate(plan["open"]):
-                yield (route, node), shaped[:, place]
+            for place, node in enumerate(plans[route]["open"]):
+                yield (route, node), part[:, place]
 
     return sums
 
@@ -206,18 +226,23 @@ def best_split(sums: np.ndarray) -> tuple[float, int, int, float, float, float]:
 
 
 def _splits(state: RDD, sums: Callable) -> dict[tuple[int, int], tuple]:
+    """Best split per open node. Sums of few tasks are added up here, which spares a second
+    stage per level; those of many are shuffled first, and only the splits come back."""
     parts = state.mapPartitions(sums)
-    tasks = state.getNumPartitions()
-    if tasks > 1:
+    if (tasks := state.getNumPartitions()) > DIRECT:
         parts = parts.reduceByKey(lambda a, b: a + b, min(tasks, 64))
-    return dict(parts.mapValues(best_split).collect())
+        return dict(parts.mapValues(best_split).collect())
+    whole: dict[tuple[int, int], np.ndarray] = {}
+    for key, part in parts.collect():
+        whole[key] = whole[key] + part if key in whole else part
+    return {key: best_split(part) for key, part in whole.items()}
 
 
 def _advanced(newest: dict[int, dict]) -> Callable:
     def advance(item: tuple) -> tuple:
         route, block, bins, label, weight, margin = item
         if route in newest:
-            margin = margin + margins(newest[route], bins)
+            margin = margin + newest[route]["value"].take(_reached(newest[route], bins))
         return route, block, bins, label, weight, margin
 
     return advance
@@ -225,7 +250,7 @@ def _advanced(newest: dict[int, dict]) -> Callable:
 
 def _state(item: tuple) -> tuple:
     label = np.frombuffer(item.label)
-    bins = np.frombuffer(item.bins, dtype=np.uint8).reshape(len(label), -1)
+    bins = np.frombuffer(item.bins, dtype=np.uint8).reshape(-1, len(label))
     weight = np.frombuffer(item.weight)
     return item.route, item.block, bins, label, weight, np.zeros(len(label))
 
@@ -262,8 +287,12 @@ def fit_ensembles(
             F.col(features).alias("features"),
             label.cast("double").alias("label"),
             weight.cast("double").alias("weight"),
+            F.rand(seed).alias("_drawn"),
         )
-        .repartition(tasks)
+        .repartitionByRange(tasks, "number", "_drawn")
+        # Whatever order the shuffle delivers, a seed makes the same blocks.
+        .sortWithinPartitions("number", "_drawn")
+        .drop("_drawn")
         .mapInArrow(_binned(limits), BLOCKS)
     )
     state = blocks.rdd.map(_state).persist(StorageLevel.MEMORY_AND_DISK)

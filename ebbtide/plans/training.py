@@ -275,7 +275,10 @@ def train_models(
             fitted.failures[tier] = str(error)
 
     with ThreadPoolExecutor(max_workers=max(1, params.parallel_fits)) as pool:
-        list(pool.map(inheritable_thread_target(data.sparkSession)(fit), plans))
+        # One wrapper per route: each holds one set of local properties, and jobs that share
+        # a set take each other's execution ids away.
+        jobs = [inheritable_thread_target(data.sparkSession)(fit) for _ in plans]
+        list(pool.map(lambda job, plan: job(plan), jobs, plans))
     return fitted
 
 

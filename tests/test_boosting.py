@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ebbtide.operators import boosting
 from ebbtide.operators.boosting import best_split, bin_limits, fit_ensembles
 from ebbtide.operators.ensembles import ensemble_probability, margins
 from ebbtide.params import BoostSpec
@@ -111,3 +112,31 @@ def test_missing_values_go_right(spark):
     trees = fitted(df, specs={-1: SPECS[-1]})[-1]
     nan, low = margins(trees, np.array([[np.nan, 0, 0], [3.0, 0, 0]]))
     assert nan > 0 > low
+
+
+def test_sums_of_many_tasks_are_shuffled_to_the_same_trees(rows, monkeypatch):
+    few = fitted(rows, 3)
+    monkeypatch.setattr(boosting, "DIRECT", 2)
+    many = fitted(rows, 3)
+    for route in SPECS:
+        assert (few[route]["feature"] == many[route]["feature"]).all()
+        assert few[route]["value"] == pytest.approx(many[route]["value"], abs=1e-12)
+
+
+def test_a_level_of_few_tasks_is_one_stage_and_a_task_has_few_routes(spark, rows, monkeypatch):
+    held, kept = [], boosting._splits
+
+    def splits(state, sums):
+        held.append(state.mapPartitions(lambda blocks: [sorted({b[0] for b in blocks})]).collect())
+        spark.sparkContext.setJobGroup("level", "level")
+        found = kept(state, sums)
+        spark.sparkContext.setJobGroup("", "")
+        return found
+
+    monkeypatch.setattr(boosting, "_splits", splits)
+    fitted(rows, 3)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("level")]
+    # The first levels of a turn may also name the stages that dealt the rows.
+    assert min(stages) == 1
+    assert sum(map(len, held[0])) <= len(SPECS) + 2

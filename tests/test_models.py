@@ -1,4 +1,5 @@
 import tempfile
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,6 +121,20 @@ def test_failing_tier_falls_back(modelling, model, monkeypatch):
     assert real is not broken
 
 
+def test_routes_measured_at_once_have_local_properties_of_their_own(spark, modelling, monkeypatch):
+    seen, gate = {}, threading.Barrier(5)
+
+    def measured(rows, route, *figures):
+        spark.sparkContext.setLocalProperty("probe", route)
+        gate.wait(120)
+        seen[route] = spark.sparkContext.getLocalProperty("probe")
+
+    monkeypatch.setattr(training, "train_route", measured)
+    found = training.train_models(modelling, few_rounds(1))
+    assert not found.failures and len(seen) == 5
+    assert all(route == probe for route, probe in seen.items())
+
+
 def test_single_class_is_an_error(modelling):
     with pytest.raises(ValueError):
         training.train_models(modelling.withColumn("is_churned", F.lit(1)), few_rounds(1))
