@@ -164,12 +164,14 @@ def base_features(order_header: DataFrame, params: ChurnParams) -> DataFrame:
 def member_lines(
     order_header: DataFrame, order_item: DataFrame, params: ChurnParams
 ) -> DataFrame:
-    """Order lines of the history window with their member."""
-    return (
-        recent_orders(order_header, params)
-        .select("member_id", "order_number")
-        .join(order_item, "order_number")
-    )
+    """Order lines of the history window with their member.
+
+    The semi join changes no row of the result. It goes down to the scan of the lines, so lines
+    of older orders are gone before ``order_item`` is joined with anything it is made of.
+    """
+    orders = recent_orders(order_header, params).select("member_id", "order_number")
+    recent = order_item.join(orders.select("order_number"), "order_number", "left_semi")
+    return orders.join(recent, "order_number")
 
 
 def product_group_counts(
@@ -211,27 +213,33 @@ def product_features(
 
     ``avg_discount_rate`` is paid price over list price: 1 means no discount.
     """
-    key = [F.col("member_id")]
-    cells = (
-        member_lines(order_header, order_item, params)
-        .groupingSets(
-            [
-                [*key, F.col("product_group")],
-                [*key, F.col("brand_name")],
-                [*key, F.col("sku")],
-            ],
-            "member_id",
-            "product_group",
-            "brand_name",
-            "sku",
+    lines = member_lines(order_header, order_item, params)
+    counted = ["product_group", "brand_name", "sku"]
+    sums = {
+        "quantity": F.col("quantity"),
+        "paid": F.col("quantity") * F.col("paid_price"),
+        "listed": F.col("quantity") * F.col("price"),
+    }
+
+    def entry_of(name: str) -> Column:
+        """A line as it counts for one of the columns; the sums go with the product group."""
+        by_group = name == "product_group"
+        return F.struct(
+            F.lit(int(by_group)).alias("by_group"),
+            *[(F.col(c) if c == name else F.lit(None)).alias(c) for c in counted],
+            *[(v if by_group else F.lit(None)).alias(c) for c, v in sums.items()],
         )
+
+    # One row per line and column, as grouping sets make them, but with sums once only.
+    cells = (
+        lines.select("member_id", F.inline(F.array(*map(entry_of, counted))))
+        .groupBy("member_id", "by_group", *counted)
         .agg(
-            (1 - F.grouping("product_group")).alias("by_group"),
-            F.count("*").alias("lines"),
+            F.count(F.when(F.col("by_group") == 1, 1)).alias("lines"),
             F.sum("quantity").alias("quantity"),
             F.count("quantity").alias("quantities"),
-            F.sum(F.col("quantity") * F.col("paid_price")).alias("paid"),
-            F.sum(F.col("quantity") * F.col("price")).alias("listed"),
+            F.sum("paid").alias("paid"),
+            F.sum("listed").alias("listed"),
         )
     )
     by_group = F.col("by_group") == 1

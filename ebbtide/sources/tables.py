@@ -161,15 +161,24 @@ def sample_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     unit_price = F.col("l_extendedprice") / F.col("l_quantity")
-    return lines.join(part, lines.l_partkey == part.p_partkey).select(
+    # Everything is computed before the join: a semi join on the number goes below a join, but
+    # not below expressions.
+    sold = lines.select(
         F.col("l_orderkey").cast("string").alias("order_number"),
-        F.col("p_type").alias("product_group"),
-        F.col("p_brand").alias("brand_name"),
-        F.col("l_partkey").cast("string").alias("sku"),
+        "l_partkey",
         F.col("l_quantity").alias("quantity"),
         unit_price.alias("price"),
         (unit_price * (1 - F.col("l_discount"))).alias("paid_price"),
     )
+    goods = part.select(
+        "p_partkey",
+        F.col("p_type").alias("product_group"),
+        F.col("p_brand").alias("brand_name"),
+        F.col("p_partkey").cast("string").alias("sku"),
+    )
+    return sold.join(goods, sold.l_partkey == goods.p_partkey).select(
+        "order_number", "product_group", "brand_name", "sku", "quantity", "price", "paid_price"
+    )
 
 
 def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ebbtide.params import TIER, ChurnParams
 from ebbtide.plans import features as f
 from ebbtide.plans.labels import churn_labels
-from tests.conftest import AS_OF
+from ebbtide.sources.tables import sample_tables
+from tests.conftest import AS_OF, DATA
 
 
 def by(df, *keys):
@@ -152,3 +153,20 @@ def test_orders_without_lines(orders, items, params):
 def test_tier_column_is_required(orders, items, params, modelling):
     with pytest.raises(ValueError):
         f.final_dataset(churn_labels(orders([{"days": 1}]), params), modelling.drop(TIER))
+
+
+def test_lines_of_old_orders_go_before_the_lines_are_joined_with_parts(spark, params):
+    found = sample_tables(spark, DATA)
+    lines = f.member_lines(found.order_header, found.order_item, params)
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    semi, parts = (
+        next(i for i, line in enumerate(plan.splitlines()) if text in line)
+        for text in ("Join LeftSemi", "Join Inner, (l_partkey")
+    )
+    assert parts < semi
+
+
+def test_repeated_order_numbers_repeat_their_lines(orders, items, params):
+    header = orders([{"days": 1, "id": 1}, {"days": 2, "id": 1}, {"days": 900, "id": 2}])
+    lines = items([{"number": "1", "quantity": 3.0}, {"number": "2"}])
+    assert [r.quantity for r in f.member_lines(header, lines, params).collect()] == [3.0, 3.0]
