@@ -50,11 +50,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.minhash import rows_with_ids, scrambled
-from ebbtide.llm.textbatches import release_memory, segments
+from ebbtide.llm.textbatches import release_memory, segments, unpacked_texts
 from ebbtide.session import stored
 
 START, END, OTHER = "\x02", "\x03", "�"
-BLOCK_CHARS = 1 << 19
+BLOCK_CHARS = 1 << 20
 GROUP_CHARS = 1 << 28
 SHARDS = 8
 
@@ -133,14 +133,14 @@ def _strings(signs: np.ndarray) -> list[str]:
 
 
 def train(texts: DataFrame, order: int) -> DataFrame | None:
-    """The weights (gram, weight) of the model of ``texts`` (a column text).
+    """The weights (gram, weight) of the model of ``texts`` (a column text, packed or not).
 
     The row with the empty gram has the weight of an unknown sign. None without texts.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, parts in column_blocks(batch.column("text"), order):
+            for _, parts in column_blocks(unpacked_texts(batch.column("text")), order):
                 signs, _, counts = gram_counts(parts, order)
                 new = np.ones(len(signs), bool)
                 new[1:] = (signs[1:] != signs[:-1]).any(axis=1)
@@ -232,8 +232,17 @@ def _shard_of(signs: np.ndarray) -> np.ndarray:
     return (_hashed(signs[:, -2:]) % np.uint64(SHARDS)).astype(np.int64)
 
 
-def _packed(array: np.ndarray) -> bytes:
-    return pa.compress(array.tobytes(), codec="zstd", asbytes=True)
+def _packed(array: np.ndarray, level: int = 1) -> bytes:
+    return pa.Codec("zstd", compression_level=level).compress(array.tobytes(), asbytes=True)
+
+
+def _planes(numbers: np.ndarray) -> np.ndarray:
+    """The bytes of small numbers, all lowest ones first: they compress best."""
+    return numbers.astype("<u4").view("u1").reshape(-1, 4).T.copy()
+
+
+def _from_planes(data: bytes, size: int) -> np.ndarray:
+    return _unpacked(data, 4 * size, "u1").reshape(4, -1).T.copy().view("<u4").ravel()
 
 
 def _unpacked(data: bytes, size: int, kind) -> np.ndarray:
@@ -276,12 +285,10 @@ def _count_blocks(docs: DataFrame, order: int, groups: int) -> DataFrame:
                             "texts": len(places),
                             "grams": len(starts),
                             "pairs": len(own),
-                            "signs": _packed(np.ascontiguousarray(own[starts].T)),
-                            "sizes": _packed(np.diff(starts, append=len(own)).astype("<u4")),
-                            "owners": _packed(steps.astype("<u4").view("u1").reshape(-1, 4).T.copy()),
-                            "counts": _packed(
-                                count[mine].astype("<u4").view("u1").reshape(-1, 4).T.copy()
-                            ),
+                            "signs": _packed(np.ascontiguousarray(own[starts].T), 9),
+                            "sizes": _packed(_planes(np.diff(starts, append=len(own)))),
+                            "owners": _packed(_planes(steps)),
+                            "counts": _packed(_planes(count[mine])),
                             "ids": [ids[p] for p in places] if s == 0 else None,
                             "langs": [langs[p] for p in places] if s == 0 else None,
                             "lengths": [len(p) - order + 1 for p in parts] if s == 0 else None,
@@ -369,11 +376,8 @@ def log_probabilities(docs: DataFrame, weights: DataFrame, order: int) -> DataFr
         for block in texts.to_batches(max_chunksize=16):
             for x in block.to_pylist():
                 signs = _unpacked(x["signs"], x["grams"] * order, np.uint32)
-                sizes = _unpacked(x["sizes"], x["grams"], "<u4")
-                steps, count = (
-                    _unpacked(x[c], 4 * x["pairs"], "u1").reshape(4, -1).T.copy().view("<u4").ravel()
-                    for c in ("owners", "counts")
-                )
+                sizes = _from_planes(x["sizes"], x["grams"])
+                steps, count = (_from_planes(x[c], x["pairs"]) for c in ("owners", "counts"))
                 weight = np.repeat(table.of(signs.reshape(order, -1).T), sizes)
                 walked = np.cumsum(steps.astype(np.int64))
                 starts = np.cumsum(sizes) - sizes
@@ -451,7 +455,7 @@ def quality(
     )
     ids = stored(trusted.select(F.col(id_col).cast("long").alias("id")).na.drop().distinct())
     held_out = F.pmod(F.xxhash64("id"), F.lit(holdout)) == 0
-    known = rows_with_ids(source.select("id", "text"), ids.filter(~held_out))
+    known = rows_with_ids(source.select("id", "text"), ids.filter(~held_out), packed=True)
     weights = train(known, order)
     if weights is None:
         nothing = F.lit(None).cast("double")

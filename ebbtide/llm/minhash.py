@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.graph import components
-from ebbtide.llm.textbatches import release_memory, segments
+from ebbtide.llm.textbatches import packed_texts, release_memory, segments
 from ebbtide.session import stored
 
 BITMAP = 8_388_593  # a prime below 2**23: the fixed number of bits of the id bitmap
@@ -135,8 +135,9 @@ def signatures(docs: DataFrame, width: int, keys: int, rows: int) -> DataFrame:
     )
 
 
-def rows_with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (id, text) whose id is in ``ids`` (a column id)."""
+def rows_with_ids(docs: DataFrame, ids: DataFrame, packed: bool = False) -> DataFrame:
+    """The rows of ``docs`` (id, text) whose id is in ``ids`` (a column id); texts are shuffled
+    and given back by :func:`packed_texts` if ``packed``."""
     spark = docs.sparkSession
     bit = F.pmod(F.col("id"), F.lit(BITMAP)) + 1
     parts = (
@@ -154,10 +155,14 @@ def rows_with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
         for batch in batches:
             batch = batch.filter(batch.column("id").is_valid())
             place = np.mod(batch.column("id").to_numpy(zero_copy_only=False), BITMAP)
-            yield batch.filter(pa.array((bitmap[place >> 3] >> (place & 7) & 1).astype(bool)))
+            batch = batch.filter(pa.array((bitmap[place >> 3] >> (place & 7) & 1).astype(bool)))
+            if packed:
+                texts = packed_texts(batch.column("text"))
+                batch = pa.RecordBatch.from_arrays([batch.column("id"), texts], names=["id", "text"])
+            yield batch
             release_memory()
 
-    near = docs.mapInArrow(wanted, "id long, text string")
+    near = docs.mapInArrow(wanted, f"id long, text {'binary' if packed else 'string'}")
     return near.join(ids, "id", "left_semi")
 
 

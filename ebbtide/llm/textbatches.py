@@ -34,3 +34,29 @@ def release_memory() -> None:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):  # not the GNU C library
         pass
+
+
+def packed_texts(texts: pa.Array) -> pa.Array:
+    """Texts for a shuffle, each compressed on its own after its length in bytes."""
+
+    def packed(text: str | None) -> bytes | None:
+        if text is None:
+            return None
+        data = text.encode()
+        return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+    return pa.array((packed(t.as_py()) for t in texts), pa.binary())
+
+
+def unpacked_texts(column: pa.Array) -> pa.Array:
+    """The texts of :func:`packed_texts`; a column of texts is given back as it is."""
+    if not pa.types.is_binary(column.type):
+        return column
+
+    def text(data: bytes | None) -> str | None:
+        if data is None:
+            return None
+        size = int.from_bytes(data[:8], "little")
+        return pa.decompress(data[8:], size, codec="zstd", asbytes=True).decode() if size else ""
+
+    return pa.array((text(d.as_py()) for d in column), pa.string())

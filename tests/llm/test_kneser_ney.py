@@ -4,9 +4,10 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from ebbtide.llm import kneser_ney
+from ebbtide.llm import kneser_ney, minhash, textbatches
 from ebbtide.llm.kneser_ney import gram_counts, log_probabilities, quality, train
 from ebbtide.llm.queries import QUERIES
 from tests.conftest import DATA
@@ -155,3 +156,28 @@ def test_all_kinds_of_junk_go_at_a_larger_size(spark):
     counts = {k: (sum(v), len(v)) for k, v in kept.items()}
     print("good", sum(good), len(good), "junk", counts)
     assert all(n <= 0.1 * every for n, every in counts.values()), counts
+
+
+def test_texts_and_counts_are_packed_and_come_back():
+    texts = pa.array(["", None, "aé𝄞" * 50, "x"])
+    packed = textbatches.packed_texts(texts)
+    assert textbatches.unpacked_texts(packed).to_pylist() == texts.to_pylist()
+    assert textbatches.unpacked_texts(texts) is texts
+    sizes = np.random.default_rng(1).geometric(0.3, 20_000)
+    data = kneser_ney._packed(kneser_ney._planes(sizes))
+    assert (kneser_ney._from_planes(data, len(sizes)) == sizes).all()
+    assert len(data) < 0.8 * len(kneser_ney._packed(sizes.astype("<u4")))
+
+
+def test_training_texts_are_shuffled_packed(spark):
+    docs = spark.createDataFrame([(i, None if i == 3 else "abc " * i) for i in range(9)], "id long, text string")
+    ids = spark.createDataFrame([(2,), (3,), (2 + (1 << 40),)], "id long")
+    found = minhash.rows_with_ids(docs, ids, packed=True)
+    assert dict(found.dtypes)["text"] == "binary"
+    rows = {r.id: r.text for r in found.collect()}
+    assert textbatches.unpacked_texts(pa.array([rows[2], rows[3]], pa.binary())).to_pylist() == ["abc abc ", None]
+    plain = minhash.rows_with_ids(docs, ids).select("text")
+    one, other = (
+        {r.gram: round(r.weight, 9) for r in kneser_ney.train(t, 2).collect()} for t in (plain, found)
+    )
+    assert one == other and len(rows) == 2
