@@ -2,14 +2,19 @@
 
 Second-order boosting for 0/1 labels on binned features. The rows of all routes lie in one
 distributed set of blocks. Per level, every task adds up the gradients of its rows by
-(route, node, feature, bin). Beyond ``DIRECT`` tasks the sums are shuffled by (route, node), the
-best split of a node is chosen there, and only the splits come to the driver; the sums of fewer
-tasks are small enough to be added up there. The number of jobs therefore
+(route, node, feature, bin). Beyond ``DIRECT`` tasks the sums are added up in a shuffle by
+(route, node); those of fewer tasks are small enough to be added up in the driver, which picks the
+splits. The number of jobs therefore
 follows the longest ensemble, not the number of routes. Rows are dealt to the tasks by ranges
 of routes, so a task has the sums of few routes, and a level moves about
 (tasks + routes) × nodes × features × bins of them, whatever the number of rows. Blocks hold the
 bins feature by feature, so a level is a pass over one byte per row and drawn feature.
 
+Of two children only the lighter one is added up: the other one has what remains of the sums of
+their parent. Gradients are rounded to a step (some 2^-52 of the weight of a route) of which a
+double holds every sum exactly, so the difference is exact too, and neither the order of the rows
+nor the number of tasks changes a sum.
+
 The margins of the rows are brought up to date by the first job of the next round. The blocks
 with them stay in memory or on local disk, and every ``CUT`` rounds in the checkpoint folder,
 so a lost executor costs at most so many rounds of its blocks. Rows are drawn per tree by the number
@@ -18,6 +23,7 @@ of their stored block, so a repeated task draws the same ones.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -35,8 +41,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CUT = 20
 # Up to so many tasks the sums of a level go straight to the driver: some (tasks + routes) ×
-# nodes × features × bins pairs of numbers (0.6 MB per task at 32 nodes of 34 features).
+# nodes × features × bins pairs of numbers (0.3 MB per task at 16 nodes of 34 features).
 DIRECT = 48
+# Rows that are worth a task of their own while other cores have none.
+LEAST_ROWS = 25_000
 # Penalty on squared leaf values, and least sum of second derivatives in a leaf.
 LEAF_PENALTY = 1.0
 LEAST_IN_LEAF = 1.0
@@ -178,8 +186,9 @@ def _level_sums(plans: dict[int, dict], bins_most: int, seed: int, turn: int) ->
             at = np.flatnonzero(taken)
             label, weight, margin = (v.take(at) for v in (label, weight, margin))
             chance = 1.0 / (1.0 + np.exp(-margin))
-            first = weight * (chance - label)
-            second = weight * chance * (1.0 - chance)
+            step = plan["step"]
+            first = np.rint(weight * (chance - label) / step) * step
+            second = np.rint(weight * chance * (1.0 - chance) / step) * step
             start = slot.take(at) * bins_most
             nodes, columns = len(plan["open"]), plan["columns"]
             part = found.get(route)
@@ -225,17 +234,30 @@ def best_split(sums: np.ndarray) -> tuple[float, int, int, float, float, float]:
     )
 
 
-def _splits(state: RDD, sums: Callable) -> dict[tuple[int, int], tuple]:
-    """Best split per open node. Sums of few tasks are added up here, which spares a second
-    stage per level; those of many are shuffled first, and only the splits come back."""
+def _splits(state: RDD, sums: Callable) -> dict[tuple[int, int], np.ndarray]:
+    """What the splits of a level are picked from: the sums of the nodes that are added up.
+    Those of few tasks are added up here, which spares a second stage per level."""
     parts = state.mapPartitions(sums)
     if (tasks := state.getNumPartitions()) > DIRECT:
         parts = parts.reduceByKey(lambda a, b: a + b, min(tasks, 64))
-        return dict(parts.mapValues(best_split).collect())
     whole: dict[tuple[int, int], np.ndarray] = {}
     for key, part in parts.collect():
         whole[key] = whole[key] + part if key in whole else part
-    return {key: best_split(part) for key, part in whole.items()}
+    return whole
+
+
+def even_tasks(rows: int, rows_per_task: int, cores: int) -> int:
+    """Tasks for so many rows: as many as keep to ``rows_per_task`` and use all cores evenly,
+    but no task for less than ``LEAST_ROWS`` while one would do."""
+    needed = max(1, math.ceil(rows / rows_per_task))
+    if needed >= cores:
+        return math.ceil(needed / cores) * cores
+    return max(needed, min(cores, rows // LEAST_ROWS))
+
+
+def _exact_step(weight: float) -> float:
+    """The least power of 2 of which a double holds all sums of multiples up to ``weight``."""
+    return 2.0 ** (math.frexp(weight)[1] - 52)
 
 
 def _advanced(newest: dict[int, dict]) -> Callable:
@@ -296,6 +318,8 @@ def fit_ensembles(
         .mapInArrow(_binned(limits), BLOCKS)
     )
     state = blocks.rdd.map(_state).persist(StorageLevel.MEMORY_AND_DISK)
+    weights = state.map(lambda b: (b[0], float(np.abs(b[4]).sum()))).reduceByKey(lambda a, b: a + b)
+    steps = {route: _exact_step(total) for route, total in weights.collect()}
     finished: dict[int, list[_Tree]] = {route: [] for route in specs}
     newest: dict[int, dict] = {}
     for turn in range(max(s.trees for s in specs.values())):
@@ -307,7 +331,9 @@ def fit_ensembles(
                 state.checkpoint()
         active = [route for route, spec in specs.items() if turn < spec.trees]
         growing = {route: _Tree() for route in active}
+        # Nodes to be added up, and their siblings, which have the rest of their parents.
         open_nodes = {route: [0] for route in active}
+        siblings: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
         columns = {}
         for route in active:
             share = max(1, round(specs[route].column_share * counts[route]))
@@ -324,22 +350,30 @@ def fit_ensembles(
                     "open": nodes,
                     "columns": columns[route],
                     "row_share": specs[route].row_share,
+                    "step": steps[route],
                 }
             found = _splits(state, _level_sums(plans, max_bins, seed, turn))
             if before is not None:
                 before.unpersist()
                 before = None
-            following: dict[int, list[int]] = {}
-            for (route, node), (gain, place, at, low, high, whole) in sorted(found.items()):
+            for (route, node), (sibling, parent) in siblings.items():
+                found[route, sibling] = parent - found[route, node]
+            siblings, following = {}, {}
+            for (route, node), sums in sorted(found.items(), key=lambda item: item[0]):
                 tree = growing[route]
+                gain, place, at, low, high, whole = best_split(sums)
                 if node == 0:
                     tree.value[0] = whole
                 if gain <= 0.0:
                     continue
                 tree.feature[node], tree.limit[node] = int(columns[route][place]), at
                 tree.gain[node] = gain
-                tree.left[node], tree.right[node] = tree.add(low), tree.add(high)
-                following.setdefault(route, []).extend([tree.left[node], tree.right[node]])
+                pair = tree.left[node], tree.right[node] = tree.add(low), tree.add(high)
+                mass = sums[1, place]
+                lighter = int(2 * mass[: at + 1].sum() > mass.sum())
+                added = pair[lighter]
+                following.setdefault(route, []).append(added)
+                siblings[route, added] = (pair[1 - lighter], sums)
             for route in following:
                 growing[route].depth += 1
             open_nodes = {
@@ -347,6 +381,7 @@ def fit_ensembles(
                 for route, nodes in following.items()
                 if growing[route].depth < specs[route].depth
             }
+            siblings = {key: kept for key, kept in siblings.items() if key[0] in open_nodes}
         for route, tree in growing.items():
             finished[route].append(tree)
         newest = {r: _flat([tree], specs[r].step) for r, tree in growing.items()}

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.scalars import ratio
-from ebbtide.operators.boosting import fit_ensembles
+from ebbtide.operators.boosting import even_tasks, fit_ensembles
 from ebbtide.operators.ensembles import ensemble_probability
 from ebbtide.operators.evaluation import roc_auc
 from ebbtide.params import (
@@ -163,6 +163,7 @@ def _fitted_trees(
     params: ModelParams,
 ) -> dict[int, dict]:
     """Trees of all routes; ``weights`` are those of a churner."""
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
     weight = F.lit(None).cast("double")
     for number, value in weights.items():
         weight = F.when(F.col(NUMBER) == number, F.lit(float(value))).otherwise(weight)
@@ -176,7 +177,7 @@ def _fitted_trees(
         {number: len(prep.feature_names) for number, prep in preps.items()},
         params.max_bins,
         params.seed,
-        max(1, math.ceil(rows / params.rows_per_task)),
+        even_tasks(rows, params.rows_per_task, cores),
     )
 
 

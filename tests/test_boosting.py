@@ -140,3 +140,27 @@ def test_a_level_of_few_tasks_is_one_stage_and_a_task_has_few_routes(spark, rows
     # The first levels of a turn may also name the stages that dealt the rows.
     assert min(stages) == 1
     assert sum(map(len, held[0])) <= len(SPECS) + 2
+
+
+def test_only_the_lighter_child_is_added_up(rows, monkeypatch):
+    """The sums of a node and its sibling are those of the rows, though one is never summed."""
+    taken, kept = [], boosting._splits
+
+    def splits(state, sums):
+        found = kept(state, sums)
+        taken.append({key: np.array(part) for key, part in found.items()})
+        return found
+
+    monkeypatch.setattr(boosting, "_splits", splits)
+    one = fitted(rows, 1, {-1: SPECS[-1]})[-1]
+    # Per tree a root, then one child of every split: 1, 1 and up to 2 nodes.
+    assert [len(level) <= most for level, most in zip(taken, [1, 1, 2] * 4)] == [True] * 12
+    many = fitted(rows, 3, {-1: SPECS[-1]})[-1]
+    # Sums are exact, so other tasks give the same trees to the last bit.
+    for name in ("feature", "limit", "left", "right", "value"):
+        assert one[name].tolist() == many[name].tolist()
+
+
+def test_rows_use_all_cores_evenly():
+    tasks = [boosting.even_tasks(rows, 200_000, 12) for rows in (0, 100, 60_000, 947_040, 5_700_000)]
+    assert tasks == [1, 1, 2, 12, 36]
