@@ -53,6 +53,9 @@ FEATURE_COLUMNS = [
     "recency_bucket",
 ]
 
+# Bits of the marks that drop order lines before they are moved.
+MARKS = 1 << 26
+
 
 def most_frequent(value: Column, count: Column) -> Column:
     """Aggregate over (value, count) rows: the value with the highest count, the
@@ -166,14 +169,37 @@ def member_lines(
 ) -> DataFrame:
     """Order lines of the history window with their member.
 
-    The semi join changes no row of the result. It goes down to the scan of the lines, so lines
-    of older orders are gone before ``order_item`` is joined with anything it is made of.
+    The semi joins change no row of the result. They go down to the scan of the lines, so lines
+    of older orders are gone before ``order_item`` is joined with anything it is made of; most of
+    them go by the marks, before any line is moved.
     """
     orders = recent_orders(order_header, params).select("member_id", "order_number")
-    recent = order_item.join(orders.select("order_number"), "order_number", "left_semi")
+    numbers = orders.select("order_number")
+    recent = marked(order_item, numbers, "order_number").join(
+        numbers, "order_number", "left_semi"
+    )
     return orders.join(recent, "order_number")
 
 
+def marked(df: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` whose key may be among ``keys``: all that are, and a few others.
+
+    A key sets one of ``MARKS`` bits, of which the words that have any are broadcast: a million
+    short rows at most, whatever the number of keys. With more keys more of the other rows
+    pass, so an exact join has to follow.
+    """
+    place = F.pmod(F.xxhash64(name), F.lit(MARKS))
+    word, bit = F.floor(place / 64), (place % 64).cast("int")
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bit"))
+    words = (
+        keys.select(word.alias("_word"), bit.alias("_bit"))
+        .groupBy("_word")
+        .agg(F.bit_or(mask).alias("_mask"))
+    )
+    match = (word == F.col("_word")) & (F.getbit(F.col("_mask"), bit) == 1)
+    return df.join(F.broadcast(words), match, "left_semi")
+
+
 def product_group_counts(
     order_header: DataFrame, order_item: DataFrame, params: ChurnParams
 ) -> DataFrame:

@@ -170,3 +170,25 @@ def test_repeated_order_numbers_repeat_their_lines(orders, items, params):
     header = orders([{"days": 1, "id": 1}, {"days": 2, "id": 1}, {"days": 900, "id": 2}])
     lines = items([{"number": "1", "quantity": 3.0}, {"number": "2"}])
     assert [r.quantity for r in f.member_lines(header, lines, params).collect()] == [3.0, 3.0]
+
+
+def test_lines_of_old_orders_go_before_they_are_moved(spark, params):
+    """Below the exact join, whose sides may be too large for a broadcast."""
+    found = sample_tables(spark, DATA)
+    lines = f.member_lines(found.order_header, found.order_item, params)
+    plan = lines._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    exact, marks, parts = (
+        next(i for i, line in enumerate(plan) if text in line)
+        for text in ("Join LeftSemi, (order_number", "Join LeftSemi, ((", "Join Inner, (l_partkey")
+    )
+    assert parts < exact < marks
+
+
+def test_marks_keep_all_keys_and_drop_others(spark, monkeypatch):
+    keys = spark.range(0, 4000, 8).selectExpr("cast(id as string) AS k").union(spark.sql("SELECT NULL"))
+    rows = spark.range(4000).selectExpr("cast(id as string) AS k")
+    kept = {r.k for r in f.marked(rows, keys, "k").collect()}
+    assert {str(i) for i in range(0, 4000, 8)} <= kept and len(kept) < 600
+    monkeypatch.setattr(f, "MARKS", 1 << 10)
+    crowded = {r.k for r in f.marked(rows, keys, "k").collect()}
+    assert {str(i) for i in range(0, 4000, 8)} <= crowded and len(crowded) < 4000
