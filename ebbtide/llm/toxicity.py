@@ -36,7 +36,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -209,9 +208,12 @@ def _names(rows: DataFrame, least_texts: int) -> list[str]:
             column = batch.column("text")
             for i in range(batch.num_rows):
                 texts.update(marks(column[i].as_py())[0].keys())
-        yield pa.RecordBatch.from_pydict(
+        found = pa.RecordBatch.from_pydict(
             {"mark": pa.array(list(texts), pa.string()), "texts": pa.array(list(texts.values()), pa.int64())}
         )
+        texts.clear()
+        release_memory()
+        yield found
 
     found = (
         rows.select("text")
@@ -226,20 +228,26 @@ def _names(rows: DataFrame, least_texts: int) -> list[str]:
 
 
 def _numbered(rows: DataFrame, names: list[str]) -> DataFrame:
-    """The training rows with the numbers and counts of known marks, and the length."""
+    """The training rows with the numbers and counts of known marks, and the length.
+
+    The marks of a text travel packed (see :func:`_sample`): a task that fits holds them all,
+    in its Python worker and in the buffers of its executor that feed it.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(pa.array(names, pa.string()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = {name: i for i, name in enumerate(shared.value.to_pylist())}
         for batch in batches:
-            texts, lengths, numbers, counts = batch.column("text"), [], [], []
+            texts, lengths, sizes, packed = batch.column("text"), [], [], []
             for i in range(batch.num_rows):
                 found, size = marks(texts[i].as_py())
                 known = sorted((places[m], min(c, MOST)) for m, c in found.items() if m in places)
                 columns = np.array(known, np.int32).reshape(-1, 2).T
                 lengths.append(size)
-                numbers.append(columns[0])
-                counts.append(columns[1].astype(np.int8))
+                steps = np.diff(columns[0], prepend=np.int32(0)).astype(np.int32)
+                data = steps.tobytes() + columns[1].astype(np.int8).tobytes()
+                sizes.append(len(known))
+                packed.append(pa.compress(data, codec="zstd", asbytes=True) if known else b"")
             yield pa.RecordBatch.from_pydict(
                 {
                     "row": batch.column("row"),
@@ -247,32 +255,37 @@ def _numbered(rows: DataFrame, names: list[str]) -> DataFrame:
                     "y": batch.column("y"),
                     "words": pa.array(lengths, pa.int64()),
                     "dense": pa.array([[float(np.log1p(n))] for n in lengths], pa.list_(pa.float64())),
-                    "numbers": pa.array(numbers, pa.list_(pa.int32())),
-                    "counts": pa.array(counts, pa.list_(pa.int8())),
+                    "size": pa.array(sizes, pa.int32()),
+                    "marks": pa.array(packed, pa.binary()),
                 }
             )
             release_memory()
+        places.clear()
+        release_memory()
 
     return stored(
         rows.drop("order").mapInArrow(
             run,
             "row long, fold int, y array<double>, words long, dense array<double>, "
-            "numbers array<int>, counts array<tinyint>",
+            "size int, marks binary",
         )
     )
 
 
-def _sample(rows: pa.Table) -> Sample:
-    def flat(name: str) -> np.ndarray:
-        return rows[name].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-
-    sizes = pc.list_value_length(rows["numbers"]).to_numpy().astype(np.int64)
-    return Sample(
-        np.concatenate([[0], np.cumsum(sizes)]),
-        flat("numbers"),
-        flat("counts"),
-        flat("dense").reshape(rows.num_rows, -1),
-    )
+def _sample(rows: pa.Table, order: np.ndarray) -> Sample:
+    """The rows in this order, with their marks unpacked: the steps from one number to the next
+    and then the counts, compressed per text."""
+    sizes = rows["size"].to_numpy().astype(np.int64)[order]
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    numbers, counts = np.empty(starts[-1], np.int32), np.empty(starts[-1], np.int8)
+    for place, first, size in zip(order.tolist(), starts.tolist(), sizes.tolist()):
+        if size:
+            packed = rows["marks"][place].as_py()
+            data = pa.decompress(packed, 5 * size, codec="zstd", asbytes=True)
+            numbers[first : first + size] = np.cumsum(np.frombuffer(data, np.int32, size))
+            counts[first : first + size] = np.frombuffer(data, np.int8, size, 4 * size)
+    dense = rows["dense"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return Sample(starts, numbers, counts, dense.reshape(rows.num_rows, -1)[order])
 
 
 def _fold_fits(place: int, lengths: np.ndarray, least_texts: int, false_marks: float):
@@ -282,18 +295,21 @@ def _fold_fits(place: int, lengths: np.ndarray, least_texts: int, false_marks: f
     def run(key: tuple, table: pa.Table) -> pa.Table:
         fit = key[0].as_py()
         # In one order, whichever way the rows came.
-        table = table.sort_by("row")
-        sample, fold, rows = _sample(table), table["fold"].to_numpy(), table["row"].to_numpy()
-        y = np.array([v[place].as_py() for v in table["y"]])
-        del table
+        order = np.argsort(table["row"].to_numpy(), kind="stable")
+        fold, rows = (table[c].to_numpy()[order] for c in ("fold", "row"))
+        y = np.array([v[place].as_py() for v in table["y"]])[order]
+        sample = _sample(table, order)
         used, held = fold != fit, fold == fit
         if not used.any():
             used = held
-        model = fit_linear(sample.only(used), y[used], lengths, least_texts, false_marks)
+        learnt, rest = sample if used.all() else sample.only(used), sample.only(held)
+        del table, sample
+        release_memory()
+        model = fit_linear(learnt, y[used], lengths, least_texts, false_marks)
         known = [] if model.constant is not None else [model.intercept, *model.dense]
-        chances = model.chances(sample.only(held), len(lengths))
+        chances = model.chances(rest, len(lengths))
         none = [[]] * int(held.sum())
-        del sample
+        del learnt, rest
         release_memory()
         return pa.table(
             {

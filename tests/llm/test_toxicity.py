@@ -272,3 +272,23 @@ def test_held_out_texts_of_every_language(held_out):
     # Some labelled ones have no toxic word at all.
     caught = [rejected for toxic, rejected in every if toxic]
     assert sum(caught) >= 0.9 * len(caught)
+
+
+def test_the_sample_travels_packed_and_unpacks_whole(spark):
+    source = random.Random(6)
+    texts = ["", None, *[" ".join(f"w{source.randrange(400)}" for _ in range(300)) for _ in range(60)]]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(len(texts))], "doc_id long, low_quality int, toxic int")
+    rows = toxicity.training_rows(
+        docs(spark, texts), labels, ("low_quality", "toxic"), "doc_id", "text", 1000, 10**9, 3
+    )
+    names = toxicity._names(rows, 5)
+    table = toxicity._numbered(rows, names).toArrow()
+    order = np.argsort(table["row"].to_numpy(), kind="stable")
+    sample = toxicity._sample(table, order)
+    by_row = {r.row: r.text for r in rows.collect()}
+    for i, row in enumerate(table["row"].to_numpy()[order]):
+        at = slice(sample.starts[i], sample.starts[i + 1])
+        found = {names[n]: c for n, c in zip(sample.numbers[at], sample.counts[at].tolist())}
+        known = marks(by_row[row])[0].items()
+        assert found == {m: min(c, MOST) for m, c in known if m in set(names)}
+    assert table["marks"].nbytes < 0.6 * (sample.numbers.nbytes + sample.counts.nbytes)
