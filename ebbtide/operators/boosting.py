@@ -8,8 +8,7 @@ splits. The number of jobs therefore
 follows the longest ensemble, not the number of routes. Rows are dealt to the tasks by ranges
 of routes, so a task has the sums of few routes, and a level moves about
 (tasks + routes) × nodes × features × bins of them, whatever the number of rows. Blocks hold the
-bins feature by feature, so a level is a pass over one byte per row and drawn feature. Label and
-weight of a row are one number of the pairs that occur in its block.
+bins feature by feature, so a level is a pass over one byte per row and drawn feature.
 
 Of two children only the lighter one is added up: the other one has what remains of the sums of
 their parent. Gradients are rounded to a step (some 2^-52 of the weight of a route) of which a
@@ -51,8 +50,8 @@ LEAF_PENALTY = 1.0
 LEAST_IN_LEAF = 1.0
 # Error of the approximate quantiles that limit the bins, as one part in so many.
 ACCURACY = 10_000
-BLOCKS = "route int, block long, bins binary, kind binary, label binary, weight binary"
-# Blocks are read once a level: held as they are, so that no reader unpacks them.
+BLOCKS = "route int, block long, bins binary, label binary, weight binary"
+# Blocks are read once a level: held as they are, so that no reader has to unpack them.
 HELD = StorageLevel.MEMORY_AND_DISK_DESER
 
 
@@ -78,18 +77,6 @@ def bin_limits(
     }
 
 
-def _kinds(label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Number of the (label, weight) pair of every row, and the labels and weights of the pairs.
-
-    Mostly there are two pairs and a number is one byte; many pairs only make it longer.
-    """
-    pairs = np.empty(len(label), dtype=[("label", np.float64), ("weight", np.float64)])
-    pairs["label"], pairs["weight"] = label, weight
-    found, kind = np.unique(pairs, return_inverse=True)
-    kind = kind.astype(np.min_scalar_type(max(0, len(found) - 1)))
-    return kind, found["label"].copy(), found["weight"].copy()
-
-
 def _binned(
     limits: dict[int, list[np.ndarray]],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -108,13 +95,17 @@ def _binned(
                 for place, limit in enumerate(limits[int(route)]):
                     # Bin b: above limit b - 1, up to limit b; NaN comes last.
                     bins[place] = np.searchsorted(limit, rows[:, place])
-                kind, labels, weights = _kinds(label[at], weight[at])
-                values = [[int(route)], [made]]
-                values += [[v.tobytes()] for v in (bins, kind, labels, weights)]
-                types = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+                values = [
+                    [int(route)],
+                    [made],
+                    [bins.tobytes()],
+                    [label[at].astype(np.float64).tobytes()],
+                    [weight[at].astype(np.float64).tobytes()],
+                ]
+                kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, t) for v, t in zip(values, types)],
-                    names=["route", "block", "bins", "kind", "label", "weight"],
+                    [pa.array(v, k) for v, k in zip(values, kinds)],
+                    names=["route", "block", "bins", "label", "weight"],
                 )
                 made += 1
 
@@ -185,7 +176,7 @@ def _level_sums(plans: dict[int, dict], bins_most: int, seed: int, turn: int) ->
 
     def sums(blocks: Iterator[tuple]) -> Iterator[tuple]:
         found: dict[int, np.ndarray] = {}
-        for route, block, bins, kind, label, weight, margin in blocks:
+        for route, block, bins, label, weight, margin in blocks:
             plan = plans.get(route)
             if plan is None:
                 continue
@@ -195,8 +186,7 @@ def _level_sums(plans: dict[int, dict], bins_most: int, seed: int, turn: int) ->
                 draw = np.random.default_rng([seed, turn, block, route + 1])
                 taken &= draw.random(len(slot)) < plan["row_share"]
             at = np.flatnonzero(taken)
-            kind, margin = kind.take(at), margin.take(at)
-            label, weight = label.take(kind), weight.take(kind)
+            label, weight, margin = (v.take(at) for v in (label, weight, margin))
             chance = 1.0 / (1.0 + np.exp(-margin))
             step = plan["step"]
             first = np.rint(weight * (chance - label) / step) * step
@@ -274,25 +264,19 @@ def _exact_step(weight: float) -> float:
 
 def _advanced(newest: dict[int, dict]) -> Callable:
     def advance(item: tuple) -> tuple:
-        *head, margin = item
-        route, _, bins, *_ = head
+        route, block, bins, label, weight, margin = item
         if route in newest:
             margin = margin + newest[route]["value"].take(_reached(newest[route], bins))
-        return *head, margin
+        return route, block, bins, label, weight, margin
 
     return advance
 
 
 def _state(item: tuple) -> tuple:
-    label, weight = np.frombuffer(item.label), np.frombuffer(item.weight)
-    kind = np.frombuffer(item.kind, dtype=np.min_scalar_type(max(0, len(label) - 1)))
-    bins = np.frombuffer(item.bins, dtype=np.uint8).reshape(-1, len(kind))
-    return item.route, item.block, bins, kind, label, weight, np.zeros(len(kind))
-
-
-def _weight_of(item: tuple) -> tuple[int, float]:
-    route, _, _, kind, _, weight, _ = item
-    return route, float(np.abs(weight.take(kind)).sum())
+    label = np.frombuffer(item.label)
+    bins = np.frombuffer(item.bins, dtype=np.uint8).reshape(-1, len(label))
+    weight = np.frombuffer(item.weight)
+    return item.route, item.block, bins, label, weight, np.zeros(len(label))
 
 
 def fit_ensembles(
@@ -336,7 +320,7 @@ def fit_ensembles(
         .mapInArrow(_binned(limits), BLOCKS)
     )
     state = blocks.rdd.map(_state).persist(HELD)
-    weights = state.map(_weight_of).reduceByKey(lambda a, b: a + b)
+    weights = state.map(lambda b: (b[0], float(np.abs(b[4]).sum()))).reduceByKey(lambda a, b: a + b)
     steps = {route: _exact_step(total) for route, total in weights.collect()}
     finished: dict[int, list[_Tree]] = {route: [] for route in specs}
     newest: dict[int, dict] = {}
