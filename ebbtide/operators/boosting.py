@@ -10,6 +10,9 @@ of routes, so a task has the sums of few routes, and a level moves about
 (tasks + routes) × nodes × features × bins of them, whatever the number of rows. Blocks hold the
 bins feature by feature, so a level is a pass over one byte per row and drawn feature.
 
+Rows find their nodes by masks, a compare of bytes per node, and two features are added up in one
+table of their pairs of bins where enough rows share it, so half the additions do.
+
 Of two children only the lighter one is added up: the other one has what remains of the sums of
 their parent. Gradients are rounded to a step (some 2^-52 of the weight of a route) of which a
 double holds every sum exactly, so the difference is exact too, and neither the order of the rows
@@ -45,6 +48,16 @@ CUT = 20
 DIRECT = 48
 # Rows that are worth a task of their own while other cores have none.
 LEAST_ROWS = 25_000
+# So many tasks that dealt the rows may become one of a level.
+MERGED = 4
+# Rows that are added up together, and how many of them a cell of a table of pairs must be worth.
+ADDED_ROWS = 1 << 16
+ROWS_PER_CELL = 2
+# Bytes that a worker takes and frees once. glibc then hands later arrays of up to this size from
+# memory that it keeps, where it would return that of every block and have it mapped anew.
+KEPT_BYTES = 30 << 20
+# Nodes of a tree whose numbers fit one byte.
+BYTE_NODES = 255
 # Penalty on squared leaf values, and least sum of second derivatives in a leaf.
 LEAF_PENALTY = 1.0
 LEAST_IN_LEAF = 1.0
@@ -158,8 +171,29 @@ def _flat(trees: list[_Tree], step: float) -> dict:
     }
 
 
-def _reached(tree: dict, bins: np.ndarray) -> np.ndarray:
-    """Node where each row ends in a single tree; ``bins`` has a row per feature."""
+def _coded(tree: dict, bins: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """``codes`` of the node where each row ends in a single tree; ``bins`` has a row per
+    feature. Codes are below 256 in a tree of up to ``BYTE_NODES`` nodes."""
+    if len(codes) > BYTE_NODES:
+        return codes.take(_walked(tree, bins))
+    found = np.zeros(bins.shape[1], dtype=np.uint8)
+    feature, limit, left, right = (
+        tree[name].tolist() for name in ("feature", "limit", "left", "right")
+    )
+    code = codes.astype(np.uint8)
+    paths = [(0, np.ones(bins.shape[1], dtype=bool))]
+    while paths:
+        node, here = paths.pop()
+        if left[node] != node:
+            low = here & (bins[feature[node]] <= int(limit[node]))
+            paths += [(left[node], low), (right[node], here ^ low)]
+        elif code[node]:
+            found += here.view(np.uint8) * code[node]
+    return found
+
+
+def _walked(tree: dict, bins: np.ndarray) -> np.ndarray:
+    """Node where each row ends, for trees of many nodes."""
     rows = np.arange(bins.shape[1])
     node = np.zeros(len(rows), dtype=np.intp)
     offset = tree["feature"].astype(np.intp) * len(rows)
@@ -171,39 +205,72 @@ def _reached(tree: dict, bins: np.ndarray) -> np.ndarray:
     return node
 
 
+class _Sums:
+    """Sums of two values by open node, drawn feature and bin."""
+
+    def __init__(self, nodes: int, columns: int, bins_most: int) -> None:
+        self.total = np.zeros((2, nodes, columns, bins_most))
+        self.parts: list[tuple] = []
+        self.rows = 0
+
+    def add(self, slot: np.ndarray, bins: np.ndarray, *values: np.ndarray) -> None:
+        self.parts.append((slot, bins, *values))
+        self.rows += len(slot)
+        if self.rows >= ADDED_ROWS:
+            self.flush()
+
+    def flush(self) -> None:
+        if not self.rows:
+            return
+        slot, bins, *values = (np.concatenate(c, axis=-1) for c in zip(*self.parts))
+        _, nodes, columns, most = self.total.shape
+        paired = columns - columns % 2 if self.rows >= ROWS_PER_CELL * nodes * most**2 else 0
+        slot = slot.astype(np.intp)
+        start = slot * most**2
+        for place in range(0, paired, 2):
+            key = start + (bins[place].astype(np.uint16) * most + bins[place + 1])
+            for which, value in enumerate(values):
+                pairs = np.bincount(key, value, nodes * most**2).reshape(nodes, most, most)
+                self.total[which, :, place] += pairs.sum(2)
+                self.total[which, :, place + 1] += pairs.sum(1)
+        start = slot * most
+        for place in range(paired, columns):
+            key = start + bins[place]
+            for which, value in enumerate(values):
+                added = np.bincount(key, value, nodes * most)
+                self.total[which, :, place] += added.reshape(nodes, most)
+        self.parts, self.rows = [], 0
+
+
 def _level_sums(plans: dict[int, dict], bins_most: int, seed: int, turn: int) -> Callable:
     """Sums of first and second derivatives per open node, feature and bin of one task."""
 
     def sums(blocks: Iterator[tuple]) -> Iterator[tuple]:
-        found: dict[int, np.ndarray] = {}
+        np.empty(KEPT_BYTES, dtype=np.uint8)
+        found: dict[int, _Sums] = {}
         for route, block, bins, label, weight, margin in blocks:
             plan = plans.get(route)
             if plan is None:
                 continue
-            slot = plan["slots"].take(_reached(plan["tree"], bins))
-            taken = slot >= 0
+            # The place of a row's open node from 1 on; 0 for rows of no open node.
+            slot = _coded(plan["tree"], bins, plan["slots"] + 1)
             if plan["row_share"] < 1.0:
                 draw = np.random.default_rng([seed, turn, block, route + 1])
-                taken &= draw.random(len(slot)) < plan["row_share"]
-            at = np.flatnonzero(taken)
+                slot *= draw.random(len(slot)) < plan["row_share"]
+            at = np.flatnonzero(slot)
             label, weight, margin = (v.take(at) for v in (label, weight, margin))
             chance = 1.0 / (1.0 + np.exp(-margin))
             step = plan["step"]
             first = np.rint(weight * (chance - label) / step) * step
             second = np.rint(weight * chance * (1.0 - chance) / step) * step
-            start = slot.take(at) * bins_most
-            nodes, columns = len(plan["open"]), plan["columns"]
-            part = found.get(route)
-            if part is None:
-                part = found[route] = np.zeros((2, nodes, len(columns), bins_most))
-            for place, column in enumerate(columns):
-                key = start + bins[column].take(at)
-                for which, values in enumerate((first, second)):
-                    added = np.bincount(key, values, nodes * bins_most)
-                    part[which, :, place] += added.reshape(nodes, bins_most)
+            if route not in found:
+                found[route] = _Sums(len(plan["open"]), len(plan["columns"]), bins_most)
+            drawn = bins.take(plan["columns"], axis=0).take(at, axis=1)
+            found[route].add(slot.take(at) - 1, drawn, first, second)
         for route, part in found.items():
+            part.flush()
             for place, node in enumerate(plans[route]["open"]):
-                yield (route, node), part[:, place]
+                yield (route, node), part.total[:, place]
 
     return sums
 
@@ -257,17 +324,25 @@ def even_tasks(rows: int, rows_per_task: int, cores: int) -> int:
     return max(needed, min(cores, rows // LEAST_ROWS))
 
 
+def level_tasks(dealt: int, cores: int) -> int:
+    """Tasks of a level: those that dealt the rows, up to ``MERGED`` of them together while that
+    leaves work for all cores. A task has a fixed cost, and sums of its own to send."""
+    return min(dealt, math.ceil(dealt / (MERGED * cores)) * cores)
+
+
 def _exact_step(weight: float) -> float:
     """The least power of 2 of which a double holds all sums of multiples up to ``weight``."""
     return 2.0 ** (math.frexp(weight)[1] - 52)
 
 
 def _advanced(newest: dict[int, dict]) -> Callable:
-    def advance(item: tuple) -> tuple:
-        route, block, bins, label, weight, margin = item
-        if route in newest:
-            margin = margin + newest[route]["value"].take(_reached(newest[route], bins))
-        return route, block, bins, label, weight, margin
+    def advance(blocks: Iterator[tuple]) -> Iterator[tuple]:
+        np.empty(KEPT_BYTES, dtype=np.uint8)
+        for route, block, bins, label, weight, margin in blocks:
+            if (tree := newest.get(route)) is not None:
+                reached = _coded(tree, bins, np.arange(len(tree["value"])))
+                margin = margin + tree["value"].take(reached)
+            yield route, block, bins, label, weight, margin
 
     return advance
 
@@ -319,7 +394,9 @@ def fit_ensembles(
         .drop("_drawn")
         .mapInArrow(_binned(limits), BLOCKS)
     )
-    state = blocks.rdd.map(_state).persist(HELD)
+    cores = spark.sparkContext.defaultParallelism
+    merged = level_tasks(blocks.rdd.getNumPartitions(), cores)
+    state = blocks.rdd.map(_state).coalesce(merged).persist(HELD)
     weights = state.map(lambda b: (b[0], float(np.abs(b[4]).sum()))).reduceByKey(lambda a, b: a + b)
     steps = {route: _exact_step(total) for route, total in weights.collect()}
     finished: dict[int, list[_Tree]] = {route: [] for route in specs}
@@ -327,7 +404,7 @@ def fit_ensembles(
     for turn in range(max(s.trees for s in specs.values())):
         before = None
         if newest:
-            before, state = state, state.map(_advanced(newest))
+            before, state = state, state.mapPartitions(_advanced(newest))
             state.persist(HELD)
             if turn % CUT == 0:
                 state.checkpoint()

@@ -177,3 +177,60 @@ def test_blocks_are_held_unpacked(rows, monkeypatch):
     monkeypatch.setattr(boosting, "_splits", splits)
     fitted(rows, 2)
     assert levels and all(level.deserialized and level.useMemory and level.useDisk for level in levels)
+
+
+def grown(depth, features, bins_most, draw):
+    """A full tree of random splits, and the nodes of its last level."""
+    tree, last = boosting._Tree(depth=depth), [0]
+    for _ in range(depth):
+        below = []
+        for node in last:
+            tree.feature[node], tree.limit[node] = draw.randrange(features), draw.randrange(bins_most)
+            tree.left[node], tree.right[node] = tree.add(1.0), tree.add(2.0)
+            below += [tree.left[node], tree.right[node]]
+        last = below
+    return boosting._flat([tree], 1.0), last
+
+
+@pytest.mark.parametrize("depth", [0, 1, 6, 8])
+def test_masks_find_the_nodes_that_rows_walk_to(depth):
+    tree, last = grown(depth, 5, 16, random.Random(3))
+    bins = np.random.default_rng(1).integers(0, 16, (5, 3_000)).astype(np.uint8)
+    codes = np.zeros(len(tree["value"]), dtype=int)
+    codes[last[::2]] = np.arange(1, len(last[::2]) + 1)
+    assert boosting._coded(tree, bins, codes).tolist() == codes[boosting._walked(tree, bins)].tolist()
+
+
+@pytest.mark.parametrize("columns", [1, 4, 5])
+def test_sums_of_pairs_are_those_of_single_features(columns, monkeypatch):
+    monkeypatch.setattr(boosting, "ADDED_ROWS", 4_000)
+    draw, sums, parts = np.random.default_rng(2), boosting._Sums(3, columns, 16), []
+    plain = np.zeros((2, 3, columns, 16))
+    for rows in (2_500, 2_500, 1_700):
+        slot = draw.integers(0, 3, rows).astype(np.uint8)
+        bins = draw.integers(0, 16, (columns, rows)).astype(np.uint8)
+        values = draw.integers(-9, 9, (2, rows)) / 8
+        sums.add(slot, bins, *values)
+        parts.append(len(sums.parts))
+        for which in (0, 1):
+            for column in range(columns):
+                np.add.at(plain[which, :, column], (slot, bins[column]), values[which])
+    sums.flush()
+    # The first two are added up together, by pairs; the last rows are too few for that.
+    assert parts == [1, 0, 1] and (sums.total == plain).all()
+
+
+def test_level_tasks_join_those_that_dealt_the_rows(rows, monkeypatch):
+    found = [boosting.level_tasks(dealt, 12) for dealt in (1, 7, 12, 36, 48, 60, 96, 480)]
+    assert found == [1, 7, 12, 12, 12, 24, 24, 120]
+    held, kept = [], boosting._splits
+
+    def splits(state, sums):
+        held.append(state.getNumPartitions())
+        return kept(state, sums)
+
+    monkeypatch.setattr(boosting, "_splits", splits)
+    many = fitted(rows, 40)
+    assert set(held) == {16}
+    one = fitted(rows, 1)
+    assert all(one[r]["value"].tolist() == many[r]["value"].tolist() for r in SPECS)
