@@ -1,6 +1,7 @@
 """Boosting of many routes in one job per level, against a plain recursive form."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -234,3 +235,30 @@ def test_level_tasks_join_those_that_dealt_the_rows(rows, monkeypatch):
     assert set(held) == {16}
     one = fitted(rows, 1)
     assert all(one[r]["value"].tolist() == many[r]["value"].tolist() for r in SPECS)
+
+
+def test_rows_walk_many_trees_in_little_memory():
+    draw = random.Random(7)
+    parts = [grown(4, 6, 16, draw)[0] for _ in range(200)]
+    nodes = len(parts[0]["value"])
+    trees = {name: np.concatenate([p[name] for p in parts]) for name in ("feature", "limit", "value")}
+    trees |= {
+        name: np.concatenate([p[name] + k * nodes for k, p in enumerate(parts)])
+        for name in ("roots", "left", "right")
+    }
+    trees["depth"] = 4
+    rows = np.random.default_rng(4).uniform(0, 16, (2_100, 6))
+    rows[::7, 2] = np.nan
+    tracemalloc.start()
+    found = margins(trees, rows)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 5_000_000
+    for at in range(0, len(rows), 300):
+        total = []
+        for node in trees["roots"]:
+            for _ in range(4):
+                small = rows[at, trees["feature"][node]] <= trees["limit"][node]
+                node = trees["left" if small else "right"][node]
+            total.append(trees["value"][node])
+        assert found[at] == np.array(total).sum()
